@@ -37,3 +37,9 @@ def vec_scale(v, norm) -> Column:
     """Float division of every element by ``norm`` (Q19)."""
     norm = _col(norm) if not isinstance(norm, (int, float)) else F.lit(float(norm))
     return F.transform(_col(v), lambda x: x.cast("double") / norm)
+
+
+def idiv(a, b) -> Column:
+    """Floor division of non-negative integers (Python 2 ``/`` on ints), exact in integer arithmetic."""
+    a, b = _col(a), (_col(b) if not isinstance(b, int) else F.lit(b))
+    return ((a - F.pmod(a, b)) / b).cast("bigint")

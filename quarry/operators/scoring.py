@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.vectors import sublinear
+from quarry.functions.vectors import idiv, sublinear
 from quarry.operators.signals import FIELDS, N_DOCS, idf
 
 KEYS = ["query_id", "doc_id"]
@@ -57,7 +57,7 @@ def _cosine_term(p: CosineParams):
 def _bm25_weight(p: BM25FParams, av: dict):
     w = F.lit(0.0)
     for b, wf, f in zip(p.b, p.w, FIELDS):
-        ratio = (F.col(f"len_{f}") // F.lit(int(av[f"av_{f}"]))).cast("double")
+        ratio = idiv(F.col(f"len_{f}"), int(av[f"av_{f}"])).cast("double")
         norm = F.lit(1.0) + F.lit(float(b)) * (ratio - F.lit(1.0))
         w = w + F.lit(float(wf)) * F.col(f"tf_{f}").cast("double") / norm
     return w
@@ -98,7 +98,7 @@ def min_windows(hits: DataFrame, qterms: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.count("last").alias("m"), F.min("last").alias("lo")
     ).filter(F.col("n") == F.col("m"))
     per_inst = e.groupBy(*g).agg(F.min(F.col("pos") - F.col("lo") + 1).alias("w"))
-    return per_inst.groupBy(*KEYS).agg(F.min("w").cast("bigint").alias("window"))
+    return per_inst.groupBy(*KEYS).agg(F.min("w").cast("bigint").alias("min_window"))
 
 
 def smallest_window_scores(cos: DataFrame, windows: DataFrame, queries: DataFrame, p: WindowParams = WindowParams()) -> DataFrame:
@@ -110,7 +110,7 @@ def smallest_window_scores(cos: DataFrame, windows: DataFrame, queries: DataFram
 
     nq = queries.select("query_id", F.size(lower_ws_terms("query")).cast("double").alias("n_q"))
     s = cos.select(*KEYS, "cosine").join(windows, KEYS, "left").join(nq, "query_id")
-    boost = F.coalesce(F.col("n_q") / F.col("window") * F.lit(p.boost - 1.0), F.lit(0.0)) + F.lit(1.0)
+    boost = F.coalesce(F.col("n_q") / F.col("min_window") * F.lit(p.boost - 1.0), F.lit(0.0)) + F.lit(1.0)
     return s.select(*KEYS, (boost * F.col("cosine")).alias("score"))
 
 

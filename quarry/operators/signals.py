@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import ascii_lower, ws_terms
+from quarry.functions.vectors import idiv
 from quarry.session import checked_broadcast
 
 # The five fields, in the reference's vector order, and its corpus-size constant.
@@ -39,7 +40,7 @@ def vocab_doc_freq(vocab: DataFrame, index_df: DataFrame) -> DataFrame:
 def idf(df_col="df", n_docs: int = N_DOCS):
     """log10(N div df) with integer division, as the reference computes it (Q48)."""
     c = F.col(df_col) if isinstance(df_col, str) else df_col
-    return F.log10((F.lit(n_docs).cast("bigint") // c).cast("double"))
+    return F.log10(idiv(F.lit(n_docs).cast("bigint"), c).cast("double"))
 
 
 def query_hits(tokens: DataFrame, qterms: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
@@ -72,7 +73,7 @@ def field_tf(hits: DataFrame, pairs: DataFrame, qvec: DataFrame) -> DataFrame:
 def avg_lengths(stats: DataFrame) -> DataFrame:
     """One row (av_url .. av_anchor): floored averages over all (query, doc) pairs (Q46)."""
     n = F.count(F.lit(1))
-    return stats.agg(*[(F.sum(f"len_{f}") // n).cast("bigint").alias(f"av_{f}") for f in FIELDS])
+    return stats.agg(*[idiv(F.sum(f"len_{f}"), n).alias(f"av_{f}") for f in FIELDS])
 
 
 def signal_vectors(tf: DataFrame, n_docs: int = N_DOCS) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import ascii_lower, ws_terms
 from quarry.operators import signals as sig
+from quarry.session import checkpointed
 from quarry.sources.tables import table
 
 # The query terms are the 9th-11th most frequent (body df) terms of each benchmark text.
@@ -77,7 +78,7 @@ class RankFixture:
     def df(self) -> DataFrame:
         """(term, df): body document frequency + 1 (the +1 of the df dictionary)."""
         body = self.tok.filter(F.col("field") == "body").select("term", "doc_id").distinct()
-        return body.groupBy("term").agg((F.count(F.lit(1)) + 1).alias("df"))
+        return checkpointed(body.groupBy("term").agg((F.count(F.lit(1)) + 1).alias("df")))
 
     @cached_property
     def bench_terms(self) -> DataFrame:
@@ -90,7 +91,7 @@ class RankFixture:
         """(query_id, term, df): per benchmark item, its terms ranked 9-11 by df (window per item: bounded)."""
         w = Window.partitionBy("item_id").orderBy(F.col("df").desc(), "term")
         r = self.bench_terms.join(self.df, "term").withColumn("rn", F.row_number().over(w))
-        return r.filter(F.col("rn").isin(*QTERM_RANKS)).select(F.col("item_id").alias("query_id"), "term", "df")
+        return checkpointed(r.filter(F.col("rn").isin(*QTERM_RANKS)).select(F.col("item_id").alias("query_id"), "term", "df"))
 
     @cached_property
     def queries(self) -> DataFrame:
@@ -124,7 +125,8 @@ class RankFixture:
     @cached_property
     def cand(self) -> DataFrame:
         """(query_id, doc_id, rel): labelled documents sharing a query term in any field."""
-        return self.hits.select("query_id", "doc_id").distinct().join(self.labels, "doc_id").select("query_id", "doc_id", "rel")
+        pairs = self.hits.select("query_id", "doc_id").distinct().join(self.labels, "doc_id")
+        return checkpointed(pairs.select("query_id", "doc_id", "rel"))
 
     @cached_property
     def lens(self) -> DataFrame:
@@ -136,7 +138,8 @@ class RankFixture:
         """(query_id, doc_id, url, body_length, pagerank, len_*) per candidate pair."""
         urls = self.inst.filter(F.col("field") == "url").select("doc_id", F.col("txt").alias("url"))
         s = self.cand.select("query_id", "doc_id").join(self.lens, "doc_id").join(urls, "doc_id")
-        return s.withColumn("body_length", F.col("len_body")).withColumn("pagerank", (F.col("doc_id") % 10).cast("bigint"))
+        s = s.withColumn("body_length", F.col("len_body")).withColumn("pagerank", (F.col("doc_id") % 10).cast("bigint"))
+        return checkpointed(s)
 
     @cached_property
     def qvec(self) -> DataFrame:

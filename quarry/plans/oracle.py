@@ -134,11 +134,11 @@ fx_win as (
     select query_id, doc_id, field, inst, pos, count(*) as n, count(last_pos) as m, min(last_pos) as lo
     from x group by all
   )
-  select query_id, doc_id, cast(min(pos - lo + 1) as bigint) as window from e where n = m group by query_id, doc_id
+  select query_id, doc_id, cast(min(pos - lo + 1) as bigint) as min_window from e where n = m group by query_id, doc_id
 ),
 fx_sw as (
   select s.query_id, s.doc_id,
-         (coalesce(n.nq / w.window * 1.7, 0) + 1) * s.cosine as score
+         (coalesce(n.nq / w.min_window * 1.7, 0) + 1) * s.cosine as score
   from fx_score s left join fx_win w using (query_id, doc_id)
   join (select query_id, cast(count(*) as double) as nq from fx_qterm group by query_id) n using (query_id)
 )"""
@@ -191,7 +191,7 @@ ORACLE: dict[str, str] = {
     "cosine": _with(FX) + "select query_id, doc_id, round(cosine, 9) as score from fx_score",
     "bm25f": _with(FX) + "select query_id, doc_id, round(bm25f, 9) as score from fx_score",
     "bm25f_text": _with(FX) + "select query_id, doc_id, round(bm25f_text, 9) as score from fx_score",
-    "min_window": _with(FX) + "select query_id, doc_id, window from fx_win",
+    "min_window": _with(FX) + "select query_id, doc_id, min_window from fx_win",
     "smallest_window": _with(FX) + "select query_id, doc_id, round(score, 9) as score from fx_sw",
     "rank_cosine": _with(FX) + _ranked("cosine") + " from fx_score",
     "rank_bm25f": _with(FX) + _ranked("bm25f") + " from fx_score",

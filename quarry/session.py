@@ -57,6 +57,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only after counting it; larger sides stay shuffle joins
-    (AQE may still convert them at run time, and splits skewed partitions)."""
+    (AQE may still convert them at run time, and splits skewed partitions).
+
+    The side is checkpointed first, so counting it does not compute it twice.
+    """
+    df = checkpointed(df)
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
