@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import boolean as bl
+from quarry.operators import compress as cz
 from quarry.operators import evaluate as ev
 from quarry.operators import index as ix
 from quarry.operators import ranking as rk
@@ -85,6 +86,35 @@ def q_merge_indexes(spark, sf_dir):
     return ix.merge_postings(a, b)
 
 
+# ---------------------------------------------------------------- compression
+def q_gap_encode(spark, sf_dir):
+    return cz.gaps_long(_index(spark, sf_dir).postings)
+
+
+def q_gap_roundtrip(spark, sf_dir):
+    return cz.vb_roundtrip(cz.vb_postings(_index(spark, sf_dir).postings))
+
+
+def q_vb_postings(spark, sf_dir):
+    return cz.vb_postings(_index(spark, sf_dir).postings)
+
+
+def q_gamma_postings(spark, sf_dir):
+    return cz.gamma_postings(_index(spark, sf_dir).postings)
+
+
+def q_gamma_roundtrip(spark, sf_dir):
+    return cz.gamma_roundtrip(cz.gamma_postings(_index(spark, sf_dir).postings))
+
+
+def q_index_size(spark, sf_dir):
+    return cz.index_size(_index(spark, sf_dir).postings)
+
+
+def q_index_size_total(spark, sf_dir):
+    return cz.index_size_total(cz.index_size(_index(spark, sf_dir).postings))
+
+
 # ---------------------------------------------------------------- boolean search
 def _bool_inputs(spark, sf_dir):
     fx = RankFixture(spark, sf_dir)
@@ -219,6 +249,13 @@ QUERIES: dict[str, Query] = {
     "posting_lists": q_posting_lists,
     "doc_freq": q_doc_freq,
     "merge_indexes": q_merge_indexes,
+    "gap_encode": q_gap_encode,
+    "gap_roundtrip": q_gap_roundtrip,
+    "vb_postings": q_vb_postings,
+    "gamma_postings": q_gamma_postings,
+    "gamma_roundtrip": q_gamma_roundtrip,
+    "index_size": q_index_size,
+    "index_size_total": q_index_size_total,
     "query_terms": q_query_terms,
     "unknown_terms": q_unknown_terms,
     "boolean_search": q_boolean_search,

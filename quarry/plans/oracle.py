@@ -221,3 +221,37 @@ ORACLE["boolean_search"] = _with(INDEX, FX, BOOL) + """, good as (
         group by b.query_id, p.doc_id having count(*) = max(nt.n))
 select bq.query_id, bq.query, coalesce(cat.doc_name, 'no results found') as doc_name
 from bq left join m using (query_id) left join cat on cat.cid = m.doc_id"""
+
+GAPS = """gaps as (
+  select term, doc_id, doc_id // 65536 as chunk, doc_id - coalesce(lag(doc_id) over (partition by term order by doc_id), 0) as gap
+  from post
+),
+vbx as (
+  select *, case when gap < 128 then 1 when gap < 16384 then 2 when gap < 2097152 then 3
+                 when gap < 268435456 then 4 when gap < 34359738368 then 5 else 6 end as k
+  from gaps
+),
+gmx as (select *, repeat('1', length(bin(gap)) - 1) || '0' || substr(bin(gap), 2) as code from gaps)"""
+
+VB_HEX = """array_to_string(list_transform(range(k - 1, -1, -1),
+    lambda i: printf('%02x', ((gap >> (7 * i)) & 127) + case when i = 0 then 128 else 0 end)), '')"""
+
+ORACLE["gap_encode"] = _with(INDEX, GAPS) + "select term, doc_id, gap from gaps"
+ORACLE["gap_roundtrip"] = _with(INDEX) + "select term, doc_id from post"
+ORACLE["gamma_roundtrip"] = _with(INDEX) + "select term, doc_id from post"
+ORACLE["vb_postings"] = _with(INDEX, GAPS) + f"""select term, chunk, count(*) as n, string_agg({VB_HEX}, '' order by doc_id) as vb
+    from vbx group by term, chunk"""
+ORACLE["gamma_postings"] = _with(INDEX, GAPS) + """, c as (
+    select term, chunk, count(*) as n, string_agg(code, '' order by doc_id) as bits from gmx group by term, chunk),
+  t as (select term, sum(length(bits)) as total, max(chunk) as last from c group by term)
+select term, chunk, n,
+       case when chunk = last then bits || repeat('1', cast((8 - total % 8) % 8 as integer)) else bits end as gamma
+from c join t using (term)"""
+SIZE = """sizes as (
+  select term, count(*) as df, sum(length(cast(doc_id as varchar))) + count(*) as text_bytes, 4 * count(*) as int32_bytes,
+         sum(k) as vb_bytes, cast(ceil(sum(2 * length(bin(gap)) - 1) / 8) as bigint) as gamma_bytes
+  from vbx group by term
+)"""
+ORACLE["index_size"] = _with(INDEX, GAPS, SIZE) + "select * from sizes"
+ORACLE["index_size_total"] = _with(INDEX, GAPS, SIZE) + """select sum(df) as postings, sum(text_bytes) as text_bytes,
+    sum(int32_bytes) as int32_bytes, sum(vb_bytes) as vb_bytes, sum(gamma_bytes) as gamma_bytes from sizes"""
