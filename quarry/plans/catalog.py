@@ -16,6 +16,7 @@ from quarry.operators import boolean as bl
 from quarry.operators import compress as cz
 from quarry.operators import evaluate as ev
 from quarry.operators import index as ix
+from quarry.operators import ltr as lt
 from quarry.operators import ranking as rk
 from quarry.operators import scoring as sc
 from quarry.operators import signals as sig
@@ -239,6 +240,116 @@ def q_mean_ndcg(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+# ---------------------------------------------------------------- learning to rank
+def _split_stats(fx: RankFixture, train: bool) -> DataFrame:
+    return fx.doc_stats.filter(fx.split(train))
+
+
+def _features5(fx: RankFixture, train: bool | None = None) -> DataFrame:
+    tf, stats = _tf(fx), fx.doc_stats
+    if train is not None:
+        tf, stats = tf.filter(fx.split(train)), stats.filter(fx.split(train))
+    return lt.tfidf_features(tf, stats, 5000)
+
+
+def _features10(fx: RankFixture, train: bool) -> DataFrame:
+    """Ten features of one split; BM25F uses that split's own average lengths."""
+    stats = _split_stats(fx, train)
+    return lt.extended_features(_tf(fx).filter(fx.split(train)), stats, sig.avg_lengths(stats), _windows(fx))
+
+
+def q_features5(spark, sf_dir):
+    return _features5(RankFixture(spark, sf_dir)).select(*lt.KEYS, *[_r(c) for c in lt.F5])
+
+
+def q_features10(spark, sf_dir):
+    fx = RankFixture(spark, sf_dir)
+    f = _features10(fx, True).unionByName(_features10(fx, False))
+    return f.select(*lt.KEYS, *[_r(c) for c in lt.F10])
+
+
+def q_scaled_features(spark, sf_dir):
+    fx = RankFixture(spark, sf_dir)
+    train, test = _features10(fx, True), _features10(fx, False)
+    scaler = lt.fit_scaler(train, lt.F10)
+    f = scaler.transform(train).unionByName(scaler.transform(test))
+    return f.select(*lt.KEYS, *[_r(c) for c in lt.F10])
+
+
+def q_pair_count(spark, sf_dir):
+    """Ordered differing-relevance pairs per query, counted from level sizes (no pair table)."""
+    c = RankFixture(spark, sf_dir).cand.groupBy("query_id", "rel").agg(F.count(F.lit(1)).alias("n"))
+    t = c.groupBy("query_id").agg(F.sum("n").alias("t"), F.sum(F.col("n") * F.col("n")).alias("sq"))
+    return t.select("query_id", (F.col("t") * F.col("t") - F.col("sq")).cast("bigint").alias("n_pairs"))
+
+
+# Fixed probe weights for the pairwise hinge check (any vector works).
+HINGE_PROBE_W = (1.0, -2.0, 0.5, 3.0, -1.0)
+
+
+def q_pair_hinge(spark, sf_dir):
+    """Pairwise hinge loss sum and gradient at fixed weights over the standardised
+    five features of the training queries -- the SVM objective's building block."""
+    import numpy as np
+
+    fx = RankFixture(spark, sf_dir)
+    f = _features5(fx, True)
+    scaled = lt.fit_scaler(f, lt.F5).transform(f).join(fx.cand, lt.KEYS)
+    h = lt.PairwiseHinge(scaled, lt.F5)
+    try:
+        loss, grad = h.evaluate(np.array(HINGE_PROBE_W))
+    finally:
+        h.close()
+    rows = [("loss", round(loss, 6))] + [(f"grad_{c}", round(float(g), 6)) for c, g in zip(lt.F5, grad)]
+    return spark.createDataFrame(rows, "name string, value double")
+
+
+def _fit_rank(fx: RankFixture, learner: str):
+    if learner in ("ols", "ridge"):
+        train = _features5(fx, True).join(fx.cand, lt.KEYS)
+        model = lt.fit_least_squares(train, lt.F5, alpha=4.5 if learner == "ridge" else 0.0)
+        test = _features5(fx, False)
+    else:
+        cols = lt.F5 if learner == "svm" else lt.F10
+        base_train = _features5(fx, True) if learner == "svm" else _features10(fx, True)
+        scaler = lt.fit_scaler(base_train, cols)
+        model = lt.fit_pairwise_svm(scaler.transform(base_train).join(fx.cand, lt.KEYS), cols)
+        test = scaler.transform(_features5(fx, False) if learner == "svm" else _features10(fx, False))
+    return model, model.score(test)
+
+
+def _rank_learner(learner):
+    def q(spark, sf_dir):
+        _, scored = _fit_rank(RankFixture(spark, sf_dir), learner)
+        return rk.rank_documents(scored).select("query_id", "doc_id", "rank")
+
+    q.__name__ = f"q_rank_{learner}"
+    return q
+
+
+def q_ltr_ndcg(spark, sf_dir):
+    """Mean NDCG on the test queries (query_id % 4 = 0) for the four learners (Q76)."""
+    fx = RankFixture(spark, sf_dir)
+    out = None
+    for learner in ("ols", "ridge", "svm", "svm10"):
+        _, scored = _fit_rank(fx, learner)
+        nd = ev.mean_ndcg(ev.ndcg_per_query(rk.rank_documents(scored), fx.cand))
+        part = nd.select(F.lit(learner).alias("learner"), _r("mean_ndcg"), "n_queries")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_model_weights(spark, sf_dir):
+    """Fitted weights per learner and feature (Q75)."""
+    fx = RankFixture(spark, sf_dir)
+    rows = []
+    for learner in ("ols", "ridge", "svm", "svm10"):
+        model, _ = _fit_rank(fx, learner)
+        rows += [(learner, c, float(w)) for c, w in zip(model.cols, model.coef)]
+        rows.append((learner, "intercept", float(model.intercept)))
+    return spark.createDataFrame(rows, "learner string, feature string, weight double")
+
+
 QUERIES: dict[str, Query] = {
     "corpus_count": q_corpus_count,
     "tokenize": q_tokenize,
@@ -277,4 +388,15 @@ QUERIES: dict[str, Query] = {
     "rank_window": _rank("window"),
     "ndcg_per_query": q_ndcg_per_query,
     "mean_ndcg": q_mean_ndcg,
+    "features5": q_features5,
+    "features10": q_features10,
+    "scaled_features": q_scaled_features,
+    "pair_count": q_pair_count,
+    "pair_hinge": q_pair_hinge,
+    "rank_ols": _rank_learner("ols"),
+    "rank_ridge": _rank_learner("ridge"),
+    "rank_svm": _rank_learner("svm"),
+    "rank_svm10": _rank_learner("svm10"),
+    "ltr_ndcg": q_ltr_ndcg,
+    "model_weights": q_model_weights,
 }

@@ -255,3 +255,73 @@ SIZE = """sizes as (
 ORACLE["index_size"] = _with(INDEX, GAPS, SIZE) + "select * from sizes"
 ORACLE["index_size_total"] = _with(INDEX, GAPS, SIZE) + """select sum(df) as postings, sum(text_bytes) as text_bytes,
     sum(int32_bytes) as int32_bytes, sum(vb_bytes) as vb_bytes, sum(gamma_bytes) as gamma_bytes from sizes"""
+
+
+def _subl(x: str) -> str:
+    return f"(case when {x} = 0 then 0e0 else 1 + log10({x}) end)"
+
+
+def _feat(add: int, extra: str = "", tr: str = "") -> str:
+    cols = ",\n    ".join(
+        f"sum(case when t.field = '{f}' then log10(98999 // q.df) * {_subl('t.tf')} else 0 end) / (max(p.body_len) + {add}) as f_{f}"
+        for f in ("url", "title", "header", "body", "anchor"))
+    return f"""select t.query_id, t.doc_id{tr},
+    {cols}{extra}
+  from fx_tf t join fx_qterm q using (query_id, term) join fx_pair p using (query_id, doc_id)
+  group by t.query_id, t.doc_id"""
+
+
+F10 = """fx_avg_s as (
+  select (c.query_id % 4 <> 0) as tr, l.field, sum(l.len) // count(*) as av
+  from fx_cand c join fx_len l using (doc_id) group by 1, 2
+),
+fx_term_s as (
+  select t.query_id, t.doc_id, t.term, sum(p.ww * t.tf / (1 + cast(p.bb as double) * (l.len // a.av - 1))) as w
+  from fx_tf t join prm p using (field) join fx_len l using (doc_id, field)
+  join fx_avg_s a on a.field = t.field and a.tr = (t.query_id % 4 <> 0)
+  group by t.query_id, t.doc_id, t.term
+),
+fx_bm_s as (
+  select s.query_id, s.doc_id, sum(log10(98999 // q.df) * s.w / (7 + s.w)) as bm25f_text
+  from fx_term_s s join fx_qterm q using (query_id, term) group by s.query_id, s.doc_id
+),
+fx_f4 as (""" + _feat(4000) + """),
+fx_url as (select doc_id, txt as url from fx_inst where field = 'url'),
+fx_f10 as (
+  select f.*, b.bm25f_text, cast(f.doc_id % 10 as double) as pagerank,
+         cast(coalesce(least(p.body_len, w.min_window), p.body_len) as double) as win_size,
+         case when strpos(u.url, '.pdf') > 0 then 1e0 else 0e0 end as pdf,
+         case when strpos(u.url, '.php') > 0 then 1e0 else 0e0 end as php
+  from fx_f4 f join fx_bm_s b using (query_id, doc_id) join fx_pair p using (query_id, doc_id)
+  join fx_url u using (doc_id) left join fx_win w using (query_id, doc_id)
+)"""
+
+F10_COLS = ["f_url", "f_title", "f_header", "f_body", "f_anchor", "bm25f_text", "pagerank", "win_size", "pdf", "php"]
+F5_COLS = F10_COLS[:5]
+
+
+def _scaled(src: str, cols: list, train_pred: str) -> str:
+    stats = ", ".join(f"avg({c}) as m_{c}, stddev_pop({c}) as s_{c}" for c in cols)
+    out = ", ".join(f"({c} - m_{c}) / case when s_{c} > 0 then s_{c} else 1 end as {c}" for c in cols)
+    return f"""sc as (select {stats} from {src} where {train_pred}),
+scaled as (select query_id, doc_id, {out} from {src} cross join sc)"""
+
+
+ORACLE["features5"] = _with(FX, "f5 as (" + _feat(5000) + ")") + "select query_id, doc_id, " + ", ".join(
+    f"round({c}, 9) as {c}" for c in F5_COLS) + " from f5"
+ORACLE["features10"] = _with(FX, F10) + "select query_id, doc_id, " + ", ".join(
+    f"round({c}, 9) as {c}" for c in F10_COLS) + " from fx_f10"
+ORACLE["scaled_features"] = _with(FX, F10, _scaled("fx_f10", F10_COLS, "query_id % 4 <> 0")) + "select query_id, doc_id, " + ", ".join(
+    f"round({c}, 9) as {c}" for c in F10_COLS) + " from scaled"
+ORACLE["pair_count"] = _with(FX) + """select a.query_id, cast(sum(case when a.rel <> b.rel then 1 else 0 end) as bigint) as n_pairs
+    from fx_cand a join fx_cand b using (query_id) group by a.query_id"""
+
+_HW = (1.0, -2.0, 0.5, 3.0, -1.0)
+_MARGIN = " + ".join(f"{w} * (a.{c} - b.{c})" for w, c in zip(_HW, F5_COLS))
+ORACLE["pair_hinge"] = _with(FX, "f5 as (" + _feat(5000) + " having t.query_id % 4 <> 0)", _scaled("f5", F5_COLS, "true"),
+                             """tr as (select s.*, c.rel from scaled s join fx_cand c using (query_id, doc_id)),
+pr as (select a.*, b.f_url as b_url, 1 - (""" + _MARGIN + """) as h, """ + ", ".join(
+    f"a.{c} - b.{c} as d_{c}" for c in F5_COLS) + """ from tr a join tr b on a.query_id = b.query_id and a.rel > b.rel),
+v as (select 'loss' as name, sum(h) as value from pr where h > 0
+      """ + "\n      ".join(f"union all select 'grad_{c}', -sum(d_{c}) from pr where h > 0" for c in F5_COLS) + """)""") + \
+    "select name, round(value, 6) as value from v"
