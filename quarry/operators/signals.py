@@ -90,3 +90,43 @@ def long_tf(tf: DataFrame) -> DataFrame:
 def long_lengths(lens: DataFrame, keys: Sequence[str]) -> DataFrame:
     pairs = ", ".join(f"'{f}', len_{f}" for f in FIELDS)
     return lens.select(*keys, F.expr(f"stack({len(FIELDS)}, {pairs}) as (field, len)"))
+
+
+def signal_tables(sig: DataFrame):
+    """Parsed signal records -> (tokens, stats, avg) keyed by (query_id = query, doc_id = url).
+
+    Title, header and anchor tokens are ASCII-lowered whitespace tokens
+    (anchors weighted by their count), url tokens are alphanumeric runs,
+    body tokens are the given hit positions; body length is the given one.
+    Averages cover every record, including an earlier block of a repeated
+    query, while only the last block of a query is ranked (Q05, Q43-Q46).
+    """
+    from quarry.functions.text import lower_ws_terms, url_terms
+
+    base = ["u_seq"]
+    one = F.lit(1).cast("bigint")
+    url_t = sig.select(*base, F.lit("url").alias("field"), F.lit(0).alias("inst"), one.alias("weight"),
+                       F.posexplode(url_terms("url")).alias("pos", "term"))
+    title_t = sig.select(*base, F.lit("title").alias("field"), F.lit(0).alias("inst"), one.alias("weight"),
+                         F.posexplode(lower_ws_terms("title")).alias("pos", "term"))
+    heads = sig.select(*base, F.posexplode("headers").alias("inst", "h"))
+    head_t = heads.select(*base, F.lit("header").alias("field"), "inst", one.alias("weight"),
+                          F.posexplode(lower_ws_terms("h")).alias("pos", "term"))
+    anch = sig.select(*base, F.posexplode("anchors").alias("inst", "a"))
+    anch_t = anch.select(*base, F.lit("anchor").alias("field"), "inst", F.col("a.cnt").cast("bigint").alias("weight"),
+                         F.posexplode(lower_ws_terms("a.text")).alias("pos", "term"))
+    body = sig.select(*base, F.explode("body_hits").alias("term", "ps"))
+    body_t = body.select(*base, F.lit("body").alias("field"), F.lit(0).alias("inst"), one.alias("weight"),
+                         F.explode("ps").alias("pos"), ascii_lower("term").alias("term"))
+    cols = [*base, "field", "inst", "weight", "term", "pos"]
+    tokens = url_t.select(*cols).unionByName(title_t.select(*cols)).unionByName(head_t.select(*cols)) \
+        .unionByName(anch_t.select(*cols)).unionByName(body_t.select(*cols))
+    lens = field_lengths(tokens.filter(F.col("field") != "body"), base)
+    stats_all = sig.select(*base, "q_seq", "query", "url", F.col("body_length").cast("bigint").alias("body_length"),
+                           F.col("pagerank").cast("bigint").alias("pagerank")).join(lens, base, "left")
+    stats_all = stats_all.fillna(0, subset=[f"len_{f}" for f in FIELDS if f != "body"]).withColumn("len_body", F.col("body_length"))
+    avg = avg_lengths(stats_all)
+    last = stats_all.groupBy("query").agg(F.max("q_seq").alias("q_seq"))
+    stats = stats_all.join(last, ["query", "q_seq"]).withColumn("query_id", F.col("query")).withColumn("doc_id", F.col("url"))
+    tokens = tokens.join(stats.select(*base, "query_id", "doc_id"), base).drop(*base)
+    return tokens, stats.drop(*base, "q_seq"), avg

@@ -350,6 +350,66 @@ def q_model_weights(spark, sf_dir):
     return spark.createDataFrame(rows, "learner string, feature string, weight double")
 
 
+# ---------------------------------------------------------------- text files
+def _score_signals(sig_df: DataFrame, doc_freq: DataFrame) -> DataFrame:
+    """Signal records -> (query, url, cosine, bm25f, window) through the generic signal path."""
+    from quarry.session import checkpointed
+
+    tokens, stats, avg = sig.signal_tables(checkpointed(sig_df))
+    stats = checkpointed(stats)
+    queries = stats.select("query_id").distinct().withColumn("query", F.col("query_id"))
+    qvec = sig.query_vector(queries, doc_freq)
+    hits = tokens.join(qvec.select("query_id", "term"), ["query_id", "term"])
+    scores = sc.score_pairs(sig.field_tf(hits, stats, qvec), stats, avg)
+    qt_low = sig.query_vector(queries, doc_freq, lower=True).select("query_id", "term")
+    win = sc.min_windows(tokens.join(qt_low, ["query_id", "term"]), qt_low)
+    sw = sc.smallest_window_scores(scores, win, queries)
+    return scores.join(sw, ["query_id", "doc_id"]).select(
+        F.col("query_id").alias("query"), F.col("doc_id").alias("url"), "cosine", "bm25f", F.col("score").alias("window_"))
+
+
+def q_signal_file_scores(spark, sf_dir):
+    """Fixture -> signal text file -> parsed records -> scores (Q05 end to end)."""
+    from quarry.plans.fixtures import signal_records
+    from quarry.sources import textfiles as tx
+
+    fx = RankFixture(spark, sf_dir)
+    path = tx.scratch_path(spark, "signals")
+    tx.write_signals(signal_records(fx), path)
+    s = _score_signals(tx.read_signals(spark, path), fx.df)
+    return s.select("query", "url", _r("cosine"), _r("bm25f"), _r("window_"))
+
+
+def _query_url(fx: RankFixture, df: DataFrame) -> DataFrame:
+    urls = fx.inst.filter(F.col("field") == "url").select("doc_id", F.col("txt").alias("url"))
+    return df.join(fx.queries, "query_id").join(urls, "doc_id")
+
+
+def q_label_file(spark, sf_dir):
+    """Relevance labels written as text and read back (Q06)."""
+    from quarry.sources import textfiles as tx
+
+    fx = RankFixture(spark, sf_dir)
+    path = tx.scratch_path(spark, "labels")
+    tx.write_labels(_query_url(fx, fx.cand).withColumnRenamed("query_id", "q_order").withColumn("query_id", F.col("q_order")), path, "q_order")
+    return tx.read_labels(spark, path)
+
+
+def q_ranked_file(spark, sf_dir):
+    """BM25F ranking written as a ranked-list file (Q08), read back (Q07) and
+    evaluated against the relevance file (Q06): NDCG per query from files."""
+    from quarry.sources import textfiles as tx
+
+    fx = RankFixture(spark, sf_dir)
+    ranked = _query_url(fx, rk.rank_documents(_scored(fx, "bm25f")))
+    rpath, lpath = tx.scratch_path(spark, "ranked"), tx.scratch_path(spark, "labels")
+    tx.write_ranked(ranked.withColumn("q_order", F.col("query_id")), rpath, "q_order")
+    tx.write_labels(_query_url(fx, fx.cand).withColumn("q_order", F.col("query_id")), lpath, "q_order")
+    r = tx.read_ranked(spark, rpath).select(F.col("query").alias("query_id"), F.col("url").alias("doc_id"), "rank")
+    lab = tx.read_labels(spark, lpath).select(F.col("query").alias("query_id"), F.col("url").alias("doc_id"), "rel")
+    return ev.ndcg_per_query(r, lab).select(F.col("query_id").alias("query"), _r("ndcg"))
+
+
 QUERIES: dict[str, Query] = {
     "corpus_count": q_corpus_count,
     "tokenize": q_tokenize,
@@ -399,4 +459,7 @@ QUERIES: dict[str, Query] = {
     "rank_svm10": _rank_learner("svm10"),
     "ltr_ndcg": q_ltr_ndcg,
     "model_weights": q_model_weights,
+    "signal_file_scores": q_signal_file_scores,
+    "label_file": q_label_file,
+    "ranked_file": q_ranked_file,
 }

@@ -150,3 +150,28 @@ class RankFixture:
         """Train (query_id % 4 <> 0) / test (= 0) halves for the learners."""
         cond = (F.col("query_id") % 4 != 0) if train else (F.col("query_id") % 4 == 0)
         return cond
+
+
+def signal_records(fx: RankFixture) -> DataFrame:
+    """The fixture as signal-file records: one per candidate (query, doc) with the
+    raw title / headers / anchor text, the query terms' body positions,
+    body length and pagerank (the input of the signal-file writer)."""
+    inst = fx.inst
+    title = inst.filter(F.col("field") == "title").select("doc_id", F.col("txt").alias("title"))
+    url = inst.filter(F.col("field") == "url").select("doc_id", F.col("txt").alias("url"))
+    heads = inst.filter(F.col("field") == "header").groupBy("doc_id").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("inst", "txt"))), lambda s: s["txt"]).alias("headers"))
+    anchors = inst.filter(F.col("field") == "anchor").select(
+        "doc_id", F.array(F.struct(F.col("txt").alias("text"), F.col("weight").cast("int").alias("cnt"))).alias("anchors"))
+    body = fx.hits.filter(F.col("field") == "body").groupBy("query_id", "doc_id", "term").agg(
+        F.array_sort(F.collect_list(F.col("pos").cast("int"))).alias("ps"))
+    body = body.groupBy("query_id", "doc_id").agg(F.map_from_entries(F.collect_list(F.struct("term", "ps"))).alias("body_hits"))
+    r = (fx.doc_stats.select("query_id", "doc_id", F.col("body_length").cast("int").alias("body_length"),
+                             F.col("pagerank").cast("int").alias("pagerank"))
+         .join(fx.queries, "query_id").join(title, "doc_id").join(url, "doc_id").join(heads, "doc_id")
+         .join(anchors, "doc_id", "left").join(body, ["query_id", "doc_id"], "left"))
+    return r.select(
+        F.col("query_id").alias("q_order"), "query", "url", "title", "headers",
+        F.coalesce("body_hits", F.create_map().cast("map<string,array<int>>")).alias("body_hits"),
+        "body_length", "pagerank", F.coalesce("anchors", F.array().cast("array<struct<text:string,cnt:int>>")).alias("anchors"),
+    )

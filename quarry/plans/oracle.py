@@ -325,3 +325,11 @@ pr as (select a.*, b.f_url as b_url, 1 - (""" + _MARGIN + """) as h, """ + ", ".
 v as (select 'loss' as name, sum(h) as value from pr where h > 0
       """ + "\n      ".join(f"union all select 'grad_{c}', -sum(d_{c}) from pr where h > 0" for c in F5_COLS) + """)""") + \
     "select name, round(value, 6) as value from v"
+
+QU = """fx_q as (select query_id, query from fx_query),
+fx_u as (select doc_id, txt as url from fx_inst where field = 'url')"""
+ORACLE["signal_file_scores"] = _with(FX, QU) + """select q.query, u.url, round(s.cosine, 9) as cosine, round(s.bm25f, 9) as bm25f,
+    round(w.score, 9) as window_
+    from fx_score s join fx_sw w using (query_id, doc_id) join fx_q q using (query_id) join fx_u u using (doc_id)"""
+ORACLE["label_file"] = _with(FX, QU) + "select q.query, u.url, c.rel from fx_cand c join fx_q q using (query_id) join fx_u u using (doc_id)"
+ORACLE["ranked_file"] = _with(FX, _ndcg_sql("fx_score", "bm25f"), QU) + "select q.query, round(nd.ndcg, 9) as ndcg from nd join fx_q q using (query_id)"
