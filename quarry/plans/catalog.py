@@ -410,6 +410,21 @@ def q_ranked_file(spark, sf_dir):
     return ev.ndcg_per_query(r, lab).select(F.col("query_id").alias("query"), _r("ndcg"))
 
 
+# ---------------------------------------------------------------- streaming
+def q_search_stream(spark, sf_dir):
+    """Index written and reloaded (Q03, Q04); the boolean query batch streamed
+    through it as text files (Q11, Q77)."""
+    from quarry.sources import textfiles as tx
+    from quarry.streaming.search import read_stream_results, start_search_stream
+
+    ipath, qdir = tx.scratch_path(spark, "index"), tx.scratch_path(spark, "queries")
+    out, ck = tx.scratch_path(spark, "stream-out"), tx.scratch_path(spark, "stream-ckpt")
+    _index(spark, sf_dir).write(ipath)
+    RankFixture(spark, sf_dir).bool_queries.select("query").write.mode("overwrite").text(qdir)
+    start_search_stream(spark, qdir, ipath, out, ck).awaitTermination()
+    return read_stream_results(spark, out).select("query", "doc_name")
+
+
 QUERIES: dict[str, Query] = {
     "corpus_count": q_corpus_count,
     "tokenize": q_tokenize,
@@ -462,4 +477,5 @@ QUERIES: dict[str, Query] = {
     "signal_file_scores": q_signal_file_scores,
     "label_file": q_label_file,
     "ranked_file": q_ranked_file,
+    "search_stream": q_search_stream,
 }

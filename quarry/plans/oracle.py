@@ -333,3 +333,5 @@ ORACLE["signal_file_scores"] = _with(FX, QU) + """select q.query, u.url, round(s
     from fx_score s join fx_sw w using (query_id, doc_id) join fx_q q using (query_id) join fx_u u using (doc_id)"""
 ORACLE["label_file"] = _with(FX, QU) + "select q.query, u.url, c.rel from fx_cand c join fx_q q using (query_id) join fx_u u using (doc_id)"
 ORACLE["ranked_file"] = _with(FX, _ndcg_sql("fx_score", "bm25f"), QU) + "select q.query, round(nd.ndcg, 9) as ndcg from nd join fx_q q using (query_id)"
+
+ORACLE["search_stream"] = "select query, doc_name from (" + ORACLE["boolean_search"] + ")"
