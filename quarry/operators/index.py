@@ -31,10 +31,17 @@ def corpus_from_documents(documents: DataFrame) -> DataFrame:
 
 
 def corpus_from_files(spark: SparkSession, root: str) -> DataFrame:
-    """Corpus scan of ``root/<block>/<file>`` plain-text files (Q01)."""
-    raw = spark.read.text(f"{root.rstrip('/')}/*/*", wholetext=True).select(
-        F.col("value").alias("text"), F.col("_metadata.file_path").alias("path")
-    )
+    """Corpus scan of ``root/<block>/<file>`` plain-text files (Q01).
+
+    File scans skip zero-length files, but an empty document still gets a
+    doc id, so the file list (the scan's own driver-side listing) is left
+    joined with the contents."""
+    reader = spark.read.text(f"{root.rstrip('/')}/*/*", wholetext=True)
+    # 'scheme:///x' and 'scheme:/x' name the same file (empty authority)
+    norm = lambda c: F.regexp_replace(c, "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
+    content = reader.select(F.col("value").alias("text"), norm(F.col("_metadata.file_path")).alias("path"))
+    files = spark.createDataFrame([(p,) for p in reader.inputFiles()], "path string").select(norm(F.col("path")).alias("path"))
+    raw = files.join(content, "path", "left").select(F.coalesce("text", F.lit("")).alias("text"), "path")
     parts = F.split(F.col("path"), "/")
     return raw.select(
         F.col("path").alias("doc_key"),
