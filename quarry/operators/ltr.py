@@ -30,7 +30,6 @@ from quarry.functions.text import url_flag
 from quarry.functions.vectors import sublinear
 from quarry.operators.scoring import BM25FParams, _bm25_weight, averages_row
 from quarry.operators.signals import FIELDS, N_DOCS, idf
-from quarry.session import checked_broadcast
 
 KEYS = ["query_id", "doc_id"]
 F5 = [f"f_{f}" for f in FIELDS]
@@ -246,7 +245,8 @@ class PairwiseHinge:
             tot = scanned.filter(F.col("kind") == 1).select("g0", "g1", "g2", "p", F.col("cnt").alias("n"))
             before = Window.partitionBy("g0", "g1", "g2").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
             off = tot.withColumn("off", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-            probes = scanned.filter(F.col("kind") == 0).join(checked_broadcast(off), ["g0", "g1", "g2", "p"], "left")
+            # at most partitions + groups rows; AQE broadcasts it at run time when it is small
+            probes = scanned.filter(F.col("kind") == 0).join(off, ["g0", "g1", "g2", "p"], "left")
             cnt = (F.col("cnt") + F.coalesce(F.col("off"), F.lit(0))).cast("double")
             hi = F.col("g2") == 0
             sv = F.col(f"x{d}")
@@ -261,7 +261,7 @@ class PairwiseHinge:
         self.items.unpersist()
 
 
-def _lbfgs(fun, x0: np.ndarray, max_iter: int = 100, m: int = 10, tol: float = 1e-9):
+def _lbfgs(fun, x0: np.ndarray, max_iter: int = 100, m: int = 10, tol: float = 1e-7):
     """Plain L-BFGS with Armijo backtracking (the problem has 5-10 unknowns)."""
     x = x0.astype(float)
     f, g = fun(x)
@@ -282,6 +282,8 @@ def _lbfgs(fun, x0: np.ndarray, max_iter: int = 100, m: int = 10, tol: float = 1
         if g @ d >= 0:
             d = -g
             s_hist, y_hist = [], []
+        if not s_hist:
+            d = d / max(1.0, float(np.linalg.norm(d)))  # unit first move: the gradient scale is the pair count
         step, accepted = 1.0, False
         for _ in range(30):
             xn = x + step * d

@@ -147,8 +147,18 @@ def q_field_tokens(spark, sf_dir):
     return RankFixture(spark, sf_dir).tok
 
 
+def _memo(fx: RankFixture, key, build):
+    """One materialised copy per fixture of a table several plans share."""
+    from quarry.session import checkpointed
+
+    cache = fx.__dict__.setdefault("_memo", {})
+    if key not in cache:
+        cache[key] = checkpointed(build())
+    return cache[key]
+
+
 def _tf(fx: RankFixture) -> DataFrame:
-    return sig.field_tf(fx.hits, fx.cand, fx.qvec)
+    return _memo(fx, "tf", lambda: sig.field_tf(fx.hits, fx.cand, fx.qvec))
 
 
 def q_field_tf(spark, sf_dir):
@@ -182,11 +192,12 @@ def q_sublinear_tf(spark, sf_dir):
 
 # ---------------------------------------------------------------- scoring and ranking
 def _scores(fx: RankFixture) -> DataFrame:
-    return sc.score_pairs(_tf(fx), fx.doc_stats, sig.avg_lengths(fx.doc_stats))
+    return _memo(fx, "scores", lambda: sc.score_pairs(_tf(fx), fx.doc_stats, sig.avg_lengths(fx.doc_stats)))
 
 
 def _windows(fx: RankFixture) -> DataFrame:
-    return sc.min_windows(fx.hits.join(fx.cand.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_semi"), fx.qterm)
+    return _memo(fx, "windows", lambda: sc.min_windows(
+        fx.hits.join(fx.cand.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_semi"), fx.qterm))
 
 
 def _scored(fx: RankFixture, method: str) -> DataFrame:
@@ -246,16 +257,22 @@ def _split_stats(fx: RankFixture, train: bool) -> DataFrame:
 
 
 def _features5(fx: RankFixture, train: bool | None = None) -> DataFrame:
-    tf, stats = _tf(fx), fx.doc_stats
-    if train is not None:
-        tf, stats = tf.filter(fx.split(train)), stats.filter(fx.split(train))
-    return lt.tfidf_features(tf, stats, 5000)
+    def build():
+        tf, stats = _tf(fx), fx.doc_stats
+        if train is not None:
+            tf, stats = tf.filter(fx.split(train)), stats.filter(fx.split(train))
+        return lt.tfidf_features(tf, stats, 5000)
+
+    return _memo(fx, ("f5", train), build)
 
 
 def _features10(fx: RankFixture, train: bool) -> DataFrame:
     """Ten features of one split; BM25F uses that split's own average lengths."""
-    stats = _split_stats(fx, train)
-    return lt.extended_features(_tf(fx).filter(fx.split(train)), stats, sig.avg_lengths(stats), _windows(fx))
+    def build():
+        stats = _split_stats(fx, train)
+        return lt.extended_features(_tf(fx).filter(fx.split(train)), stats, sig.avg_lengths(stats), _windows(fx))
+
+    return _memo(fx, ("f10", train), build)
 
 
 def q_features5(spark, sf_dir):
@@ -318,6 +335,13 @@ def _fit_rank(fx: RankFixture, learner: str):
     return model, model.score(test)
 
 
+def _memo_fit(fx: RankFixture, learner: str):
+    cache = fx.__dict__.setdefault("_fits", {})
+    if learner not in cache:
+        cache[learner] = _fit_rank(fx, learner)
+    return cache[learner]
+
+
 def _rank_learner(learner):
     def q(spark, sf_dir):
         _, scored = _fit_rank(RankFixture(spark, sf_dir), learner)
@@ -332,7 +356,7 @@ def q_ltr_ndcg(spark, sf_dir):
     fx = RankFixture(spark, sf_dir)
     out = None
     for learner in ("ols", "ridge", "svm", "svm10"):
-        _, scored = _fit_rank(fx, learner)
+        _, scored = _memo_fit(fx, learner)
         nd = ev.mean_ndcg(ev.ndcg_per_query(rk.rank_documents(scored), fx.cand))
         part = nd.select(F.lit(learner).alias("learner"), _r("mean_ndcg"), "n_queries")
         out = part if out is None else out.unionByName(part)
