@@ -137,8 +137,12 @@ class InvertedIndex:
 
 def build_index(corpus: DataFrame) -> InvertedIndex:
     """Corpus -> catalog, occurrences, postings and document frequencies (E1)."""
+    from quarry.session import checkpointed
+
     catalog = doc_catalog(corpus)
-    occ = occurrences(tokenize(corpus), catalog)
+    # The (term, doc) table is the index itself: materialise it once, every
+    # other table (postings, df, term ids, codecs) derives from it.
+    occ = checkpointed(occurrences(tokenize(corpus), catalog))
     post = postings(occ)
     return InvertedIndex(catalog=catalog, occ=occ, postings=post, doc_freq=doc_freq(post))
 

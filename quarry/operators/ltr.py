@@ -198,12 +198,21 @@ class PairwiseHinge:
         self.spark = items.sparkSession
         self.items = items.select(F.col(query_col).alias("q"), F.col(label).cast("double").alias("rel"),
                                   *[F.col(c).cast("double").alias(f"x{k}") for k, c in enumerate(self.cols)])
-        self.items = self.items.persist(StorageLevel.MEMORY_AND_DISK)
+        # checkpoint, not persist: it also cuts the lineage, so each of the many
+        # evaluations plans a small query instead of re-analysing the whole feature chain
+        from quarry.session import checkpointed
+
+        self.items = checkpointed(self.items)
         levels = [r["rel"] for r in self.items.select("rel").distinct().limit(1025).collect()]
         if len(levels) > 1024:
             raise ValueError("pairwise training expects discrete relevance levels")
         self.levels = sorted(levels)
         self.q_type = self.items.schema["q"].dataType.simpleString()
+        # A (query, level, role) group holds at most one row per item of the query;
+        # checked once, the sizes do not change between evaluations.
+        from quarry.operators.numbering import MAX_TASK_ROWS, largest_group
+
+        self.window_path = largest_group(self.items, ["q"]) <= MAX_TASK_ROWS
 
     def n_pairs(self) -> int:
         """Ordered pairs with differing relevance, from per-(query, level) counts."""
@@ -232,6 +241,11 @@ class PairwiseHinge:
         pts = pts.withColumn("x_s", F.lit(0.0))
         ev = pts.unionByName(pr)
         # probes sort before points on equal keys: both conditions are strict
+        if self.window_path:
+            w = Window.partitionBy("q", "r", "role").orderBy("key", "pt").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            probes = ev.withColumn("cnt", F.sum("pt").over(w) - F.col("pt")).filter(F.col("pt") == 0)
+            probes = probes.select(F.col("role").alias("g2"), "cnt", *[f"x{k}" for k in range(d)], F.col("x_s").alias(f"x{d}"))
+            return self._reduce(probes, d)
         order = ["q", "r", "role", "key", "pt"]
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         ev = ev.repartitionByRange(n, *order).sortWithinPartitions(*order)
@@ -247,18 +261,24 @@ class PairwiseHinge:
             off = tot.withColumn("off", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
             # at most partitions + groups rows; AQE broadcasts it at run time when it is small
             probes = scanned.filter(F.col("kind") == 0).join(off, ["g0", "g1", "g2", "p"], "left")
-            cnt = (F.col("cnt") + F.coalesce(F.col("off"), F.lit(0))).cast("double")
-            hi = F.col("g2") == 0
-            sv = F.col(f"x{d}")
-            aggs = [F.sum(F.when(hi, cnt * (F.lit(1.0) - sv)).otherwise(cnt * sv)).alias("loss")]
-            aggs += [F.sum(F.when(hi, -cnt * F.col(f"x{k}")).otherwise(cnt * F.col(f"x{k}"))).alias(f"g{k}") for k in range(d)]
-            r = probes.agg(*aggs).first()
+            probes = probes.withColumn("cnt", F.col("cnt") + F.coalesce(F.col("off"), F.lit(0)))
+            return self._reduce(probes, d)
         finally:
             scanned.unpersist()
+
+    @staticmethod
+    def _reduce(probes: DataFrame, d: int):
+        """Loss = sum cnt * (1 - s) over 'higher' probes + cnt * s over 'lower' ones; gradient alike."""
+        cnt = F.col("cnt").cast("double")
+        hi = F.col("g2") == 0
+        sv = F.col(f"x{d}")
+        aggs = [F.sum(F.when(hi, cnt * (F.lit(1.0) - sv)).otherwise(cnt * sv)).alias("loss")]
+        aggs += [F.sum(F.when(hi, -cnt * F.col(f"x{k}")).otherwise(cnt * F.col(f"x{k}"))).alias(f"g{k}") for k in range(d)]
+        r = probes.agg(*aggs).first()
         return float(r["loss"] or 0.0), np.array([float(r[f"g{k}"] or 0.0) for k in range(d)])
 
     def close(self):
-        self.items.unpersist()
+        pass
 
 
 def _lbfgs(fun, x0: np.ndarray, max_iter: int = 100, m: int = 10, tol: float = 1e-7):

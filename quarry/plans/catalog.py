@@ -149,11 +149,11 @@ def q_field_tokens(spark, sf_dir):
 
 def _memo(fx: RankFixture, key, build):
     """One materialised copy per fixture of a table several plans share."""
-    from quarry.session import checkpointed
+    from quarry.session import reused
 
     cache = fx.__dict__.setdefault("_memo", {})
     if key not in cache:
-        cache[key] = checkpointed(build())
+        cache[key] = reused(build())
     return cache[key]
 
 

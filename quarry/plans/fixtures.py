@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import ascii_lower, ws_terms
 from quarry.operators import signals as sig
-from quarry.session import checkpointed
+from quarry.session import reused
 from quarry.sources.tables import table
 
 # The query terms are the 9th-11th most frequent (body df) terms of each benchmark text.
@@ -47,12 +47,14 @@ def field_instances(documents: DataFrame) -> DataFrame:
     return d.select("doc_id", F.inline(rows))
 
 
+def _inst_terms():
+    return F.when(F.col("field") == "url", F.regexp_extract_all(ascii_lower("txt"), F.lit("[a-z0-9]+"), 0)).otherwise(
+        ws_terms(ascii_lower("txt")))
+
+
 def field_tokens(inst: DataFrame) -> DataFrame:
     """(doc_id, field, inst, weight, term, pos): url runs for the url, ASCII-lowered whitespace tokens elsewhere."""
-    toks = F.when(F.col("field") == "url", F.regexp_extract_all(ascii_lower("txt"), F.lit("[a-z0-9]+"), 0)).otherwise(
-        ws_terms(ascii_lower("txt"))
-    )
-    return inst.select("doc_id", "field", "inst", "weight", F.posexplode(toks).alias("pos", "term"))
+    return inst.select("doc_id", "field", "inst", "weight", F.posexplode(_inst_terms()).alias("pos", "term"))
 
 
 @dataclass
@@ -77,8 +79,9 @@ class RankFixture:
     @cached_property
     def df(self) -> DataFrame:
         """(term, df): body document frequency + 1 (the +1 of the df dictionary)."""
-        body = self.tok.filter(F.col("field") == "body").select("term", "doc_id").distinct()
-        return checkpointed(body.groupBy("term").agg((F.count(F.lit(1)) + 1).alias("df")))
+        # distinct terms per body before exploding: one row per (term, doc), no shuffle-side distinct
+        body = self.inst.filter(F.col("field") == "body").select(F.explode(F.array_distinct(_inst_terms())).alias("term"))
+        return reused(body.groupBy("term").agg((F.count(F.lit(1)) + 1).alias("df")))
 
     @cached_property
     def bench_terms(self) -> DataFrame:
@@ -91,7 +94,7 @@ class RankFixture:
         """(query_id, term, df): per benchmark item, its terms ranked 9-11 by df (window per item: bounded)."""
         w = Window.partitionBy("item_id").orderBy(F.col("df").desc(), "term")
         r = self.bench_terms.join(self.df, "term").withColumn("rn", F.row_number().over(w))
-        return checkpointed(r.filter(F.col("rn").isin(*QTERM_RANKS)).select(F.col("item_id").alias("query_id"), "term", "df"))
+        return reused(r.filter(F.col("rn").isin(*QTERM_RANKS)).select(F.col("item_id").alias("query_id"), "term", "df"))
 
     @cached_property
     def queries(self) -> DataFrame:
@@ -115,7 +118,7 @@ class RankFixture:
     @cached_property
     def hits(self) -> DataFrame:
         """Query-term occurrences: (query_id, doc_id, field, inst, weight, term, pos)."""
-        return sig.query_hits(self.tok, self.qterm.select("query_id", "term"))
+        return reused(sig.query_hits(self.tok, self.qterm.select("query_id", "term")))
 
     @cached_property
     def labels(self) -> DataFrame:
@@ -126,12 +129,14 @@ class RankFixture:
     def cand(self) -> DataFrame:
         """(query_id, doc_id, rel): labelled documents sharing a query term in any field."""
         pairs = self.hits.select("query_id", "doc_id").distinct().join(self.labels, "doc_id")
-        return checkpointed(pairs.select("query_id", "doc_id", "rel"))
+        return reused(pairs.select("query_id", "doc_id", "rel"))
 
     @cached_property
     def lens(self) -> DataFrame:
         """(doc_id, len_url .. len_anchor): weighted token counts per field, 0 if none (wide)."""
-        return sig.field_lengths(self.tok, ["doc_id"])
+        # token counts straight from the arrays' sizes: no explode needed
+        sized = self.inst.select("doc_id", "field", "inst", (F.size(_inst_terms()) * F.col("weight")).alias("weight"))
+        return sig.field_lengths(sized, ["doc_id"])
 
     @cached_property
     def doc_stats(self) -> DataFrame:
@@ -139,7 +144,7 @@ class RankFixture:
         urls = self.inst.filter(F.col("field") == "url").select("doc_id", F.col("txt").alias("url"))
         s = self.cand.select("query_id", "doc_id").join(self.lens, "doc_id").join(urls, "doc_id")
         s = s.withColumn("body_length", F.col("len_body")).withColumn("pagerank", (F.col("doc_id") % 10).cast("bigint"))
-        return checkpointed(s)
+        return reused(s)
 
     @cached_property
     def qvec(self) -> DataFrame:

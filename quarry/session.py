@@ -50,17 +50,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
+    """Reliable checkpoint into the shared checkpoint folder (survives executor loss).
+
+    The input is persisted first: a reliable checkpoint writes its files in a
+    second job, which would otherwise compute the whole input again.
+    """
+    from pyspark import StorageLevel
+
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
+
+
+def reused(df: DataFrame) -> DataFrame:
+    """Keep a table several later jobs read (MEMORY_AND_DISK, filled by the first
+    job that reads it). Only for deterministic plans: a lost block is recomputed
+    from lineage and comes out the same. Plans whose result depends on
+    partition ids use ``checkpointed`` instead."""
+    from pyspark import StorageLevel
+
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only after counting it; larger sides stay shuffle joins
     (AQE may still convert them at run time, and splits skewed partitions).
 
-    The side is checkpointed first, so counting it does not compute it twice.
+    The side is persisted first, so counting it does not compute it twice.
     """
-    df = checkpointed(df)
+    df = reused(df)
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df

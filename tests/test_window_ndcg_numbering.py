@@ -88,11 +88,12 @@ def test_number_rows_hot_group(spark):
     df = spark.createDataFrame(rows, "g long, s double, i long")
     from pyspark.sql import functions as F
 
-    out = number_rows(df, [F.col("s").desc(), F.col("i")], "rk", start=1, group_by=["g"], num_partitions=7)
-    got = {(r["g"], r["i"]): r["rk"] for r in out.collect()}
-    for g in {r[0] for r in rows}:
-        members = sorted([r for r in rows if r[0] == g], key=lambda r: (-r[1], r[2]))
-        for k, r in enumerate(members, 1):
-            assert got[(g, r[2])] == k
-    flat = number_rows(df.select("i"), ["i"], "id", start=0, num_partitions=5)
-    assert sorted((r["i"], r["id"]) for r in flat.collect()) == [(i, i) for i in range(3000)]
+    for cap in (0, 10 ** 6):  # forced range-partitioned path, then the bounded-window path
+        out = number_rows(df, [F.col("s").desc(), F.col("i")], "rk", start=1, group_by=["g"], num_partitions=7, max_task_rows=cap)
+        got = {(r["g"], r["i"]): r["rk"] for r in out.collect()}
+        for g in {r[0] for r in rows}:
+            members = sorted([r for r in rows if r[0] == g], key=lambda r: (-r[1], r[2]))
+            for k, r in enumerate(members, 1):
+                assert got[(g, r[2])] == k
+        flat = number_rows(df.select("i"), ["i"], "id", start=0, num_partitions=5, max_task_rows=cap)
+        assert sorted((r["i"], r["id"]) for r in flat.collect()) == [(i, i) for i in range(3000)]
