@@ -58,8 +58,7 @@ def boolean_search(queries: DataFrame, postings: DataFrame, doc_freq: DataFrame,
     n_terms = qt.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_terms"))
 
     # Postings of the batch vocabulary only (each list read once per batch).
-    vocab = qt.select("term").distinct()
-    batch_post = postings.select("term", "doc_id").join(vocab, "term", "left_semi")
+    batch_post = restrict_terms(postings.select("term", "doc_id"), qt.select("term").distinct())
 
     seed = qt.filter(F.col("ord") == 1).select("query_id", "term").join(batch_post, "term").select("query_id", "doc_id")
     # Every candidate x every term of its query (the seed term matches trivially).
@@ -67,10 +66,30 @@ def boolean_search(queries: DataFrame, postings: DataFrame, doc_freq: DataFrame,
     hit = checks.join(batch_post, ["term", "doc_id"], "left_semi")
     matched = (
         hit.groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("k"))
-        .join(n_terms, "query_id")
+        # one row per query of the checked query-term table: a proven bound
+        .join(F.broadcast(n_terms), "query_id")
         .filter(F.col("k") == F.col("n_terms"))
         .select("query_id", "doc_id")
     )
     names = matched.join(catalog.select("doc_id", "doc_name"), "doc_id").select("query_id", "doc_name")
-    out = queries.select("query_id", "query").join(names, "query_id", "left")
-    return out.select("query_id", "query", F.coalesce("doc_name", F.lit(NO_RESULTS)).alias("doc_name"))
+    # Results take their query text from a broadcast side: a query with millions of hits
+    # is never shuffled onto one task by query_id. Queries without hits get the sentinel.
+    qtext = checked_broadcast(queries.select("query_id", "query"))
+    found = names.join(qtext, "query_id")
+    empty = qtext.join(matched.select("query_id").distinct(), "query_id", "left_anti")
+    return found.select("query_id", "query", "doc_name").unionByName(
+        empty.select("query_id", "query", F.lit(NO_RESULTS).alias("doc_name")))
+
+
+# Vocabulary size up to which the terms are pushed into the postings scan as an IN list.
+PUSHDOWN_TERMS = 10_000
+
+
+def restrict_terms(postings: DataFrame, vocab: DataFrame, max_terms: int = PUSHDOWN_TERMS) -> DataFrame:
+    """Postings of ``vocab`` only. A small vocabulary (counted) becomes an IN filter
+    that reaches the Parquet scan, where the term-sorted index skips row groups by
+    their min/max; a large one is a semi join."""
+    terms = vocab.limit(max_terms + 1).collect()
+    if len(terms) <= max_terms:
+        return postings.filter(F.col("term").isin([r["term"] for r in terms]))
+    return postings.join(vocab, "term", "left_semi")

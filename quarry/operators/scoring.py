@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.vectors import idiv, sublinear
 from quarry.operators.signals import FIELDS, N_DOCS, idf
+from quarry.session import checked_broadcast
 
 KEYS = ["query_id", "doc_id"]
 
@@ -90,7 +91,9 @@ def min_windows(hits: DataFrame, qterms: DataFrame) -> DataFrame:
     ``last``; the best window ending at p starts at the smallest ``last``.
     """
     g = [*KEYS, "field", "inst"]
-    qt = qterms.select("query_id", F.col("term").alias("t")).distinct()
+    # (query, term) pairs are few per query: broadcast after a count, so the hits of a
+    # hot query are not shuffled onto one task by query_id
+    qt = checked_broadcast(qterms.select("query_id", F.col("term").alias("t")).distinct())
     x = hits.select(*g, "term", "pos").join(qt, "query_id")
     frame = Window.partitionBy(*g, "t").orderBy("pos").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     x = x.withColumn("last", F.max(F.when(F.col("term") == F.col("t"), F.col("pos"))).over(frame))
@@ -109,7 +112,7 @@ def smallest_window_scores(cos: DataFrame, windows: DataFrame, queries: DataFram
     from quarry.functions.text import lower_ws_terms
 
     nq = queries.select("query_id", F.size(lower_ws_terms("query")).cast("double").alias("n_q"))
-    s = cos.select(*KEYS, "cosine").join(windows, KEYS, "left").join(nq, "query_id")
+    s = cos.select(*KEYS, "cosine").join(windows, KEYS, "left").join(checked_broadcast(nq), "query_id")
     boost = F.coalesce(F.col("n_q") / F.col("min_window") * F.lit(p.boost - 1.0), F.lit(0.0)) + F.lit(1.0)
     return s.select(*KEYS, (boost * F.col("cosine")).alias("score"))
 

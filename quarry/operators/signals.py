@@ -46,9 +46,11 @@ def idf(df_col="df", n_docs: int = N_DOCS):
 def query_hits(tokens: DataFrame, qterms: DataFrame, keys: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Field tokens that are query terms, tagged with the query: (query_id, *keys, field, inst, weight, term, pos).
 
-    The (query_id, term) side is broadcast after a row count; the token side is never shuffled here.
+    The (query_id, term) side is broadcast after a row count; the token side is never
+    shuffled here. Tokens that already carry their query (signal files) join on both.
     """
-    return tokens.join(checked_broadcast(qterms.select("query_id", "term")), "term")
+    on = ["query_id", "term"] if "query_id" in tokens.columns else ["term"]
+    return tokens.join(checked_broadcast(qterms.select("query_id", "term")), on)
 
 
 def _wide(prefix: str, value: str) -> list:
@@ -127,6 +129,6 @@ def signal_tables(sig: DataFrame):
     stats_all = stats_all.fillna(0, subset=[f"len_{f}" for f in FIELDS if f != "body"]).withColumn("len_body", F.col("body_length"))
     avg = avg_lengths(stats_all)
     last = stats_all.groupBy("query").agg(F.max("q_seq").alias("q_seq"))
-    stats = stats_all.join(last, ["query", "q_seq"]).withColumn("query_id", F.col("query")).withColumn("doc_id", F.col("url"))
+    stats = stats_all.join(checked_broadcast(last), ["query", "q_seq"]).withColumn("query_id", F.col("query")).withColumn("doc_id", F.col("url"))
     tokens = tokens.join(stats.select(*base, "query_id", "doc_id"), base).drop(*base)
     return tokens, stats.drop(*base, "q_seq"), avg

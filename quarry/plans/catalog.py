@@ -383,10 +383,10 @@ def _score_signals(sig_df: DataFrame, doc_freq: DataFrame) -> DataFrame:
     stats = checkpointed(stats)
     queries = stats.select("query_id").distinct().withColumn("query", F.col("query_id"))
     qvec = sig.query_vector(queries, doc_freq)
-    hits = tokens.join(qvec.select("query_id", "term"), ["query_id", "term"])
+    hits = sig.query_hits(tokens, qvec)
     scores = sc.score_pairs(sig.field_tf(hits, stats, qvec), stats, avg)
     qt_low = sig.query_vector(queries, doc_freq, lower=True).select("query_id", "term")
-    win = sc.min_windows(tokens.join(qt_low, ["query_id", "term"]), qt_low)
+    win = sc.min_windows(sig.query_hits(tokens, qt_low), qt_low)
     sw = sc.smallest_window_scores(scores, win, queries)
     return scores.join(sw, ["query_id", "doc_id"]).select(
         F.col("query_id").alias("query"), F.col("doc_id").alias("url"), "cosine", "bm25f", F.col("score").alias("window_"))
