@@ -147,13 +147,17 @@ def q_field_tokens(spark, sf_dir):
     return RankFixture(spark, sf_dir).tok
 
 
+# Shared tables materialised with a lineage cut (small, read by long downstream plans).
+_CUT = {"tf", "scores", "windows"}
+
+
 def _memo(fx: RankFixture, key, build):
     """One materialised copy per fixture of a table several plans share."""
-    from quarry.session import reused
+    from quarry.session import checkpointed, reused
 
     cache = fx.__dict__.setdefault("_memo", {})
     if key not in cache:
-        cache[key] = reused(build())
+        cache[key] = checkpointed(build()) if key in _CUT else reused(build())
     return cache[key]
 
 
@@ -434,6 +438,32 @@ def q_ranked_file(spark, sf_dir):
     return ev.ndcg_per_query(r, lab).select(F.col("query_id").alias("query"), _r("ndcg"))
 
 
+def q_vocab_file_df(spark, sf_dir):
+    """Query vocabulary written one term per line and read back (Q09); df dictionary
+    built from the index, written as a table and loaded (Q10, Q23)."""
+    from quarry.sources import textfiles as tx
+
+    fx = RankFixture(spark, sf_dir)
+    vpath, dpath = tx.scratch_path(spark, "vocab"), tx.scratch_path(spark, "docfreq")
+    fx.bench_terms.select(F.concat(F.lit("  "), "term", F.lit(" ")).alias("value")).write.mode("overwrite").text(vpath)
+    tx.write_doc_freq(sig.vocab_doc_freq(tx.read_vocabulary(spark, vpath), _index(spark, sf_dir).doc_freq), dpath)
+    return tx.read_doc_freq(spark, dpath)
+
+
+def q_query_file_search(spark, sf_dir):
+    """Boolean search over a query file with blank lines (Q11 -> Q40-Q42)."""
+    from quarry.sources import textfiles as tx
+
+    qpath = tx.scratch_path(spark, "qfile")
+    q = RankFixture(spark, sf_dir).bool_queries
+    lines = q.select(F.col("query_id").alias("k"), "query").unionByName(
+        q.select((F.col("query_id") + F.lit(0.5)).alias("k"), F.lit("   ").alias("query")), allowMissingColumns=True)
+    lines.orderBy("k").select(F.col("query").alias("value")).write.mode("overwrite").text(qpath)
+    idx = _index(spark, sf_dir)
+    res = bl.boolean_search(tx.read_query_lines(spark, qpath), idx.postings, idx.doc_freq, idx.catalog)
+    return res.select("query", "doc_name")
+
+
 # ---------------------------------------------------------------- streaming
 def q_search_stream(spark, sf_dir):
     """Index written and reloaded (Q03, Q04); the boolean query batch streamed
@@ -502,4 +532,22 @@ QUERIES: dict[str, Query] = {
     "label_file": q_label_file,
     "ranked_file": q_ranked_file,
     "search_stream": q_search_stream,
+    "vocab_file_df": q_vocab_file_df,
+    "query_file_search": q_query_file_search,
 }
+
+
+def _scoped(fn: Query) -> Query:
+    """Release the tables the previous query kept before building the next plan."""
+    def run(spark, sf_dir):
+        from quarry.session import release_cached
+
+        release_cached()
+        return fn(spark, sf_dir)
+
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
+QUERIES = {name: _scoped(fn) for name, fn in QUERIES.items()}

@@ -335,3 +335,5 @@ ORACLE["label_file"] = _with(FX, QU) + "select q.query, u.url, c.rel from fx_can
 ORACLE["ranked_file"] = _with(FX, _ndcg_sql("fx_score", "bm25f"), QU) + "select q.query, round(nd.ndcg, 9) as ndcg from nd join fx_q q using (query_id)"
 
 ORACLE["search_stream"] = "select query, doc_name from (" + ORACLE["boolean_search"] + ")"
+ORACLE["vocab_file_df"] = ORACLE["vocab_df"]
+ORACLE["query_file_search"] = ORACLE["search_stream"]

@@ -65,14 +65,25 @@ def checkpointed(df: DataFrame) -> DataFrame:
         df.unpersist()
 
 
+_PERSISTED: list = []
+
+
 def reused(df: DataFrame) -> DataFrame:
     """Keep a table several later jobs read (MEMORY_AND_DISK, filled by the first
     job that reads it). Only for deterministic plans: a lost block is recomputed
     from lineage and comes out the same. Plans whose result depends on
-    partition ids use ``checkpointed`` instead."""
+    partition ids use ``checkpointed`` instead. Released by ``release_cached``."""
     from pyspark import StorageLevel
 
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(out)
+    return out
+
+
+def release_cached() -> None:
+    """Unpersist every table kept by ``reused`` so far (between queries / micro-batches)."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist(blocking=False)
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

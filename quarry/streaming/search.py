@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators.boolean import boolean_search
 from quarry.operators.index import load_index
+from quarry.session import release_cached
 
 
 def start_search_stream(spark: SparkSession, query_dir: str, index_path: str, out_path: str,
@@ -29,6 +30,7 @@ def start_search_stream(spark: SparkSession, query_dir: str, index_path: str, ou
         q = q.withColumn("query_id", F.monotonically_increasing_id())
         res = boolean_search(q, idx["postings"], idx["doc_freq"], catalog)
         res.select("query", "doc_name").write.mode("overwrite").parquet(f"{out_path}/epoch={epoch_id}")
+        release_cached()  # the batch's small persisted sides
 
     w = lines.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
