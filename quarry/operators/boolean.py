@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import ws_terms
-from quarry.session import checked_broadcast
+from quarry.session import checked_broadcast, reused
 
 NO_RESULTS = "no results found"
 
@@ -58,7 +58,7 @@ def boolean_search(queries: DataFrame, postings: DataFrame, doc_freq: DataFrame,
     n_terms = qt.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_terms"))
 
     # Postings of the batch vocabulary only (each list read once per batch).
-    batch_post = restrict_terms(postings.select("term", "doc_id"), qt.select("term").distinct())
+    batch_post = reused(restrict_terms(postings.select("term", "doc_id"), qt.select("term").distinct()))
 
     seed = qt.filter(F.col("ord") == 1).select("query_id", "term").join(batch_post, "term").select("query_id", "doc_id")
     # Every candidate x every term of its query (the seed term matches trivially).
@@ -71,6 +71,7 @@ def boolean_search(queries: DataFrame, postings: DataFrame, doc_freq: DataFrame,
         .filter(F.col("k") == F.col("n_terms"))
         .select("query_id", "doc_id")
     )
+    matched = reused(matched)  # read by the hit rows and by the no-result check
     names = matched.join(catalog.select("doc_id", "doc_name"), "doc_id").select("query_id", "doc_name")
     # Results take their query text from a broadcast side: a query with millions of hits
     # is never shuffled onto one task by query_id. Queries without hits get the sentinel.
