@@ -186,6 +186,9 @@ def _scan_partition(ngroup: int, nx: int, schema: pa.Schema):
     return run
 
 
+# Items per task in the per-evaluation passes of the pairwise objective.
+ROWS_PER_TASK = 50_000
+
 _ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64()}
 
 
@@ -203,6 +206,12 @@ class PairwiseHinge:
         from quarry.session import checkpointed
 
         self.items = checkpointed(self.items)
+        # every evaluation re-reads the items: give them partitions sized by rows,
+        # not by the session's default (a few hundred rows need not be 200 tasks)
+        n_rows = self.items.count()
+        want = max(1, -(-n_rows // ROWS_PER_TASK))
+        if want < self.items.rdd.getNumPartitions():
+            self.items = self.items.coalesce(want)
         levels = [r["rel"] for r in self.items.select("rel").distinct().limit(1025).collect()]
         if len(levels) > 1024:
             raise ValueError("pairwise training expects discrete relevance levels")
