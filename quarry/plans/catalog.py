@@ -204,7 +204,9 @@ def _windows(fx: RankFixture) -> DataFrame:
         fx.hits.join(fx.cand.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_semi"), fx.qterm))
 
 
-def _scored(fx: RankFixture, method: str) -> DataFrame:
+def _scored(fx: RankFixture, method) -> DataFrame:
+    """Scores of one scorer: 1 / 'cosine', 2 / 'bm25f', 3 / 'window' (Q59)."""
+    method = sc.select_scorer(method)
     s = _scores(fx)
     if method == "window":
         return sc.smallest_window_scores(s, _windows(fx), fx.queries)

@@ -61,3 +61,13 @@ def test_corpus_from_files(spark, tmp_path):
     assert ix.corpus_count(corpus).first()["n_docs"] == 4
     ref = ix.build_index(_corpus(spark))
     assert sorted(map(tuple, idx.postings.collect())) == sorted(map(tuple, ref.postings.collect()))
+
+
+def test_scorer_selection():
+    from quarry.operators.scoring import select_scorer
+
+    assert [select_scorer(k) for k in (1, 2, 3, 7)] == ["cosine", "bm25f", "window", "cosine"]
+    import pytest
+
+    with pytest.raises(ValueError):
+        select_scorer("pagerank")

@@ -12,7 +12,8 @@ import __spark_entry__ as entry_mod
 from quarry.sources.tables import TABLES
 
 FAST = ["corpus_count", "doc_catalog", "term_catalog", "postings", "boolean_search", "vb_postings", "gamma_postings",
-        "index_size", "field_tf", "bm25f", "min_window", "rank_window", "ndcg_per_query", "features10", "pair_hinge"]
+        "index_size", "field_tf", "bm25f", "min_window", "rank_window", "ndcg_per_query", "features10", "pair_hinge",
+        "signal_file_scores", "ranked_file", "search_stream", "query_file_search"]
 NAMES = sorted(entry_mod.oracle_sql()) if os.environ.get("QUARRY_FULL") else FAST
 
 
