@@ -327,16 +327,35 @@ def q_pair_hinge(spark, sf_dir):
     return spark.createDataFrame(rows, "name string, value double")
 
 
+# Fitted weights per (input tables, learner): fit once per process, score many times.
+_FITTED: dict = {}
+
+
+def _inputs_key(fx: RankFixture) -> tuple:
+    import os
+
+    stamp = []
+    for name in ("documents", "benchmark", "labels"):
+        path = f"{fx.sf_dir.rstrip('/')}/{name}.parquet"
+        stamp.append(os.path.getmtime(path) if os.path.exists(path) else None)
+    return (fx.sf_dir, tuple(stamp))
+
+
 def _fit_rank(fx: RankFixture, learner: str):
+    key = (_inputs_key(fx), learner)
     if learner in ("ols", "ridge"):
-        train = _features5(fx, True).join(fx.cand, lt.KEYS)
-        model = lt.fit_least_squares(train, lt.F5, alpha=4.5 if learner == "ridge" else 0.0)
+        if key not in _FITTED:
+            train = _features5(fx, True).join(fx.cand, lt.KEYS)
+            _FITTED[key] = (lt.fit_least_squares(train, lt.F5, alpha=4.5 if learner == "ridge" else 0.0), None)
+        model, _ = _FITTED[key]
         test = _features5(fx, False)
     else:
         cols = lt.F5 if learner == "svm" else lt.F10
-        base_train = _features5(fx, True) if learner == "svm" else _features10(fx, True)
-        scaler = lt.fit_scaler(base_train, cols)
-        model = lt.fit_pairwise_svm(scaler.transform(base_train).join(fx.cand, lt.KEYS), cols)
+        if key not in _FITTED:
+            base_train = _features5(fx, True) if learner == "svm" else _features10(fx, True)
+            scaler = lt.fit_scaler(base_train, cols)
+            _FITTED[key] = (lt.fit_pairwise_svm(scaler.transform(base_train).join(fx.cand, lt.KEYS), cols), scaler)
+        model, scaler = _FITTED[key]
         test = scaler.transform(_features5(fx, False) if learner == "svm" else _features10(fx, False))
     return model, model.score(test)
 
