@@ -52,8 +52,12 @@ def boolean_search(queries: DataFrame, postings: DataFrame, doc_freq: DataFrame,
     'no results found' row for a query with an unknown term or an empty
     intersection (Q40-Q42). Sort with ``orderBy('query_id', 'doc_name')``."""
     queries = query_lines(queries)
-    bad = unknown_terms(queries, doc_freq).select("query_id").distinct()
-    qt = query_terms(queries.join(bad, "query_id", "left_anti"), doc_freq)
+    # one lookup of every (query, term) in the df table serves both the unknown-term
+    # check and the rarest-first order
+    looked = reused(query_term_set(queries).join(doc_freq, "term", "left"))
+    bad = looked.filter(F.col("df").isNull()).select("query_id").distinct()
+    known = looked.join(bad, "query_id", "left_anti")
+    qt = known.withColumn("ord", F.row_number().over(Window.partitionBy("query_id").orderBy("df", "term")).cast("bigint"))
     qt = checked_broadcast(qt.select("query_id", "term", "df", "ord"))
     n_terms = qt.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_terms"))
 
