@@ -323,7 +323,8 @@ def q_pair_hinge(spark, sf_dir):
         loss, grad = h.evaluate(np.array(HINGE_PROBE_W))
     finally:
         h.close()
-    rows = [("loss", round(loss, 6))] + [(f"grad_{c}", round(float(g), 6)) for c, g in zip(lt.F5, grad)]
+    # "+ 0.0" turns a negative zero (the gradient of an all-zero feature) into 0.0
+    rows = [("loss", round(loss, 6) + 0.0)] + [(f"grad_{c}", round(float(g), 6) + 0.0) for c, g in zip(lt.F5, grad)]
     return spark.createDataFrame(rows, "name string, value double")
 
 

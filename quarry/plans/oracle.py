@@ -324,7 +324,7 @@ pr as (select a.*, b.f_url as b_url, 1 - (""" + _MARGIN + """) as h, """ + ", ".
     f"a.{c} - b.{c} as d_{c}" for c in F5_COLS) + """ from tr a join tr b on a.query_id = b.query_id and a.rel > b.rel),
 v as (select 'loss' as name, sum(h) as value from pr where h > 0
       """ + "\n      ".join(f"union all select 'grad_{c}', -sum(d_{c}) from pr where h > 0" for c in F5_COLS) + """)""") + \
-    "select name, round(value, 6) as value from v"
+    "select name, round(value, 6) + 0.0 as value from v"
 
 QU = """fx_q as (select query_id, query from fx_query),
 fx_u as (select doc_id, txt as url from fx_inst where field = 'url')"""
