@@ -58,7 +58,8 @@ def corpus_count(corpus: DataFrame) -> DataFrame:
 
 def tokenize(corpus: DataFrame) -> DataFrame:
     """(doc_key, pos, term): one row per whitespace token, pos 0-based (Q12, Q30)."""
-    return corpus.select("doc_key", F.posexplode(ws_terms("text")).alias("pos", "term"))
+    toks = corpus.select("doc_key", F.posexplode(ws_terms("text")).alias("pos", "term"))
+    return toks.withColumn("pos", F.col("pos").cast("bigint"))
 
 
 def doc_catalog(corpus: DataFrame) -> DataFrame:

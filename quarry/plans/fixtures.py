@@ -54,7 +54,8 @@ def _inst_terms():
 
 def field_tokens(inst: DataFrame) -> DataFrame:
     """(doc_id, field, inst, weight, term, pos): url runs for the url, ASCII-lowered whitespace tokens elsewhere."""
-    return inst.select("doc_id", "field", "inst", "weight", F.posexplode(_inst_terms()).alias("pos", "term"))
+    toks = inst.select("doc_id", "field", "inst", "weight", F.posexplode(_inst_terms()).alias("pos", "term"))
+    return toks.select("doc_id", "field", "inst", "weight", F.col("pos").cast("bigint").alias("pos"), "term")
 
 
 @dataclass

@@ -83,16 +83,16 @@ fx_cand as (
   from fx_hits h join labels l using (doc_id)
 ),
 fx_len as (
-  select d.doc_id, f.field, coalesce(sum(t.weight), 0) as len
+  select d.doc_id, f.field, cast(coalesce(sum(t.weight), 0) as bigint) as len
   from documents d cross join (values ('url'), ('title'), ('header'), ('body'), ('anchor')) f(field)
   left join fx_tok t on t.doc_id = d.doc_id and t.field = f.field
   group by d.doc_id, f.field
 ),
 fx_avg as (
-  select l.field, sum(l.len) // count(*) as av from fx_cand c join fx_len l using (doc_id) group by l.field
+  select l.field, cast(sum(l.len) // count(*) as bigint) as av from fx_cand c join fx_len l using (doc_id) group by l.field
 ),
 fx_tf as (
-  select c.query_id, c.doc_id, q.term, f.field, coalesce(sum(h.weight), 0) as tf
+  select c.query_id, c.doc_id, q.term, f.field, cast(coalesce(sum(h.weight), 0) as bigint) as tf
   from fx_cand c join fx_qterm q using (query_id)
   cross join (values ('url'), ('title'), ('header'), ('body'), ('anchor')) f(field)
   left join fx_hits h on h.query_id = c.query_id and h.doc_id = c.doc_id and h.term = q.term and h.field = f.field
@@ -183,9 +183,9 @@ ORACLE: dict[str, str] = {
         max(case when field = 'anchor' then av end) as av_anchor from fx_avg""",
     "idf": _with(FX) + "select query_id, term, cast(1 as bigint) as q_tf, df, round(log10(98999 // df), 9) as idf from fx_qterm",
     "signal_vectors": _with(FX) + """select query_id, doc_id, term, cast(1 as bigint) as q_tf,
-        sum(case when field = 'url' then tf else 0 end) as tf_url, sum(case when field = 'title' then tf else 0 end) as tf_title,
-        sum(case when field = 'header' then tf else 0 end) as tf_header, sum(case when field = 'body' then tf else 0 end) as tf_body,
-        sum(case when field = 'anchor' then tf else 0 end) as tf_anchor, round(log10(98999 // max(q.df)), 9) as idf
+        cast(sum(case when field = 'url' then tf else 0 end) as bigint) as tf_url, cast(sum(case when field = 'title' then tf else 0 end) as bigint) as tf_title,
+        cast(sum(case when field = 'header' then tf else 0 end) as bigint) as tf_header, cast(sum(case when field = 'body' then tf else 0 end) as bigint) as tf_body,
+        cast(sum(case when field = 'anchor' then tf else 0 end) as bigint) as tf_anchor, round(log10(98999 // max(q.df)), 9) as idf
         from fx_tf join fx_qterm q using (query_id, term) group by query_id, doc_id, term""",
     "sublinear_tf": _with(FX) + "select query_id, doc_id, term, field, tf, round(case when tf = 0 then 0e0 else 1 + log10(tf) end, 9) as stf from fx_tf",
     "cosine": _with(FX) + "select query_id, doc_id, round(cosine, 9) as score from fx_score",
@@ -248,13 +248,13 @@ select term, chunk, n,
        case when chunk = last then bits || repeat('1', cast((8 - total % 8) % 8 as integer)) else bits end as gamma
 from c join t using (term)"""
 SIZE = """sizes as (
-  select term, count(*) as df, sum(length(cast(doc_id as varchar))) + count(*) as text_bytes, 4 * count(*) as int32_bytes,
-         sum(k) as vb_bytes, cast(ceil(sum(2 * length(bin(gap)) - 1) / 8) as bigint) as gamma_bytes
+  select term, count(*) as df, cast(sum(length(cast(doc_id as varchar))) + count(*) as bigint) as text_bytes, 4 * count(*) as int32_bytes,
+         cast(sum(k) as bigint) as vb_bytes, cast(ceil(sum(2 * length(bin(gap)) - 1) / 8) as bigint) as gamma_bytes
   from vbx group by term
 )"""
 ORACLE["index_size"] = _with(INDEX, GAPS, SIZE) + "select * from sizes"
-ORACLE["index_size_total"] = _with(INDEX, GAPS, SIZE) + """select sum(df) as postings, sum(text_bytes) as text_bytes,
-    sum(int32_bytes) as int32_bytes, sum(vb_bytes) as vb_bytes, sum(gamma_bytes) as gamma_bytes from sizes"""
+ORACLE["index_size_total"] = _with(INDEX, GAPS, SIZE) + """select cast(sum(df) as bigint) as postings, cast(sum(text_bytes) as bigint) as text_bytes,
+    cast(sum(int32_bytes) as bigint) as int32_bytes, cast(sum(vb_bytes) as bigint) as vb_bytes, cast(sum(gamma_bytes) as bigint) as gamma_bytes from sizes"""
 
 
 def _subl(x: str) -> str:
