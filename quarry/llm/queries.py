@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from quarry.llm import exact_dedup, packing, simhash, token_store
+from quarry.llm import chat, decontam, exact_dedup, packing, simhash, token_store
 from quarry.llm.common import read, shared_path
 from quarry.llm.tokens import default_vocabulary
 
 
+def op2_chat_rotation(spark, sf_dir):
+    return chat.render(chat.rotate(read(spark, sf_dir, "conversations")))
+
+
 def op3_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents"), keep="largest")
 
@@ -26,13 +30,43 @@ def op8_simhash(spark, sf_dir):
     return simhash.simhash_groups(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_exact_dedup, op4_token_store, op6_packing, op8_simhash)}
+def op10_decontamination(spark, sf_dir):
+    return decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op2_chat_rotation, op3_exact_dedup, op4_token_store, op6_packing, op8_simhash, op10_decontamination)}
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLE = {
+    "op2_chat_rotation": """
+        WITH t AS (SELECT conv_id, coalesce(nullif(trim(coalesce(role, '')), ''), 'unknown') AS speaker, coalesce(text, '') AS text, turn FROM conversations),
+        o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, speaker, text) - 1 AS position FROM t),
+        s AS (SELECT o.conv_id, v.perspective, position, o.speaker = v.perspective AS speaks,
+                     CASE WHEN o.speaker = v.perspective THEN '<|assistant|>' ELSE '<|user name=' || o.speaker || '|>' END || chr(10) || text || chr(10) || '<|end|>' || chr(10) AS segment
+              FROM o JOIN (SELECT DISTINCT conv_id AS c, speaker AS perspective FROM t) v ON o.conv_id IS NOT DISTINCT FROM v.c),
+        p AS (SELECT *, coalesce(sum(length(segment)) OVER (PARTITION BY conv_id, perspective ORDER BY position ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS b FROM s)
+        SELECT conv_id, perspective, (position // 64)::BIGINT AS chunk, count(*) AS n_turns, string_agg(segment, '' ORDER BY position) AS text, min(b) AS text_start,
+               sum(speaks::INT)::BIGINT AS n_targets,
+               coalesce(string_agg(CASE WHEN speaks THEN (b + 14) || '-' || (b + length(segment) - 1) END, ',' ORDER BY position), '') AS target_spans
+        FROM p GROUP BY conv_id, perspective, position // 64
+    """,
     "op3_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
         n AS (SELECT doc_id, t, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                      row_number() OVER (PARTITION BY t, doc_id) AS i FROM d WINDOW w AS (PARTITION BY t))
         SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AND i = 1 AS kept, sha256(t) AS text_sha256 FROM n
     """,
+    "op10_decontamination": f"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS ws FROM documents),
+        b AS (SELECT coalesce(item_id::VARCHAR, 'null') AS item, {_WORDS} AS ws FROM benchmark),
+        w AS (SELECT DISTINCT item, ws[i : i + least(len(ws), 10) - 1] AS win FROM (SELECT item, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM b WHERE len(ws) > 0)),
+        k AS (SELECT DISTINCT len(win) AS n FROM w),
+        o AS (SELECT r, i, n, ws[i : i + n - 1] AS win FROM (SELECT r, ws, unnest(range(1, len(ws) + 1)) AS i FROM d) JOIN k ON i + n - 1 <= len(ws)),
+        h AS (SELECT o.r, o.i, o.n, w.item FROM o JOIN w ON o.win = w.win),
+        c AS (SELECT r, count(DISTINCT i + j) AS n_hit FROM (SELECT r, i, unnest(range(0, n)) AS j FROM h) GROUP BY r),
+        m AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
+        SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+        FROM d LEFT JOIN c USING (r) LEFT JOIN m USING (r)
+    """,
 }
