@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarry.llm import chat, decontam, exact_dedup, packing, simhash, token_store
+from quarry.llm import chat, decontam, exact_dedup, langid, packing, simhash, token_store
 from quarry.llm.common import read, shared_path
 from quarry.llm.tokens import default_vocabulary
 
@@ -26,6 +26,10 @@ def op6_packing(spark, sf_dir):
     return packing.pack(pieces.drop("ids")).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op7_language_id(spark, sf_dir):
+    return langid.predict_languages(read(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark, sf_dir):
     return simhash.simhash_groups(read(spark, sf_dir, "documents"))
 
@@ -34,7 +38,7 @@ def op10_decontamination(spark, sf_dir):
     return decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_chat_rotation, op3_exact_dedup, op4_token_store, op6_packing, op8_simhash, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op2_chat_rotation, op3_exact_dedup, op4_token_store, op6_packing, op7_language_id, op8_simhash, op10_decontamination)}
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
