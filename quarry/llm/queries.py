@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from quarry.llm import chat, decontam, exact_dedup, langid, packing, simhash, token_store
+from quarry.llm import chat, decontam, exact_dedup, langid, packing, simhash, token_store, toxicity
 from quarry.llm.common import read, shared_path
 from quarry.llm.tokens import default_vocabulary
 
 
+def op1_toxicity(spark, sf_dir):
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op2_chat_rotation(spark, sf_dir):
     return chat.render(chat.rotate(read(spark, sf_dir, "conversations")))
 
@@ -38,7 +42,7 @@ def op10_decontamination(spark, sf_dir):
     return decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op2_chat_rotation, op3_exact_dedup, op4_token_store, op6_packing, op7_language_id, op8_simhash, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_chat_rotation, op3_exact_dedup, op4_token_store, op6_packing, op7_language_id, op8_simhash, op10_decontamination)}
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
