@@ -31,6 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from quarry.llm.common import byte_rows, text_slices
 from quarry.llm.sampling import bounded_sample, held_out
@@ -147,6 +148,12 @@ class PPM:
             self.tables.append((keys, cost, np.zeros((n, len(keys)))))
         self.tables = [(k, c.astype(np.float32), e.astype(np.float32)) for k, c, e in self.tables]
 
+    @classmethod
+    def restored(cls, languages: list[str], order: int, tables: list, root_escape: np.ndarray) -> PPM:
+        model = cls.__new__(cls)
+        model.languages, model.order, model.tables, model.root_escape = languages, order, tables, root_escape
+        return model
+
     def _costs(self, keys: np.ndarray, k: int) -> np.ndarray:
         """Costs of the last byte of strings under contexts of at most k bytes."""
         low = (keys & np.uint64((1 << 8 * (k + 1)) - 1)) | np.uint64(1 << 8 * (k + 1))
@@ -241,14 +248,15 @@ def fit(docs: DataFrame, order: int = ORDER, per_language: int = PER_LANGUAGE, m
 
 def identify(docs: DataFrame, model: PPM) -> DataFrame:
     """All columns of ``docs`` with lang_pred and score (which replace columns of these names)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
+    # Plain arrays, bounded by the sample: workers build the trees from them.
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.order, model.tables, model.root_escape))
     keep = [c for c in docs.columns if c.lower() not in ("lang_pred", "score")]
     place = keep.index(next(c for c in keep if c.lower() == "text"))
     rows = docs.select(*[F.col(f"`{c}`") for c in keep])
-    schema = rows.schema.add("lang_pred", "string").add("score", "double")
+    schema = StructType([*rows.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = Scorer(PPM.restored(*shared.value))
         for batch in batches:
             named = batch.rename_columns([f"c{i}" for i in range(batch.num_columns)])
             for part in text_slices(named, f"c{place}"):

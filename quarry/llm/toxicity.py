@@ -121,6 +121,12 @@ class Network:
         }
         self.p["words"][-1] = 0  # words not learned
 
+    @classmethod
+    def restored(cls, vocabulary: np.ndarray, parameters: dict) -> Network:
+        net = cls(vocabulary[:0])
+        net.vocabulary, net.p = vocabulary, parameters
+        return net
+
     def word_inputs(self, low: np.ndarray, start: np.ndarray, end: np.ndarray) -> dict:
         """Distinct words as model inputs: their rows, and the word of each position."""
         names, first, index = np.unique(word_hashes(low, start, end), return_index=True, return_inverse=True)
@@ -284,10 +290,11 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL, max_char
 
 def score_documents(docs: DataFrame, net: Network | None) -> DataFrame:
     """doc_id, score of every whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(net)  # bounded by the sample
+    # Plain arrays, bounded by the sample: workers build the network from them.
+    shared = docs.sparkSession.sparkContext.broadcast(None if net is None else (net.vocabulary, net.p))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = None if shared.value is None else Network.restored(*shared.value)
         for batch in batches:
             for rows in text_slices(batch, limit=SLICE):
                 score = np.zeros(rows.num_rows) if model is None else model.scores(*byte_rows(rows.column("text")))
