@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarry.llm import chat, decontam, exact_dedup, langid, packing, simhash, token_store, toxicity
+from quarry.llm import chat, decontam, exact_dedup, langid, packing, simhash, suffix_dedup, token_store, toxicity
 from quarry.llm.common import read, shared_path
 from quarry.llm.tokens import default_vocabulary
 
@@ -25,6 +25,10 @@ def op4_token_store(spark, sf_dir):
     return token_store.with_ids_crc32(token_store.read_token_store(spark, path))
 
 
+def op5_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents")).drop("spans", "kept")
+
+
 def op6_packing(spark, sf_dir):
     pieces = packing.cut_pieces(read(spark, sf_dir, "documents"), default_vocabulary())
     return packing.pack(pieces.drop("ids")).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -42,7 +46,7 @@ def op10_decontamination(spark, sf_dir):
     return decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_chat_rotation, op3_exact_dedup, op4_token_store, op6_packing, op7_language_id, op8_simhash, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_chat_rotation, op3_exact_dedup, op4_token_store, op5_suffix_dedup, op6_packing, op7_language_id, op8_simhash, op10_decontamination)}
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
