@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarry.llm import chat, decontam, exact_dedup, langid, packing, simhash, suffix_dedup, token_store, toxicity
+from quarry.llm import chat, decontam, exact_dedup, langid, packing, passages, simhash, suffix_dedup, token_store, toxicity
 from quarry.llm.common import read, shared_path
 from quarry.llm.tokens import default_vocabulary
 
@@ -42,11 +42,15 @@ def op8_simhash(spark, sf_dir):
     return simhash.simhash_groups(read(spark, sf_dir, "documents"))
 
 
+def op9_passages(spark, sf_dir):
+    return passages.near_duplicate_passages(read(spark, sf_dir, "documents"))
+
+
 def op10_decontamination(spark, sf_dir):
     return decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_chat_rotation, op3_exact_dedup, op4_token_store, op5_suffix_dedup, op6_packing, op7_language_id, op8_simhash, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_chat_rotation, op3_exact_dedup, op4_token_store, op5_suffix_dedup, op6_packing, op7_language_id, op8_simhash, op9_passages, op10_decontamination)}
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 

@@ -30,7 +30,7 @@ repeated. An empty table gives an empty result. Only ``doc_id`` and ``text`` are
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import shared_table, text_slices
+from quarry.llm.common import doc_key, shared_table, text_slices
 from quarry.llm.components import components
 
 SHINGLE = 3
@@ -71,17 +71,18 @@ def simhash64(text: str | None, shingle: int = SHINGLE) -> int:
     return int(sum(1 << int(b) for b in np.flatnonzero(2 * ones > len(hashes))))
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint's 64 bits as BIGINT."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, carry: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, fp) and the carried columns: fp is the fingerprint's 64 bits as BIGINT."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in text_slices(batch):
                 fp = np.fromiter((simhash64(t.as_py(), shingle) for t in rows.column("text")), np.uint64, rows.num_rows)
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(fp.view(np.int64)), *map(rows.column, carry)], names=["doc_id", "fp", *carry])
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
-    return rows.mapInArrow(run, "doc_id bigint, fp bigint")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"), *carry)
+    kinds = "".join(f", {c} {rows.schema[c].dataType.simpleString()}" for c in carry)
+    return rows.mapInArrow(run, f"doc_id bigint, fp bigint{kinds}")
 
 
 class BKTree:
@@ -179,13 +180,33 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, blocks: int = B
     return shared.mapInArrow(link, "u bigint, v bigint").distinct()
 
 
+def _labels(rows: DataFrame, radius: int) -> DataFrame:
+    """(fp, label): the smallest fingerprint each fingerprint is linked with."""
+    distinct = rows.select("fp").distinct()
+    labels = components(fingerprint_links(distinct, radius))
+    return distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("label", "fp").alias("label"))
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """One row of each group, with all its columns: the one with the smallest id (then text hash), nulls last."""
+    keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", doc_key().alias("key"))
+    rows = shared_table(fingerprints(keyed, shingle, ["key"]), "simhash")
+    counted = rows.groupBy("fp", "doc_id", "key").agg(F.count(F.lit(1)).alias("m")).join(_labels(rows, radius), "fp")
+    best = counted.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key", "m")).alias("w"))
+    winners = best.select(F.col("w.doc_id").alias("w_id"), F.col("w.key").alias("w_key"), F.col("w.m").alias("w_m"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"), F.col("doc_id").cast("bigint").alias("d"), doc_key().alias("k"))
+    kept = whole.join(winners, (F.col("k") == F.col("w_key")) & F.col("d").eqNullSafe(F.col("w_id")))
+    # Rows repeating the winner's id and text are rare; only they pass the extra grouping.
+    once = kept.where("w_m = 1").select("r")
+    more = kept.where("w_m > 1").groupBy("k", "d").agg(F.max("r").alias("r")).select("r")
+    return once.unionByName(more).select("r.*")
+
+
 def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
     rows = shared_table(fingerprints(docs, shingle), "simhash")
     distinct = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    labels = components(fingerprint_links(distinct.select("fp"), radius))
-    named = distinct.join(labels.withColumnRenamed("node", "fp"), "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    named = shared_table(named, "labels")
+    named = shared_table(distinct.join(_labels(rows, radius), "fp"), "labels")
     first = named.groupBy("label").agg(F.min("first").alias("component_id"))
     named = named.join(first, "label").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
