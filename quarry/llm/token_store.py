@@ -36,6 +36,8 @@ from quarry.llm.tokens import END_ID, Encoder
 
 ROW_GROUP_BYTES = 16 << 20
 PAGE_ROWS = 2_000
+# Files whose starts (16 bytes each) are broadcast to a reader.
+BROADCAST_FILES = 200_000
 SCHEMA = "doc_id bigint, n_tokens bigint, part int, local_start bigint, ids array<int>"
 
 
@@ -71,21 +73,29 @@ def write_token_store(docs: DataFrame, path: str, vocabulary: str, end_id: int =
     ordered_ids(docs, vocabulary, end_id).write.options(**options).parquet(path)
 
 
+def starts(stored: DataFrame) -> DataFrame:
+    """(part, base): the ids before each file; one row per file."""
+    totals = stored.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+
+
 def read_token_store(spark: SparkSession, path: str, first: int | None = None, last: int | None = None, columns=None) -> DataFrame:
     """Rows of an id range (pushed into the scan) and the named columns only, with the global ``start``."""
     stored = spark.read.schema(SCHEMA).parquet(path)
-    totals = stored.groupBy("part").agg(F.sum("n_tokens").alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
-    totals = totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     rows = stored
     if first is not None:
         rows = rows.where(F.col("doc_id") >= first)
     if last is not None:
         rows = rows.where(F.col("doc_id") <= last)
     wanted = list(columns or ("doc_id", "start", "n_tokens", "ids"))
+    if "start" not in wanted:
+        return rows.select(*wanted)
+    base = starts(stored)
+    if base.count() <= BROADCAST_FILES:  # else a shuffle join
+        base = F.broadcast(base)
     keep = sorted({"part", "local_start", *(c for c in wanted if c != "start")})
-    rows = rows.select(*keep).join(totals, "part")
-    return rows.withColumn("start", F.col("base") + F.col("local_start")).select(*wanted)
+    return rows.select(*keep).join(base, "part").withColumn("start", F.col("base") + F.col("local_start")).select(*wanted)
 
 
 def with_ids_crc32(stored: DataFrame) -> DataFrame:

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -20,11 +22,11 @@ END_ID = 1
 # Words in each of the two generations of a worker's cache.
 CACHE_WORDS = 250_000
 # Texts that go to the library whole: white space that Arrow splits at but the
-# vocabulary's \\s does not know, and what may hold a special token's name.
-_ODD = "[\\x1c-\\x1f]|<\\|"
+# vocabulary's \s does not know, and what may hold a special token's name.
+_ODD = r"[\x1c-\x1f]|<\|"
 # A letter and a mark are separate pre-tokens for this vocabulary, so a space may come between.
-_MARK, _APART = "([a-z])([.,;:!?])", "\\1 \\2"
-_PLAIN = re.compile("[a-z]+").fullmatch
+_MARK, _APART = "([a-z])([.,;:!?])", r"\1 \2"
+_ASCII_LETTERS = re.compile("[a-z]+").fullmatch
 
 
 def default_vocabulary() -> str:
@@ -33,73 +35,95 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class _Table:
+    """Ids of words: a word's row in a list column that grows."""
+
+    def __init__(self, end_id: int):
+        self.row: dict[str, int] = {}
+        self.ids, self.ends = array("i", [end_id]), array("i", [0, 1])  # row 0: the end id
+
+    def add(self, word: str, ids) -> int:
+        self.ids.extend(ids)
+        self.ends.append(len(self.ids))
+        row = self.row[word] = len(self.ends) - 2
+        return row
+
+    def ids_of(self, row: int):
+        return self.ids[self.ends[row] : self.ends[row + 1]]
+
+    def lists(self) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(np.array(self.ends, np.int32)), pa.array(np.array(self.ids, np.int32)))
+
+
 class Encoder:
     """Encodes Arrow string columns into (ids, ids per row), the end id appended to each row."""
 
     def __init__(self, vocabulary: str, end_id: int = END_ID, cache_words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(vocabulary)
-        self.end = end_id
-        self.limit = cache_words
-        self.young: dict[str, np.ndarray] = {}
-        self.old: dict[str, np.ndarray] = {}
-
-    def _ids(self, words: list[str]) -> list[np.ndarray]:
-        young, old, out, new = self.young, self.old, [], []
-        for w in words:
-            ids = young.get(w)
-            if ids is None:
-                ids = old.get(w)
-                if ids is not None:
-                    young[w] = ids
-                elif _PLAIN(w):  # one pre-token whose bytes are its own symbols
-                    ids = young[w] = np.array([t.id for t in self.tok.model.tokenize(w)], np.int32)
-                else:
-                    new.append((len(out), w))
-            out.append(ids)
-        for k in range(0, len(new), 20_000):
-            part = new[k : k + 20_000]
-            for (at, w), e in zip(part, self.tok.encode_batch_fast([w for _, w in part], add_special_tokens=False), strict=True):
-                out[at] = young[w] = np.array(e.ids, np.int32)
-        if len(young) > self.limit:
-            self.old, self.young = young, {}
-        return out
+        self.bytes_as_symbols = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.end, self.limit = end_id, cache_words
+        self.young, self.old = _Table(end_id), _Table(end_id)
+
+    def _one_pre_token(self, word: str) -> str | None:
+        """The symbols of a word that is letters only, and so one pre-token; None for any other."""
+        if _ASCII_LETTERS(word):
+            return word
+        if not word.isalpha() or not unicodedata.is_normalized("NFC", word):
+            return None
+        low = "".join(map(str.lower, word))  # letter by letter, as the vocabulary does
+        return self.bytes_as_symbols(low)[0][0] if low.isalpha() else None
+
+    def _rows(self, words: list[str]) -> np.ndarray:
+        if len(self.young.row) > self.limit:
+            self.young, self.old = _Table(self.end), self.young
+        young, old, tokenize = self.young, self.old, self.tok.model.tokenize
+        rows = np.fromiter((-1 if r is None else r for r in map(young.row.get, words)), np.int64, len(words))
+        rest = []
+        for at in np.flatnonzero(rows < 0).tolist():
+            word = words[at]
+            known = old.row.get(word)
+            if known is not None:
+                rows[at] = young.add(word, old.ids_of(known))
+                continue
+            symbols = self._one_pre_token(word)
+            if symbols is None:
+                rest.append(at)
+            else:
+                rows[at] = young.add(word, [t.id for t in tokenize(symbols)])
+        for k in range(0, len(rest), 20_000):
+            part = rest[k : k + 20_000]
+            for at, e in zip(part, self.tok.encode_batch_fast([words[i] for i in part], add_special_tokens=False), strict=True):
+                rows[at] = young.add(words[at], e.ids)
+        return rows
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         column = pc.fill_null(column, "") if column.null_count else column
         n = len(column)
+        if not n:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
         odd = np.flatnonzero(np.asarray(pc.match_substring_regex(column, _ODD)))
-        whole = {}
+        whole = [column[int(i)].as_py() for i in odd]
         if len(odd):
             mask = np.zeros(n, bool)
             mask[odd] = True
-            whole = {int(i): self.tok.encode(column[int(i)].as_py(), add_special_tokens=False).ids for i in odd}
             column = pc.if_else(pa.array(mask), "", column)
-        column = pc.replace_substring_regex(pc.ascii_lower(column), _MARK, _APART)
-        split = pc.utf8_split_whitespace(column)
+        split = pc.utf8_split_whitespace(pc.replace_substring_regex(pc.ascii_lower(column), _MARK, _APART))
         coded = split.flatten().dictionary_encode()
-        per = self._ids(coded.dictionary.to_pylist())
-        size = np.fromiter(map(len, per), np.int64, len(per))
-        table = np.concatenate([*per, np.zeros(0, np.int32)])
-        first = np.cumsum(size) - size
-        word = np.asarray(coded.indices)
-        wsize = size[word]
-        row = np.repeat(np.arange(n), np.asarray(pc.list_value_length(split)).astype(np.int64))
-        lengths = np.bincount(row, weights=wsize, minlength=n).astype(np.int64) + 1
-        for i, ids in whole.items():
-            lengths[i] = len(ids) + 1
-        ends = np.cumsum(lengths)
-        out = np.empty(int(ends[-1]) if n else 0, np.int32)
-        out[ends - 1] = self.end
-        # A word's place: after the earlier words of its row and the rows before it.
-        wend = np.cumsum(wsize)
-        base = np.repeat(np.cumsum(np.bincount(row, weights=wsize, minlength=n)).astype(np.int64), np.bincount(row, minlength=n))
-        at = (wend - wsize) - (base - np.repeat(np.bincount(row, weights=wsize, minlength=n).astype(np.int64), np.bincount(row, minlength=n)))
-        at += (ends - lengths)[row]
-        within = np.arange(int(wend[-1]) if len(wend) else 0) - np.repeat(wend - wsize, wsize)
-        out[np.repeat(at, wsize) + within] = table[np.repeat(first[word], wsize) + within]
-        for i, ids in whole.items():
-            out[ends[i] - lengths[i] : ends[i] - 1] = ids
-        return out, lengths
+        rows = self._rows(np.asarray(coded.dictionary.to_numpy(zero_copy_only=False)).tolist())
+        count = np.asarray(pc.list_value_length(split)).astype(np.int64)
+        ends = np.cumsum(count)
+        # Each text's words, then the row of the end id.
+        picks = np.insert(rows[np.asarray(coded.indices)] if len(coded) else np.zeros(0, np.int64), ends, 0)
+        taken = self.young.lists().take(pa.array(picks))
+        off = np.asarray(taken.offsets).astype(np.int64)
+        out = np.asarray(taken.values)[off[0] : off[-1]]
+        bounds = off[np.concatenate([[0], ends + np.arange(1, n + 1)])] - off[0]
+        if not len(odd):
+            return out, np.diff(bounds)
+        parts = [out[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        for i, text in zip(odd, whole, strict=True):
+            parts[i] = np.array([*self.tok.encode(text, add_special_tokens=False).ids, self.end], np.int32)
+        return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, n)
