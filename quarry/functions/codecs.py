@@ -33,8 +33,7 @@ def vb_bytes(g: Column) -> Column:
 
 def vb_encode_gap(g: Column) -> Column:
     k = vb_bytes(g)
-    # g / 2^(7i) is exact in double precision for gaps below 2^53 (a power-of-two division).
-    group = lambda i: F.floor(g / F.pow(F.lit(2.0), i * 7)).cast("bigint") % 128
+    group = lambda i: F.call_function("shiftright", g, i * 7).bitwiseAND(127)
     byte = lambda i: F.lpad(F.lower(F.hex(group(i) + F.when(i == 0, 128).otherwise(0))), 2, "0")
     return F.array_join(F.transform(F.sequence(k - 1, F.lit(0), F.lit(-1)), byte), "")
 

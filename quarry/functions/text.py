@@ -25,6 +25,11 @@ def ascii_lower(c) -> Column:
     return F.translate(_col(c), UPPER, LOWER)
 
 
+def ascii_strip(c) -> Column:
+    """Strip ASCII whitespace at both ends (tabs, carriage returns and line feeds too, not only spaces)."""
+    return F.regexp_replace(_col(c), "^[ \\t\\n\\r\\x0B\\f]+|[ \\t\\n\\r\\x0B\\f]+$", "")
+
+
 def ws_terms(c) -> Column:
     """``str.split()``: ASCII-whitespace split with empty strings dropped (Q12)."""
     return F.filter(F.split(_col(c), WS_PATTERN), lambda x: x != F.lit(""))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.text import ws_terms
+from quarry.functions.text import ascii_strip, ws_terms
 from quarry.session import checked_broadcast, reused
 
 NO_RESULTS = "no results found"
@@ -19,7 +19,7 @@ NO_RESULTS = "no results found"
 
 def query_lines(lines: DataFrame, text_col: str = "query") -> DataFrame:
     """Batch of query lines: blank lines dropped, whitespace stripped (Q11)."""
-    return lines.withColumn(text_col, F.trim(F.col(text_col))).filter(F.length(text_col) > 0)
+    return lines.withColumn(text_col, ascii_strip(text_col)).filter(F.length(text_col) > 0)
 
 
 def query_term_set(queries: DataFrame) -> DataFrame:

@@ -3,8 +3,9 @@
 Posting lists are handled in doc-id range chunks (``index.POSTING_CHUNK``):
 gaps inside a chunk come from the sorted chunk array, and the first gap of
 a chunk is taken against the last id of the term's previous non-empty
-chunk (a window over the chunk table -- one row per chunk, not per
-posting). A byte stream of a whole list is the concatenation of its
+chunk. Windows by term run over a thin table (term, chunk, one or two numbers)
+that is joined back on (term, chunk): arrays and streams are never shuffled by
+term alone. A byte stream of a whole list is the concatenation of its
 chunks' streams, so no task ever holds a stop word's full list.
 """
 
@@ -20,8 +21,10 @@ from quarry.operators.index import POSTING_CHUNK, posting_lists
 def gap_lists(post: DataFrame, chunk: int = POSTING_CHUNK) -> DataFrame:
     """(term, chunk, n, doc_ids, gaps): d-gaps of every chunk (Q34)."""
     pl = posting_lists(post, chunk)
+    ends = post.groupBy("term", F.floor(F.col("doc_id") / chunk).cast("bigint").alias("chunk")).agg(F.max("doc_id").alias("end"))
     w = Window.partitionBy("term").orderBy("chunk")
-    pl = pl.withColumn("base", F.coalesce(F.lag(F.element_at("doc_ids", -1)).over(w), F.lit(0).cast("bigint")))
+    ends = ends.select("term", "chunk", F.coalesce(F.lag("end").over(w), F.lit(0)).cast("bigint").alias("base"))
+    pl = pl.join(ends, ["term", "chunk"])
     gaps = F.transform(
         "doc_ids", lambda x, i: x - F.when(i == 0, F.col("base")).otherwise(F.element_at("doc_ids", i))
     )
@@ -41,28 +44,31 @@ def decode_gaps(chunks: DataFrame, gaps_col: str = "gaps") -> DataFrame:
     (window bounded by the chunk size) plus the sum of the earlier chunks (Q35)."""
     c = chunks.withColumn("chunk_sum", F.aggregate(gaps_col, F.lit(0).cast("bigint"), lambda a, x: a + x))
     before = Window.partitionBy("term").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    c = c.withColumn("base", F.coalesce(F.sum("chunk_sum").over(before), F.lit(0)).cast("bigint"))
+    thin = c.select("term", "chunk", F.coalesce(F.sum("chunk_sum").over(before), F.lit(0)).cast("bigint").alias("base"))
+    c = c.drop("chunk_sum").join(thin, ["term", "chunk"])
     e = c.select("term", "chunk", "base", F.posexplode(gaps_col).alias("i", "gap"))
     run = Window.partitionBy("term", "chunk").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return e.select("term", (F.col("base") + F.sum("gap").over(run)).cast("bigint").alias("doc_id"))
 
 
 def vb_postings(post: DataFrame, chunk: int = POSTING_CHUNK) -> DataFrame:
-    """(term, chunk, n, vb): hex VB stream of each chunk's gaps (Q36)."""
-    return gap_lists(post, chunk).select("term", "chunk", "n", codecs.vb_encode(F.col("gaps")).alias("vb"))
+    """(term, chunk, n, vb): VB stream (BINARY) of each chunk's gaps (Q36)."""
+    return gap_lists(post, chunk).select("term", "chunk", "n", F.unhex(codecs.vb_encode(F.col("gaps"))).alias("vb"))
 
 
 def vb_roundtrip(vb: DataFrame) -> DataFrame:
     """(term, doc_id) decoded back from ``vb_postings`` (Q35 + Q36)."""
-    return decode_gaps(vb.withColumn("gaps", codecs.vb_decode(F.col("vb"))))
+    return decode_gaps(vb.withColumn("gaps", codecs.vb_decode(F.lower(F.hex("vb")))))
 
 
 def gamma_postings(post: DataFrame, chunk: int = POSTING_CHUNK) -> DataFrame:
     """(term, chunk, n, gamma): gamma bit stream per chunk; the term's last chunk
     carries the padding of the whole list to whole bytes (Q37)."""
-    g = gap_lists(post, chunk).withColumn("bits", codecs.gamma_encode(F.col("gaps")))
+    g = gap_lists(post, chunk)
+    bits = F.aggregate("gaps", F.lit(0).cast("bigint"), lambda a, x: a + codecs.gamma_bits(x))
     w = Window.partitionBy("term")
-    g = g.withColumn("total", F.sum(F.length("bits")).over(w)).withColumn("last", F.max("chunk").over(w))
+    thin = g.select("term", "chunk", bits.alias("b")).select("term", "chunk", F.sum("b").over(w).alias("total"), F.max("chunk").over(w).alias("last"))
+    g = g.withColumn("bits", codecs.gamma_encode(F.col("gaps"))).join(thin, ["term", "chunk"])
     out = F.when(F.col("chunk") == F.col("last"), codecs.pad_bits(F.col("bits"), F.col("total"))).otherwise(F.col("bits"))
     return g.select("term", "chunk", "n", out.alias("gamma"))
 
@@ -79,13 +85,11 @@ def index_size(post: DataFrame, chunk: int = POSTING_CHUNK) -> DataFrame:
     newline; 4 bytes per id; VB bytes per gap; gamma bits per gap, padded
     once per list.
     """
-    g = gaps_long(post, chunk)
-    per = g.groupBy("term").agg(
-        F.count(F.lit(1)).alias("df"),
-        (F.sum(F.length(F.col("doc_id").cast("string"))) + F.count(F.lit(1))).alias("text_bytes"),
-        F.sum(codecs.vb_bytes(F.col("gap"))).cast("bigint").alias("vb_bytes"),
-        F.sum(codecs.gamma_bits(F.col("gap"))).alias("gamma_bits"),
-    )
+    g = gap_lists(post, chunk)
+    add = lambda column, f: F.aggregate(column, F.lit(0).cast("bigint"), lambda a, x: a + f(x).cast("bigint"))
+    sums = g.select("term", "n", add("doc_ids", lambda x: F.length(x.cast("string")) + 1).alias("t"),
+                    add("gaps", codecs.vb_bytes).alias("v"), add("gaps", codecs.gamma_bits).alias("g"))
+    per = sums.groupBy("term").agg(F.sum("n").cast("bigint").alias("df"), F.sum("t").alias("text_bytes"), F.sum("v").alias("vb_bytes"), F.sum("g").alias("gamma_bits"))
     return per.select(
         "term", "df", "text_bytes", (F.col("df") * 4).alias("int32_bytes"), "vb_bytes",
         F.ceil(F.col("gamma_bits") / 8).cast("bigint").alias("gamma_bytes"),

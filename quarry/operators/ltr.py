@@ -45,14 +45,14 @@ def tfidf_features(tf: DataFrame, stats: DataFrame, norm_add: int, n_docs: int =
     return rows.groupBy(*KEYS).agg(*[(F.sum(F.col("qv") * sublinear(f"tf_{f}") / denom)).alias(f"f_{f}") for f in FIELDS])
 
 
-def extended_features(tf: DataFrame, stats: DataFrame, avg: DataFrame, windows: DataFrame, n_docs: int = N_DOCS) -> DataFrame:
+def extended_features(tf: DataFrame, stats: DataFrame, avg: DataFrame, windows: DataFrame, n_docs: int = N_DOCS, bm25: BM25FParams = BM25FParams()) -> DataFrame:
     """Ten features (Q66): tf-idf with +4000, BM25F without the pagerank prior,
     pagerank, min(body_length, smallest window), and the '.pdf' / '.php' url flags."""
     av = averages_row(avg)
     cols = ["body_length", "pagerank"] + [f"len_{f}" for f in FIELDS]
     rows = tf.join(stats.select(*KEYS, *cols), KEYS).withColumn("idf", idf("df", n_docs))
     rows = rows.withColumn("qv", F.col("q_tf") * F.col("idf"))
-    p = BM25FParams()
+    p = bm25
     wt = _bm25_weight(p, av)
     denom = (F.col("body_length") + F.lit(4000)).cast("double")
     agg = rows.groupBy(*KEYS).agg(
@@ -186,6 +186,8 @@ def _scan_partition(ngroup: int, nx: int, schema: pa.Schema):
     return run
 
 
+# Items of a query that one window task may take; larger queries use the range-partitioned count.
+MAX_TASK_ROWS = 1_000_000
 # Items per task in the per-evaluation passes of the pairwise objective.
 ROWS_PER_TASK = 50_000
 
@@ -219,9 +221,7 @@ class PairwiseHinge:
         self.q_type = self.items.schema["q"].dataType.simpleString()
         # A (query, level, role) group holds at most one row per item of the query;
         # checked once, the sizes do not change between evaluations.
-        from quarry.operators.numbering import MAX_TASK_ROWS, largest_group
-
-        self.window_path = largest_group(self.items, ["q"]) <= MAX_TASK_ROWS
+        self.window_path = int(self.items.groupBy("q").count().agg(F.max("count")).first()[0] or 0) <= MAX_TASK_ROWS
 
     def n_pairs(self) -> int:
         """Ordered pairs with differing relevance, from per-(query, level) counts."""

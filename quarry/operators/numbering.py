@@ -20,17 +20,6 @@ from pyspark.sql import functions as F
 
 from quarry.session import checked_broadcast, checkpointed, reused
 
-# Largest group (rows) one window task may take; bigger groups use the range-partitioned path.
-MAX_TASK_ROWS = 1_000_000
-
-
-def largest_group(df: DataFrame, group_by: Sequence[str]) -> int:
-    """Row count of the biggest group (partial aggregation; one small job)."""
-    if not group_by:
-        return df.count()
-    return int(df.groupBy(*group_by).count().agg(F.max("count")).first()[0] or 0)
-
-
 def number_rows(
     df: DataFrame,
     order_by: Sequence[Column | str],
@@ -38,23 +27,13 @@ def number_rows(
     start: int = 1,
     group_by: Sequence[str] = (),
     num_partitions: int | None = None,
-    max_task_rows: int = MAX_TASK_ROWS,
 ) -> DataFrame:
     """Add ``out`` = start, start+1, ... in ``order_by`` order, restarting per ``group_by``.
 
     ``group_by + order_by`` must be a total order (unique per row); ties would
-    make the numbering depend on shuffle fetch order. When the biggest group
-    is proven to fit one task (``max_task_rows``), a plain ``row_number``
-    window is used; otherwise the range-partitioned numbering below.
+    make the numbering depend on shuffle fetch order.
     """
-    df = reused(df)
-    if largest_group(df, group_by) <= max_task_rows:
-        w = Window.partitionBy(*group_by).orderBy(*order_by)
-        return df.withColumn(out, (F.row_number().over(w) + F.lit(start - 1)).cast("bigint"))
-    return _range_number(df, order_by, out, start, group_by, num_partitions)
-
-
-def _range_number(df, order_by, out, start, group_by, num_partitions):
+    df = reused(df)  # range partitioning samples its input before it reads it
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) if isinstance(c, str) else c for c in [*group_by, *order_by]]

@@ -65,19 +65,23 @@ def _bm25_weight(p: BM25FParams, av: dict):
 
 
 def score_pairs(tf: DataFrame, stats: DataFrame, avg: DataFrame, cosine: CosineParams = CosineParams(),
-                bm25: BM25FParams = BM25FParams(), n_docs: int = N_DOCS) -> DataFrame:
-    """(query_id, doc_id, cosine, bm25f, bm25f_text): Q50, Q51, Q52 in one aggregation."""
+                bm25: BM25FParams = BM25FParams(), n_docs: int = N_DOCS, window: WindowParams = WindowParams()) -> DataFrame:
+    """(query_id, doc_id, cosine, bm25f, bm25f_text, window_cosine): Q50, Q51, Q52 in one
+    aggregation, and the cosine under the window scorer's own parameters."""
     av = averages_row(avg)
     cols = ["body_length", "pagerank"] + [f"len_{f}" for f in FIELDS]
-    rows = tf.join(stats.select(*KEYS, *cols), KEYS).withColumn("idf", idf("df", n_docs))
+    # A pair whose query has no terms keeps its row: score 0 plus the prior.
+    rows = stats.select(*KEYS, *cols).join(tf, KEYS, "left").withColumn("idf", idf("df", n_docs))
     wt = _bm25_weight(bm25, av)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0.0))
     agg = rows.groupBy(*KEYS).agg(
-        F.sum(_cosine_term(cosine)).alias("cosine"),
-        F.sum(F.col("idf") * wt / (F.lit(bm25.k1) + wt)).alias("bm25f_text"),
+        total(_cosine_term(cosine)).alias("cosine"),
+        total(_cosine_term(window.cosine)).alias("window_cosine"),
+        total(F.col("idf") * wt / (F.lit(bm25.k1) + wt)).alias("bm25f_text"),
         F.max("pagerank").alias("pagerank"),
     )
     prior = F.lit(bm25.pagerank_weight) * F.log10(F.col("pagerank").cast("double") + 1.0)
-    return agg.select(*KEYS, "cosine", (F.col("bm25f_text") + prior).alias("bm25f"), "bm25f_text")
+    return agg.select(*KEYS, "cosine", (F.col("bm25f_text") + prior).alias("bm25f"), "bm25f_text", "window_cosine")
 
 
 def min_windows(hits: DataFrame, qterms: DataFrame) -> DataFrame:
@@ -112,7 +116,8 @@ def smallest_window_scores(cos: DataFrame, windows: DataFrame, queries: DataFram
     from quarry.functions.text import lower_ws_terms
 
     nq = queries.select("query_id", F.size(lower_ws_terms("query")).cast("double").alias("n_q"))
-    s = cos.select(*KEYS, "cosine").join(windows, KEYS, "left").join(checked_broadcast(nq), "query_id")
+    own = "window_cosine" if "window_cosine" in cos.columns else "cosine"
+    s = cos.select(*KEYS, F.col(own).alias("cosine")).join(windows, KEYS, "left").join(checked_broadcast(nq), "query_id")
     boost = F.coalesce(F.col("n_q") / F.col("min_window") * F.lit(p.boost - 1.0), F.lit(0.0)) + F.lit(1.0)
     return s.select(*KEYS, (boost * F.col("cosine")).alias("score"))
 

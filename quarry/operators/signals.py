@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.text import ascii_lower, ws_terms
+from quarry.functions.text import ascii_lower, ascii_strip, ws_terms
 from quarry.functions.vectors import idiv
 from quarry.session import checked_broadcast
 
@@ -33,7 +33,7 @@ def query_vector(queries: DataFrame, doc_freq: DataFrame, lower: bool = False) -
 
 def vocab_doc_freq(vocab: DataFrame, index_df: DataFrame) -> DataFrame:
     """(term, df): df + 1 for indexed terms, 1 for the rest (Q23)."""
-    v = vocab.select(F.trim("term").alias("term")).filter(F.length("term") > 0).distinct()
+    v = vocab.select(ascii_strip("term").alias("term")).filter(F.length("term") > 0).distinct()
     return v.join(index_df, "term", "left").select("term", F.coalesce(F.col("df") + 1, F.lit(1)).cast("bigint").alias("df"))
 
 
@@ -95,7 +95,9 @@ def long_lengths(lens: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def signal_tables(sig: DataFrame):
-    """Parsed signal records -> (tokens, stats, avg) keyed by (query_id = query, doc_id = url).
+    """Parsed signal records -> (tokens, stats, avg) keyed by (query_id = query, doc_id = record number).
+
+    ``stats`` carries the url as a value: a url listed twice under a query is two records.
 
     Title, header and anchor tokens are ASCII-lowered whitespace tokens
     (anchors weighted by their count), url tokens are alphanumeric runs,
@@ -129,6 +131,6 @@ def signal_tables(sig: DataFrame):
     stats_all = stats_all.fillna(0, subset=[f"len_{f}" for f in FIELDS if f != "body"]).withColumn("len_body", F.col("body_length"))
     avg = avg_lengths(stats_all)
     last = stats_all.groupBy("query").agg(F.max("q_seq").alias("q_seq"))
-    stats = stats_all.join(checked_broadcast(last), ["query", "q_seq"]).withColumn("query_id", F.col("query")).withColumn("doc_id", F.col("url"))
+    stats = stats_all.join(checked_broadcast(last), ["query", "q_seq"]).withColumn("query_id", F.col("query")).withColumn("doc_id", F.col("u_seq"))
     tokens = tokens.join(stats.select(*base, "query_id", "doc_id"), base).drop(*base)
     return tokens, stats.drop(*base, "q_seq"), avg

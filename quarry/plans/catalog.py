@@ -97,7 +97,7 @@ def q_gap_roundtrip(spark, sf_dir):
 
 
 def q_vb_postings(spark, sf_dir):
-    return cz.vb_postings(_index(spark, sf_dir).postings)
+    return cz.vb_postings(_index(spark, sf_dir).postings).withColumn("vb", F.lower(F.hex("vb")))
 
 
 def q_gamma_postings(spark, sf_dir):
@@ -328,36 +328,16 @@ def q_pair_hinge(spark, sf_dir):
     return spark.createDataFrame(rows, "name string, value double")
 
 
-# Fitted weights per (input tables, learner): fit once per process, score many times.
-_FITTED: dict = {}
-
-
-def _inputs_key(fx: RankFixture) -> tuple:
-    import os
-
-    stamp = []
-    for name in ("documents", "benchmark", "labels"):
-        path = f"{fx.sf_dir.rstrip('/')}/{name}.parquet"
-        stamp.append(os.path.getmtime(path) if os.path.exists(path) else None)
-    return (fx.sf_dir, tuple(stamp))
-
-
 def _fit_rank(fx: RankFixture, learner: str):
-    key = (_inputs_key(fx), learner)
+    """(model, scored test pairs): every call fits on the tables as they are now."""
     if learner in ("ols", "ridge"):
-        if key not in _FITTED:
-            train = _features5(fx, True).join(fx.cand, lt.KEYS)
-            _FITTED[key] = (lt.fit_least_squares(train, lt.F5, alpha=4.5 if learner == "ridge" else 0.0), None)
-        model, _ = _FITTED[key]
-        test = _features5(fx, False)
+        train, test = _features5(fx, True).join(fx.cand, lt.KEYS), _features5(fx, False)
+        model = lt.fit_least_squares(train, lt.F5, alpha=4.5 if learner == "ridge" else 0.0)
     else:
-        cols = lt.F5 if learner == "svm" else lt.F10
-        if key not in _FITTED:
-            base_train = _features5(fx, True) if learner == "svm" else _features10(fx, True)
-            scaler = lt.fit_scaler(base_train, cols)
-            _FITTED[key] = (lt.fit_pairwise_svm(scaler.transform(base_train).join(fx.cand, lt.KEYS), cols), scaler)
-        model, scaler = _FITTED[key]
-        test = scaler.transform(_features5(fx, False) if learner == "svm" else _features10(fx, False))
+        cols, features = (lt.F5, _features5) if learner == "svm" else (lt.F10, _features10)
+        scaler = lt.fit_scaler(features(fx, True), cols)
+        model = lt.fit_pairwise_svm(scaler.transform(features(fx, True)).join(fx.cand, lt.KEYS), cols)
+        test = scaler.transform(features(fx, False))
     return model, model.score(test)
 
 
@@ -414,8 +394,8 @@ def _score_signals(sig_df: DataFrame, doc_freq: DataFrame) -> DataFrame:
     qt_low = sig.query_vector(queries, doc_freq, lower=True).select("query_id", "term")
     win = sc.min_windows(sig.query_hits(tokens, qt_low), qt_low)
     sw = sc.smallest_window_scores(scores, win, queries)
-    return scores.join(sw, ["query_id", "doc_id"]).select(
-        F.col("query_id").alias("query"), F.col("doc_id").alias("url"), "cosine", "bm25f", F.col("score").alias("window_"))
+    return scores.join(sw, ["query_id", "doc_id"]).join(stats.select("query_id", "doc_id", "url"), ["query_id", "doc_id"]).select(
+        F.col("query_id").alias("query"), "url", "cosine", "bm25f", F.col("score").alias("window_"))
 
 
 def q_signal_file_scores(spark, sf_dir):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +46,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return configured
@@ -66,7 +69,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
         df.unpersist()
 
 
-_PERSISTED: list = []
+class _Kept(threading.local):
+    """Tables kept by the current thread: a micro-batch releases its own, not those of a running query."""
+
+    def __init__(self):
+        self.tables: list = []
+
+
+_KEPT = _Kept()
 
 
 def reused(df: DataFrame) -> DataFrame:
@@ -77,14 +87,14 @@ def reused(df: DataFrame) -> DataFrame:
     from pyspark import StorageLevel
 
     out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(out)
+    _KEPT.tables.append(out)
     return out
 
 
 def release_cached() -> None:
-    """Unpersist every table kept by ``reused`` so far (between queries / micro-batches)."""
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist(blocking=False)
+    """Unpersist every table this thread kept by ``reused`` so far (between queries / micro-batches)."""
+    while _KEPT.tables:
+        _KEPT.tables.pop().unpersist(blocking=False)
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

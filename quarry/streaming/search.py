@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions.text import ascii_strip
 from quarry.operators.boolean import boolean_search
 from quarry.operators.index import load_index
 from quarry.session import release_cached
@@ -26,7 +27,7 @@ def start_search_stream(spark: SparkSession, query_dir: str, index_path: str, ou
     lines = spark.readStream.option("lineSep", "\n").text(query_dir)
 
     def answer(batch: DataFrame, epoch_id: int) -> None:
-        q = batch.select(F.trim("value").alias("query")).filter(F.length("query") > 0)
+        q = batch.select(ascii_strip("value").alias("query")).filter(F.length("query") > 0)
         q = q.withColumn("query_id", F.monotonically_increasing_id())
         res = boolean_search(q, idx["postings"], idx["doc_freq"], catalog)
         res.select("query", "doc_name").write.mode("overwrite").parquet(f"{out_path}/epoch={epoch_id}")

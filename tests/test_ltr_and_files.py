@@ -73,7 +73,7 @@ def test_signal_reader_edge_cases(spark, tmp_path):
 
     tokens, stats, avg = signal_tables(tx.read_signals(spark, str(p)))
     # the repeated query keeps only its last block, but all three records count in the averages
-    assert sorted(r["doc_id"] for r in stats.collect()) == ["u2", "u3"]
+    assert sorted(r["url"] for r in stats.collect()) == ["u2", "u3"]
     assert avg.first()["av_body"] == 3
 
 
@@ -85,3 +85,48 @@ def test_ranked_writer_reader_roundtrip(spark, tmp_path):
     assert back == [("q0", "u9", 1), ("q1", "u1", 2), ("q1", "u2", 1)]
     text = "".join(open(f).read() for f in sorted((tmp_path / "ranked").glob("part-*")))
     assert text == "query: q1\n  url: u2\n  url: u1\nquery: q0\n  url: u9\n"
+
+
+def test_lines_keep_file_order_over_unequal_parts(spark, tmp_path):
+    rnd = random.Random(3)
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    blocks, want_rel, want_rank = [], {}, {}
+    for q in range(60):
+        lines = [f"query: q{q}"]
+        for k in range(rnd.randint(1, 40)):
+            rel = rnd.choice([-1.0, 0.0, 1.0])
+            lines.append(f"\turl: u{k} {rel}\r")
+            want_rel[(f"q{q}", f"u{k}")] = rel
+            want_rank[(f"q{q}", f"u{k} {rel}")] = k + 1
+        blocks += lines
+    # eight parts of very different sizes, cut anywhere
+    cuts = sorted(rnd.sample(range(1, len(blocks)), 6))
+    cuts = [0, cuts[0], cuts[0] + 1, *cuts[1:], len(blocks)]
+    for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])):
+        (folder / f"part-{i:05d}.txt").write_bytes(("\n".join(blocks[a:b]) + "\n").encode())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        got = {(r["query"], r["url"]): r["rel"] for r in tx.read_labels(spark, str(folder)).collect()}
+        ranks = {(r["query"], r["url"]): r["rank"] for r in tx.read_ranked(spark, str(folder)).collect()}
+        plain = [r["value"] for r in tx.read_numbered(spark, str(folder)).orderBy("ln").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert plain == blocks
+    assert got == want_rel
+    assert ranks == want_rank
+
+
+def test_signal_records_tabs_crlf_repeated_url_and_empty_query(spark, tmp_path):
+    from quarry.plans.catalog import _score_signals
+
+    record = "\turl: http://x.y/ab\r\n\t\ttitle: a b\r\n\t\theader: a\r\n\t\tbody_hits: a 1 2\r\n\t\tbody_hits: a 3\r\n\t\tbody_length: 50\r\n\t\tpagerank: 9\r\n\t\tanchor_text: a\r\n\t\tstanford_anchor_count: 2\r\n"
+    p = tmp_path / "sig.txt"
+    p.write_bytes(("query: a b\r\n" + record + record + "query:\r\n" + record).encode())
+    recs = tx.read_signals(spark, str(p)).collect()
+    assert [(r["query"], r["url"], r["body_hits"]) for r in sorted(recs, key=lambda r: r["u_seq"])] == [
+        ("a b", "http://x.y/ab", {"a": [3]})] * 2 + [("", "http://x.y/ab", {"a": [3]})]
+    df = spark.createDataFrame([("a", 10), ("b", 20)], "term string, df long")
+    rows = sorted((r["query"], r["url"], round(r["cosine"], 9), round(r["bm25f"], 9)) for r in _score_signals(tx.read_signals(spark, str(p)), df).collect())
+    assert len(rows) == 3 and rows[1] == rows[2] and rows[1][2] > 0
+    assert rows[0] == ("", "http://x.y/ab", 0.0, 1.0)  # score 0 plus log10(9 + 1)

@@ -80,3 +80,25 @@ def test_chunked_gaps_cross_chunk_boundaries(spark):
         assert sizes[t]["gamma_bytes"] == -(-sum(len(_gamma(x)) for x in g) // 8)
         assert sizes[t]["text_bytes"] == len(" ".join(map(str, ids))) + 1
         assert sizes[t]["int32_bytes"] == 4 * len(ids)
+
+
+def test_one_term_in_many_chunks_and_no_shuffle_of_arrays_by_term(spark):
+    import io
+    from contextlib import redirect_stdout
+
+    rnd = random.Random(8)
+    ids = sorted(rnd.sample(range(1, 5000), 900))
+    post = spark.createDataFrame([("the", i) for i in ids] + [("rare", 7)], "term string, doc_id long")
+    for made, back in ((cz.vb_postings, cz.vb_roundtrip), (cz.gamma_postings, cz.gamma_roundtrip)):
+        coded = made(post, chunk=64)
+        assert coded.filter("term = 'the'").count() > 60
+        assert sorted(tuple(r) for r in back(coded).collect()) == sorted([("the", i) for i in ids] + [("rare", 7)])
+        text = io.StringIO()
+        with redirect_stdout(text):
+            coded.explain("formatted")
+        # windows by term see the thin table only: no array or stream among their columns
+        for block in text.getvalue().split("\n\n"):
+            if ") Window" in block.split("\n")[0]:
+                assert "doc_ids" not in block and "gaps" not in block and "bits" not in block
+    total = "".join(r["gamma"] for r in cz.gamma_postings(post, chunk=64).filter("term = 'the'").orderBy("chunk").collect())
+    assert len(total) % 8 == 0
