@@ -98,7 +98,11 @@ def min_windows(hits: DataFrame, qterms: DataFrame) -> DataFrame:
     # (query, term) pairs are few per query: broadcast after a count, so the hits of a
     # hot query are not shuffled onto one task by query_id
     qt = checked_broadcast(qterms.select("query_id", F.col("term").alias("t")).distinct())
-    x = hits.select(*g, "term", "pos").join(qt, "query_id")
+    # Only an instance that has all terms can be covered; the others end here.
+    n_terms = qt.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
+    has = hits.select(*g, "term").distinct().groupBy(*g).agg(F.count(F.lit(1)).alias("n"))
+    complete = has.join(n_terms, ["query_id", "n"], "left_semi").drop("n")
+    x = hits.select(*g, "term", "pos").join(complete, g, "left_semi").join(qt, "query_id")
     frame = Window.partitionBy(*g, "t").orderBy("pos").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     x = x.withColumn("last", F.max(F.when(F.col("term") == F.col("t"), F.col("pos"))).over(frame))
     e = x.groupBy(*g, "pos").agg(

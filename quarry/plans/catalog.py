@@ -201,7 +201,7 @@ def _scores(fx: RankFixture) -> DataFrame:
 
 def _windows(fx: RankFixture) -> DataFrame:
     return _memo(fx, "windows", lambda: sc.min_windows(
-        fx.hits.join(fx.cand.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_semi"), fx.qterm))
+        fx.hits, fx.qterm))
 
 
 def _scored(fx: RankFixture, method) -> DataFrame:
@@ -243,8 +243,8 @@ def _rank(method):
 
 
 def _ndcg(fx: RankFixture, method: str) -> DataFrame:
-    ranked = rk.rank_documents(_scored(fx, method))
-    return ev.ndcg_per_query(ranked, fx.cand)
+    judged = _scored(fx, method).join(fx.judged.select(*lt.KEYS), lt.KEYS, "left_semi")
+    return ev.ndcg_per_query(rk.rank_documents(judged), fx.judged)
 
 
 def q_ndcg_per_query(spark, sf_dir):
@@ -301,7 +301,7 @@ def q_scaled_features(spark, sf_dir):
 
 def q_pair_count(spark, sf_dir):
     """Ordered differing-relevance pairs per query, counted from level sizes (no pair table)."""
-    c = RankFixture(spark, sf_dir).cand.groupBy("query_id", "rel").agg(F.count(F.lit(1)).alias("n"))
+    c = RankFixture(spark, sf_dir).judged.groupBy("query_id", "rel").agg(F.count(F.lit(1)).alias("n"))
     t = c.groupBy("query_id").agg(F.sum("n").alias("t"), F.sum(F.col("n") * F.col("n")).alias("sq"))
     return t.select("query_id", (F.col("t") * F.col("t") - F.col("sq")).cast("bigint").alias("n_pairs"))
 
@@ -316,8 +316,8 @@ def q_pair_hinge(spark, sf_dir):
     import numpy as np
 
     fx = RankFixture(spark, sf_dir)
-    f = _features5(fx, True)
-    scaled = lt.fit_scaler(f, lt.F5).transform(f).join(fx.cand, lt.KEYS)
+    f = _judged(fx, _features5(fx, True))
+    scaled = lt.fit_scaler(f, lt.F5).transform(f).join(fx.judged, lt.KEYS)
     h = lt.PairwiseHinge(scaled, lt.F5)
     try:
         loss, grad = h.evaluate(np.array(HINGE_PROBE_W))
@@ -328,16 +328,22 @@ def q_pair_hinge(spark, sf_dir):
     return spark.createDataFrame(rows, "name string, value double")
 
 
+def _judged(fx: RankFixture, features: DataFrame) -> DataFrame:
+    """Features of labelled pairs: learners see no others."""
+    return features.join(fx.judged.select(*lt.KEYS), lt.KEYS, "left_semi")
+
+
 def _fit_rank(fx: RankFixture, learner: str):
     """(model, scored test pairs): every call fits on the tables as they are now."""
     if learner in ("ols", "ridge"):
-        train, test = _features5(fx, True).join(fx.cand, lt.KEYS), _features5(fx, False)
+        train, test = _features5(fx, True).join(fx.judged, lt.KEYS), _judged(fx, _features5(fx, False))
         model = lt.fit_least_squares(train, lt.F5, alpha=4.5 if learner == "ridge" else 0.0)
     else:
         cols, features = (lt.F5, _features5) if learner == "svm" else (lt.F10, _features10)
-        scaler = lt.fit_scaler(features(fx, True), cols)
-        model = lt.fit_pairwise_svm(scaler.transform(features(fx, True)).join(fx.cand, lt.KEYS), cols)
-        test = scaler.transform(features(fx, False))
+        train = _judged(fx, features(fx, True))
+        scaler = lt.fit_scaler(train, cols)
+        model = lt.fit_pairwise_svm(scaler.transform(train).join(fx.judged, lt.KEYS), cols)
+        test = scaler.transform(_judged(fx, features(fx, False)))
     return model, model.score(test)
 
 
@@ -363,7 +369,7 @@ def q_ltr_ndcg(spark, sf_dir):
     out = None
     for learner in ("ols", "ridge", "svm", "svm10"):
         _, scored = _memo_fit(fx, learner)
-        nd = ev.mean_ndcg(ev.ndcg_per_query(rk.rank_documents(scored), fx.cand))
+        nd = ev.mean_ndcg(ev.ndcg_per_query(rk.rank_documents(scored), fx.judged))
         part = nd.select(F.lit(learner).alias("learner"), _r("mean_ndcg"), "n_queries")
         out = part if out is None else out.unionByName(part)
     return out
@@ -421,7 +427,7 @@ def q_label_file(spark, sf_dir):
 
     fx = RankFixture(spark, sf_dir)
     path = tx.scratch_path(spark, "labels")
-    tx.write_labels(_query_url(fx, fx.cand).withColumnRenamed("query_id", "q_order").withColumn("query_id", F.col("q_order")), path, "q_order")
+    tx.write_labels(_query_url(fx, fx.judged).withColumnRenamed("query_id", "q_order").withColumn("query_id", F.col("q_order")), path, "q_order")
     return tx.read_labels(spark, path)
 
 
@@ -431,10 +437,10 @@ def q_ranked_file(spark, sf_dir):
     from quarry.sources import textfiles as tx
 
     fx = RankFixture(spark, sf_dir)
-    ranked = _query_url(fx, rk.rank_documents(_scored(fx, "bm25f")))
+    ranked = _query_url(fx, rk.rank_documents(_judged(fx, _scored(fx, "bm25f"))))
     rpath, lpath = tx.scratch_path(spark, "ranked"), tx.scratch_path(spark, "labels")
     tx.write_ranked(ranked.withColumn("q_order", F.col("query_id")), rpath, "q_order")
-    tx.write_labels(_query_url(fx, fx.cand).withColumn("q_order", F.col("query_id")), lpath, "q_order")
+    tx.write_labels(_query_url(fx, fx.judged).withColumn("q_order", F.col("query_id")), lpath, "q_order")
     r = tx.read_ranked(spark, rpath).select(F.col("query").alias("query_id"), F.col("url").alias("doc_id"), "rank")
     lab = tx.read_labels(spark, lpath).select(F.col("query").alias("query_id"), F.col("url").alias("doc_id"), "rel")
     return ev.ndcg_per_query(r, lab).select(F.col("query_id").alias("query"), _r("ndcg"))

@@ -2,9 +2,12 @@
 
 ``documents`` becomes a five-field collection: the url is built from
 source / lang / doc_id, line 1 is the title, lines 2 and 3 are headers,
-the rest is the body, and two docs in three carry an anchor (the first 40
-characters of the title, counted ``doc_id % 5 + 1`` times). Queries come
-from ``benchmark`` texts; relevance is ``quality - toxic`` from ``labels``.
+the rest is the body, and two docs in three carry an anchor (the title,
+counted ``doc_id % 5 + 1`` times). A query is all terms of a ``benchmark``
+text. A document is a candidate of a query if it has at least a third of the
+query's distinct terms; candidates are found exactly by a prefix filter: a
+document with k of n terms has one of the n - k + 1 rarest. Relevance is
+``quality - toxic`` from ``labels`` and is used by NDCG and the learners only.
 Every view scales with the tables it reads.
 """
 
@@ -18,12 +21,13 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import ascii_lower, ws_terms
 from quarry.operators import signals as sig
-from quarry.session import reused
+from quarry.session import checked_broadcast, reused
 from quarry.sources.tables import table
 
-# The query terms are the 9th-11th most frequent (body df) terms of each benchmark text.
-QTERM_RANKS = (9, 10, 11)
-MIN_QTERM_LEN = 3
+# A candidate has at least one in MATCH_PART of a query's distinct terms.
+MATCH_PART = 3
+# Queries whose id is a multiple of this repeat their rarest term, so that query counts above 1 occur.
+REPEAT_EVERY = 3
 
 
 def field_instances(documents: DataFrame) -> DataFrame:
@@ -38,7 +42,7 @@ def field_instances(documents: DataFrame) -> DataFrame:
     def inst(field, i, txt, weight=F.lit(1)):
         return F.struct(F.lit(field).alias("field"), F.lit(i).alias("inst"), txt.alias("txt"), weight.cast("bigint").alias("weight"))
 
-    anchor_txt = F.when(F.col("doc_id") % 3 != 0, F.substring(title, 1, 40))
+    anchor_txt = F.when(F.col("doc_id") % 3 != 0, title)
     rows = F.array(
         inst("url", 0, url), inst("title", 0, title), inst("header", 0, h0), inst("header", 1, h1),
         inst("body", 0, body), inst("anchor", 0, anchor_txt, F.col("doc_id") % 5 + 1),
@@ -87,39 +91,58 @@ class RankFixture:
     @cached_property
     def bench_terms(self) -> DataFrame:
         b = table(self.spark, self.sf_dir, "benchmark")
-        t = b.select("item_id", F.explode(F.split(ascii_lower("text"), "[^a-z]+")).alias("term"))
-        return t.filter(F.length("term") >= MIN_QTERM_LEN).distinct()
+        return b.select("item_id", F.explode(ws_terms(ascii_lower("text"))).alias("term")).distinct()
 
     @cached_property
     def qterm(self) -> DataFrame:
-        """(query_id, term, df): per benchmark item, its terms ranked 9-11 by df (window per item: bounded)."""
-        w = Window.partitionBy("item_id").orderBy(F.col("df").desc(), "term")
-        r = self.bench_terms.join(self.df, "term").withColumn("rn", F.row_number().over(w))
-        return reused(r.filter(F.col("rn").isin(*QTERM_RANKS)).select(F.col("item_id").alias("query_id"), "term", "df"))
+        """(query_id, term, df): every distinct term of each benchmark item, df 1 if no body has it."""
+        r = self.bench_terms.join(self.df, "term", "left")
+        return reused(r.select(F.col("item_id").alias("query_id"), "term", F.coalesce("df", F.lit(1)).cast("bigint").alias("df")))
 
     @cached_property
     def queries(self) -> DataFrame:
-        """(query_id, query): the query text, terms in rank order."""
+        """(query_id, query): the query text, frequent terms first; some repeat the rarest."""
         key = F.struct((-F.col("df")).alias("k"), F.col("term"))
         w = self.qterm.groupBy("query_id").agg(F.sort_array(F.collect_list(key)).alias("t"))
-        return w.select("query_id", F.array_join(F.col("t.term"), " ").alias("query"))
+        again = F.when(F.col("query_id") % REPEAT_EVERY == 0, F.slice("t.term", -1, 1)).otherwise(F.array().cast("array<string>"))
+        return w.select("query_id", F.array_join(F.concat(F.col("t.term"), again), " ").alias("query"))
 
     @cached_property
     def bool_queries(self) -> DataFrame:
-        """Boolean-search batch: each query, the same with an unknown term, and one with a repeated term."""
-        q = self.queries
-        first = F.element_at(F.split("query", " "), 1)
-        return (
-            q.select((F.col("query_id") * 3).alias("query_id"), "query")
-            .unionByName(q.select((F.col("query_id") * 3 + 1).alias("query_id"),
-                                  F.concat_ws(" ", "query", F.concat(F.lit("zzzz"), F.col("query_id").cast("string"))).alias("query")))
-            .unionByName(q.select((F.col("query_id") * 3 + 2).alias("query_id"), F.concat_ws(" ", first, "query").alias("query")))
-        )
+        """Boolean-search batch: each query, the same with an unknown term, one with a repeated term, and its three most frequent terms."""
+        words, number = F.split("query", " "), F.col("query_id").cast("string")
+        forms = F.array(F.col("query"), F.concat_ws(" ", "query", F.concat(F.lit("zzzz"), number)),
+                        F.concat_ws(" ", F.element_at(words, 1), "query"), F.array_join(F.slice(words, 1, 3), " "))
+        q = self.queries.select("query_id", F.posexplode(forms).alias("form", "query"))
+        return q.select((F.col("query_id") * 4 + F.col("form")).alias("query_id"), "query")
+
+    @cached_property
+    def vocab_tok(self) -> DataFrame:
+        """Field tokens that are a term of any query; counted, the vocabulary is broadcast."""
+        return reused(self.tok.join(checked_broadcast(self.qterm.select("term").distinct()), "term", "left_semi"))
+
+    @cached_property
+    def cand(self) -> DataFrame:
+        """(query_id, doc_id): documents with at least one in MATCH_PART of a query's distinct terms, in any field.
+
+        The documents of a query's rarest terms are the only ones that can qualify; their
+        other terms are then counted. Frequent terms never meet a query's whole list.
+        """
+        doc_terms = reused(self.vocab_tok.select("doc_id", "term").distinct())
+        per = Window.partitionBy("query_id")
+        q = self.qterm.select("query_id", "term", F.count(F.lit(1)).over(per).alias("n"), F.row_number().over(per.orderBy("df", "term")).alias("rn"))
+        q = q.withColumn("need", F.ceil(F.col("n") / MATCH_PART))
+        rare = checked_broadcast(q.filter(F.col("rn") <= F.col("n") - F.col("need") + 1).select("query_id", "term"))
+        seeds = doc_terms.join(rare, "term").select("query_id", "doc_id").distinct()
+        had = seeds.join(checked_broadcast(q.select("query_id", "term", "need")), "query_id").join(doc_terms, ["doc_id", "term"], "left_semi")
+        had = had.groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("k"), F.max("need").alias("need"))
+        return reused(had.filter(F.col("k") >= F.col("need")).select("query_id", "doc_id"))
 
     @cached_property
     def hits(self) -> DataFrame:
-        """Query-term occurrences: (query_id, doc_id, field, inst, weight, term, pos)."""
-        return reused(sig.query_hits(self.tok, self.qterm.select("query_id", "term")))
+        """Query-term occurrences of candidates: (query_id, doc_id, field, inst, weight, term, pos)."""
+        near = self.vocab_tok.join(self.cand, "doc_id")
+        return reused(near.join(checked_broadcast(self.qterm.select("query_id", "term")), ["query_id", "term"]))
 
     @cached_property
     def labels(self) -> DataFrame:
@@ -127,10 +150,9 @@ class RankFixture:
         return lab.select("doc_id", (F.col("quality") - F.col("toxic")).cast("double").alias("rel"))
 
     @cached_property
-    def cand(self) -> DataFrame:
-        """(query_id, doc_id, rel): labelled documents sharing a query term in any field."""
-        pairs = self.hits.select("query_id", "doc_id").distinct().join(self.labels, "doc_id")
-        return reused(pairs.select("query_id", "doc_id", "rel"))
+    def judged(self) -> DataFrame:
+        """(query_id, doc_id, rel): the candidates that have a label."""
+        return reused(self.cand.join(self.labels, "doc_id").select("query_id", "doc_id", "rel"))
 
     @cached_property
     def lens(self) -> DataFrame:
@@ -149,7 +171,7 @@ class RankFixture:
 
     @cached_property
     def qvec(self) -> DataFrame:
-        """(query_id, term, q_tf, df) with q_tf from the query text (1 here: terms are distinct)."""
+        """(query_id, term, q_tf, df) with q_tf from the query text."""
         return sig.query_vector(self.queries, self.df, lower=False)
 
     def split(self, train: bool):

@@ -52,7 +52,7 @@ FX = f"""fx_inst as (
   union all select doc_id, 'header', 0, regexp_extract(text, '^[^\\n]*\\n([^\\n]*)', 1), 1 from documents
   union all select doc_id, 'header', 1, regexp_extract(text, '^[^\\n]*\\n[^\\n]*\\n([^\\n]*)', 1), 1 from documents
   union all select doc_id, 'body', 0, regexp_replace(text, '^[^\\n]*\\n?[^\\n]*\\n?[^\\n]*\\n?', ''), 1 from documents
-  union all select doc_id, 'anchor', 0, substr(regexp_extract(text, '^([^\\n]*)', 1), 1, 40), doc_id % 5 + 1
+  union all select doc_id, 'anchor', 0, regexp_extract(text, '^([^\\n]*)', 1), doc_id % 5 + 1
     from documents where doc_id % 3 <> 0
 ),
 fx_tok as (
@@ -63,24 +63,27 @@ fx_tok as (
         from fx_inst)
 ),
 fx_df as (select term, count(distinct doc_id) + 1 as df from fx_tok where field = 'body' group by term),
-bt as (
-  select distinct item_id, term
-  from (select item_id, unnest(regexp_split_to_array({low('text')}, '[^a-z]+')) as term from benchmark)
-  where length(term) >= 3
-),
+bt as (select distinct item_id, unnest({ws(low('text'))}) as term from benchmark),
 fx_qterm as (
-  select item_id as query_id, term, df
-  from (select b.item_id, b.term, f.df, row_number() over (partition by b.item_id order by f.df desc, b.term) as rn
-        from bt b join fx_df f using (term))
-  where rn in (9, 10, 11)
+  select item_id as query_id, term, df, case when item_id % 3 = 0 and last = 1 then 2 else 1 end as q_tf
+  from (select b.item_id, b.term, coalesce(f.df, 1) as df, row_number() over (partition by b.item_id order by coalesce(f.df, 1), b.term desc) as last
+        from bt b left join fx_df f using (term))
 ),
 fx_query as (
-  select query_id, string_agg(term, ' ' order by df desc, term) as query from fx_qterm group by query_id
+  select query_id, string_agg(term, ' ' order by df desc, term) || coalesce(max(case when q_tf = 2 then ' ' || term end), '') as query
+  from fx_qterm group by query_id
 ),
-fx_hits as (select q.query_id, t.doc_id, t.field, t.inst, t.weight, t.term, t.pos from fx_tok t join fx_qterm q using (term)),
+fx_dt as (select distinct doc_id, term from fx_tok where term in (select term from fx_qterm)),
 fx_cand as (
-  select distinct h.query_id, h.doc_id, cast(l.quality - l.toxic as double) as rel
-  from fx_hits h join labels l using (doc_id)
+  select m.query_id, m.doc_id
+  from (select q.query_id, d.doc_id, count(*) as k from fx_qterm q join fx_dt d using (term) group by q.query_id, d.doc_id) m
+  join (select query_id, count(*) as n from fx_qterm group by query_id) using (query_id)
+  where k >= ceil(n / 3)
+),
+fx_judged as (select c.query_id, c.doc_id, cast(l.quality - l.toxic as double) as rel from fx_cand c join labels l using (doc_id)),
+fx_hits as (
+  select c.query_id, t.doc_id, t.field, t.inst, t.weight, t.term, t.pos
+  from fx_cand c join fx_tok t using (doc_id) join fx_qterm q on q.query_id = c.query_id and q.term = t.term
 ),
 fx_len as (
   select d.doc_id, f.field, cast(coalesce(sum(t.weight), 0) as bigint) as len
@@ -103,7 +106,7 @@ prm as (
                         ('body', 2, 0.3, 1), ('anchor', 400, 0.01, 15)) p(field, cw, bb, ww)
 ),
 fx_pair as (
-  select query_id, doc_id, c.rel, l.len as body_len, doc_id % 10 as pagerank
+  select query_id, doc_id, l.len as body_len, doc_id % 10 as pagerank
   from fx_cand c join fx_len l using (doc_id) where l.field = 'body'
 ),
 fx_term as (
@@ -115,32 +118,38 @@ fx_term as (
 ),
 fx_score as (
   select s.query_id, s.doc_id,
-         sum(log10(98999 // q.df) * s.sc) / (max(p.body_len) + 15000) as cosine,
+         sum((1 + log10(q.q_tf)) * log10(98999 // q.df) * s.sc) / (max(p.body_len) + 15000) as cosine,
          sum(log10(98999 // q.df) * s.w / (7 + s.w)) as bm25f_text,
          sum(log10(98999 // q.df) * s.w / (7 + s.w)) + log10(max(p.pagerank) + 1) as bm25f
   from fx_term s join fx_qterm q using (query_id, term) join fx_pair p using (query_id, doc_id)
   group by s.query_id, s.doc_id
 ),
 fx_win as (
-  with x as (
-    select h.query_id, h.doc_id, h.field, h.inst, q.term as t, h.pos,
-           max(case when h.term = q.term then h.pos end) over (
-             partition by h.query_id, h.doc_id, h.field, h.inst, q.term order by h.pos
-             range between unbounded preceding and current row) as last_pos
-    from fx_hits h join fx_qterm q using (query_id)
-    where (h.query_id, h.doc_id) in (select query_id, doc_id from fx_cand)
+  with c as (
+    select query_id, doc_id, field, inst
+    from (select query_id, doc_id, field, inst, count(distinct term) as k from fx_hits group by all)
+    join (select query_id, count(*) as k from fx_qterm group by query_id) using (query_id, k)
+  ),
+  h as (select f.* from fx_hits f join c using (query_id, doc_id, field, inst)),
+  -- a window that starts at a hit ends at the latest of every term's first place from there on
+  s as (select distinct query_id, doc_id, field, inst, pos as lo from h),
+  n as (
+    select s.query_id, s.doc_id, s.field, s.inst, s.lo, h.term, min(h.pos) as nxt
+    from s join h on h.query_id = s.query_id and h.doc_id = s.doc_id and h.field = s.field and h.inst = s.inst and h.pos >= s.lo
+    group by all
   ),
   e as (
-    select query_id, doc_id, field, inst, pos, count(*) as n, count(last_pos) as m, min(last_pos) as lo
-    from x group by all
+    select query_id, doc_id, lo, max(nxt) as hi, count(*) as m from n group by query_id, doc_id, field, inst, lo
   )
-  select query_id, doc_id, cast(min(pos - lo + 1) as bigint) as min_window from e where n = m group by query_id, doc_id
+  select e.query_id, e.doc_id, cast(min(hi - lo + 1) as bigint) as min_window
+  from e join (select query_id, count(*) as n from fx_qterm group by query_id) t on t.query_id = e.query_id and t.n = e.m
+  group by e.query_id, e.doc_id
 ),
 fx_sw as (
   select s.query_id, s.doc_id,
          (coalesce(n.nq / w.min_window * 1.7, 0) + 1) * s.cosine as score
   from fx_score s left join fx_win w using (query_id, doc_id)
-  join (select query_id, cast(count(*) as double) as nq from fx_qterm group by query_id) n using (query_id)
+  join (select query_id, cast(sum(q_tf) as double) as nq from fx_qterm group by query_id) n using (query_id)
 )"""
 
 
@@ -149,8 +158,8 @@ def _ranked(score: str) -> str:
 
 
 def _ndcg_sql(src: str, score: str) -> str:
-    return f"""ranked as ({_ranked(score)} from {src}),
-j as (select r.query_id, r.rank, greatest(c.rel, 0) as g from ranked r join fx_cand c using (query_id, doc_id)),
+    return f"""ranked as ({_ranked(score)} from {src} join fx_judged using (query_id, doc_id)),
+j as (select r.query_id, r.rank, greatest(c.rel, 0) as g from ranked r join fx_judged c using (query_id, doc_id)),
 ideal as (select query_id, g, row_number() over (partition by query_id order by g desc) as ik from j),
 nd as (
   select d.query_id, case when i.idcg > 0 then d.dcg / i.idcg else 1e0 end as ndcg
@@ -181,8 +190,8 @@ ORACLE: dict[str, str] = {
     "avg_lengths": _with(FX) + """select max(case when field = 'url' then av end) as av_url, max(case when field = 'title' then av end) as av_title,
         max(case when field = 'header' then av end) as av_header, max(case when field = 'body' then av end) as av_body,
         max(case when field = 'anchor' then av end) as av_anchor from fx_avg""",
-    "idf": _with(FX) + "select query_id, term, cast(1 as bigint) as q_tf, df, round(log10(98999 // df), 9) as idf from fx_qterm",
-    "signal_vectors": _with(FX) + """select query_id, doc_id, term, cast(1 as bigint) as q_tf,
+    "idf": _with(FX) + "select query_id, term, cast(q_tf as bigint) as q_tf, df, round(log10(98999 // df), 9) as idf from fx_qterm",
+    "signal_vectors": _with(FX) + """select query_id, doc_id, term, cast(max(q.q_tf) as bigint) as q_tf,
         cast(sum(case when field = 'url' then tf else 0 end) as bigint) as tf_url, cast(sum(case when field = 'title' then tf else 0 end) as bigint) as tf_title,
         cast(sum(case when field = 'header' then tf else 0 end) as bigint) as tf_header, cast(sum(case when field = 'body' then tf else 0 end) as bigint) as tf_body,
         cast(sum(case when field = 'anchor' then tf else 0 end) as bigint) as tf_anchor, round(log10(98999 // max(q.df)), 9) as idf
@@ -204,9 +213,10 @@ ORACLE: dict[str, str] = {
 }
 
 BOOL = """bq as (
-  select query_id * 3 as query_id, query from fx_query
-  union all select query_id * 3 + 1, query || ' zzzz' || cast(query_id as varchar) from fx_query
-  union all select query_id * 3 + 2, split_part(query, ' ', 1) || ' ' || query from fx_query
+  select query_id * 4 as query_id, query from fx_query
+  union all select query_id * 4 + 1, query || ' zzzz' || cast(query_id as varchar) from fx_query
+  union all select query_id * 4 + 2, split_part(query, ' ', 1) || ' ' || query from fx_query
+  union all select query_id * 4 + 3, array_to_string(string_split(query, ' ')[1:3], ' ') from fx_query
 ),
 bqt as (select distinct query_id, unnest(""" + ws("query") + """) as term from bq)"""
 
@@ -263,7 +273,7 @@ def _subl(x: str) -> str:
 
 def _feat(add: int, extra: str = "", tr: str = "") -> str:
     cols = ",\n    ".join(
-        f"sum(case when t.field = '{f}' then log10(98999 // q.df) * {_subl('t.tf')} else 0 end) / (max(p.body_len) + {add}) as f_{f}"
+        f"sum(case when t.field = '{f}' then q.q_tf * log10(98999 // q.df) * {_subl('t.tf')} else 0 end) / (max(p.body_len) + {add}) as f_{f}"
         for f in ("url", "title", "header", "body", "anchor"))
     return f"""select t.query_id, t.doc_id{tr},
     {cols}{extra}
@@ -314,12 +324,12 @@ ORACLE["features10"] = _with(FX, F10) + "select query_id, doc_id, " + ", ".join(
 ORACLE["scaled_features"] = _with(FX, F10, _scaled("fx_f10", F10_COLS, "query_id % 4 <> 0")) + "select query_id, doc_id, " + ", ".join(
     f"round({c}, 9) as {c}" for c in F10_COLS) + " from scaled"
 ORACLE["pair_count"] = _with(FX) + """select a.query_id, cast(sum(case when a.rel <> b.rel then 1 else 0 end) as bigint) as n_pairs
-    from fx_cand a join fx_cand b using (query_id) group by a.query_id"""
+    from fx_judged a join fx_judged b using (query_id) group by a.query_id"""
 
 _HW = (1.0, -2.0, 0.5, 3.0, -1.0)
 _MARGIN = " + ".join(f"{w} * (a.{c} - b.{c})" for w, c in zip(_HW, F5_COLS))
-ORACLE["pair_hinge"] = _with(FX, "f5 as (" + _feat(5000) + " having t.query_id % 4 <> 0)", _scaled("f5", F5_COLS, "true"),
-                             """tr as (select s.*, c.rel from scaled s join fx_cand c using (query_id, doc_id)),
+ORACLE["pair_hinge"] = _with(FX, "f5 as (select * from (" + _feat(5000) + ") where query_id % 4 <> 0 and (query_id, doc_id) in (select query_id, doc_id from fx_judged))", _scaled("f5", F5_COLS, "true"),
+                             """tr as (select s.*, c.rel from scaled s join fx_judged c using (query_id, doc_id)),
 pr as (select a.*, b.f_url as b_url, 1 - (""" + _MARGIN + """) as h, """ + ", ".join(
     f"a.{c} - b.{c} as d_{c}" for c in F5_COLS) + """ from tr a join tr b on a.query_id = b.query_id and a.rel > b.rel),
 v as (select 'loss' as name, sum(h) as value from pr where h > 0
@@ -331,7 +341,7 @@ fx_u as (select doc_id, txt as url from fx_inst where field = 'url')"""
 ORACLE["signal_file_scores"] = _with(FX, QU) + """select q.query, u.url, round(s.cosine, 9) as cosine, round(s.bm25f, 9) as bm25f,
     round(w.score, 9) as window_
     from fx_score s join fx_sw w using (query_id, doc_id) join fx_q q using (query_id) join fx_u u using (doc_id)"""
-ORACLE["label_file"] = _with(FX, QU) + "select q.query, u.url, c.rel from fx_cand c join fx_q q using (query_id) join fx_u u using (doc_id)"
+ORACLE["label_file"] = _with(FX, QU) + "select q.query, u.url, c.rel from fx_judged c join fx_q q using (query_id) join fx_u u using (doc_id)"
 ORACLE["ranked_file"] = _with(FX, _ndcg_sql("fx_score", "bm25f"), QU) + "select q.query, round(nd.ndcg, 9) as ndcg from nd join fx_q q using (query_id)"
 
 ORACLE["search_stream"] = "select query, doc_name from (" + ORACLE["boolean_search"] + ")"
