@@ -87,9 +87,3 @@ def gamma_decode(bits: Column) -> Column:
 
     return F.transform(codes, value)
 
-
-def bits_to_hex(bits: Column) -> Column:
-    """Byte-aligned bit string -> lowercase hex."""
-    n = (F.length(bits) / 8).cast("int")
-    byte = lambda i: F.lpad(F.lower(F.conv(F.substring(bits, i * 8 + 1, 8), 2, 16)), 2, "0")
-    return F.when(n == 0, F.lit("")).otherwise(F.array_join(F.transform(F.sequence(F.lit(0), n - 1), byte), ""))

@@ -20,17 +20,21 @@ def sublinear_array(v) -> Column:
     return F.transform(_col(v), lambda x: F.when(x == 0, F.lit(0.0)).otherwise(F.lit(1.0) + F.log10(x.cast("double"))))
 
 
+def _same_length(a: Column, b: Column, out: Column) -> Column:
+    return F.when(F.size(a) == F.size(b), out).otherwise(F.raise_error(F.lit("vectors are of different length")))
+
+
 def dot(a, b) -> Column:
     """Dot product of equal-length arrays; unequal lengths raise like the reference (Q17)."""
     a, b = _col(a), _col(b)
-    checked = F.when(F.size(a) == F.size(b), F.lit(True)).otherwise(F.raise_error(F.lit("vectors are of different length")))
     prod = F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
-    return F.when(checked, prod)
+    return _same_length(a, b, prod)
 
 
 def vec_diff(a, b) -> Column:
-    """Element-wise a - b (Q18)."""
-    return F.zip_with(_col(a), _col(b), lambda x, y: x - y)
+    """Element-wise a - b; unequal lengths raise (Q18)."""
+    a, b = _col(a), _col(b)
+    return _same_length(a, b, F.zip_with(a, b, lambda x, y: x - y))
 
 
 def vec_scale(v, norm) -> Column:

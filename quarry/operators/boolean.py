@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import ascii_strip, ws_terms
+from quarry.operators.numbering import number_rows
 from quarry.session import checked_broadcast, reused
 
 NO_RESULTS = "no results found"
@@ -50,7 +51,7 @@ def query_terms(queries: DataFrame, doc_freq: DataFrame, term_catalog: DataFrame
 def boolean_search(queries: DataFrame, postings: DataFrame, doc_freq: DataFrame, catalog: DataFrame) -> DataFrame:
     """(query_id, query, doc_name): matching document names, or one
     'no results found' row for a query with an unknown term or an empty
-    intersection (Q40-Q42). Sort with ``orderBy('query_id', 'doc_name')``."""
+    intersection (Q40-Q42), in no order: see ``sorted_results``."""
     queries = query_lines(queries)
     # one lookup of every (query, term) in the df table serves both the unknown-term
     # check and the rarest-first order
@@ -86,6 +87,11 @@ def boolean_search(queries: DataFrame, postings: DataFrame, doc_freq: DataFrame,
         empty.select("query_id", "query", F.lit(NO_RESULTS).alias("doc_name")))
 
 
+def sorted_results(results: DataFrame) -> DataFrame:
+    """``results`` with ``pos``, the 1-based place of a name in its query's sorted list (Q42)."""
+    return number_rows(results, ["doc_name"], "pos", group_by=["query_id"])
+
+
 # Vocabulary size up to which the terms are pushed into the postings scan as an IN list.
 PUSHDOWN_TERMS = 10_000
 

@@ -134,7 +134,7 @@ def q_unknown_terms(spark, sf_dir):
 
 def q_boolean_search(spark, sf_dir):
     queries, idx = _bool_inputs(spark, sf_dir)
-    return bl.boolean_search(queries, idx.postings, idx.doc_freq, idx.catalog)
+    return bl.sorted_results(bl.boolean_search(queries, idx.postings, idx.doc_freq, idx.catalog))
 
 
 # ---------------------------------------------------------------- signals

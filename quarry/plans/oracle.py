@@ -229,7 +229,8 @@ ORACLE["boolean_search"] = _with(INDEX, FX, BOOL) + """, good as (
   nt as (select query_id, count(*) as n from bqt where query_id in (select query_id from good) group by query_id),
   m as (select b.query_id, p.doc_id from bqt b join post p using (term) join nt using (query_id)
         group by b.query_id, p.doc_id having count(*) = max(nt.n))
-select bq.query_id, bq.query, coalesce(cat.doc_name, 'no results found') as doc_name
+select bq.query_id, bq.query, coalesce(cat.doc_name, 'no results found') as doc_name,
+       row_number() over (partition by bq.query_id order by cat.doc_name) as pos
 from bq left join m using (query_id) left join cat on cat.cid = m.doc_id"""
 
 GAPS = """gaps as (

@@ -130,3 +130,19 @@ def test_signal_records_tabs_crlf_repeated_url_and_empty_query(spark, tmp_path):
     rows = sorted((r["query"], r["url"], round(r["cosine"], 9), round(r["bm25f"], 9)) for r in _score_signals(tx.read_signals(spark, str(p)), df).collect())
     assert len(rows) == 3 and rows[1] == rows[2] and rows[1][2] > 0
     assert rows[0] == ("", "http://x.y/ab", 0.0, 1.0)  # score 0 plus log10(9 + 1)
+
+
+def test_both_counts_of_violating_pairs_agree_with_brute_force(spark):
+    rows, df = _data(spark, seed=9, nq=4)
+    h = lt.PairwiseHinge(df, ["a", "b", "c"])
+    w = np.array([0.7, -0.4, 0.1])
+    want, grad = 0.0, np.zeros(3)
+    for q in {r[0] for r in rows}:
+        for i, j in itertools.permutations([r for r in rows if r[0] == q], 2):
+            d = np.array(i[3:6]) - np.array(j[3:6])
+            if i[2] > j[2] and 1 - w @ d > 0:
+                want, grad = want + 1 - w @ d, grad - d
+    for path in (True, False):  # a window per query, and the range-partitioned scan
+        h.window_path = path
+        loss, g = h.evaluate(w)
+        assert abs(loss - want) < 1e-8 and np.allclose(g, grad, atol=1e-8)

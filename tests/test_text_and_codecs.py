@@ -102,3 +102,18 @@ def test_one_term_in_many_chunks_and_no_shuffle_of_arrays_by_term(spark):
                 assert "doc_ids" not in block and "gaps" not in block and "bits" not in block
     total = "".join(r["gamma"] for r in cz.gamma_postings(post, chunk=64).filter("term = 'the'").orderBy("chunk").collect())
     assert len(total) % 8 == 0
+
+
+def test_vector_helpers(spark):
+    import pytest
+
+    from quarry.functions import vectors as v
+
+    df = spark.createDataFrame([([1.0, 2.0, 0.0], [3.0, 0.5, 4.0]), ([], [])], "a array<double>, b array<double>")
+    got = [tuple(r) for r in df.select(v.dot("a", "b"), v.vec_diff("a", "b"), v.vec_scale("a", 2), v.sublinear_array("b")).collect()]
+    assert got[0][:3] == (4.0, [-2.0, 1.5, -4.0], [0.5, 1.0, 0.0]) and got[1] == (0.0, [], [], [])
+    assert abs(got[0][3][0] - 1.4771212547196624) < 1e-12
+    uneven = spark.createDataFrame([([1.0], [1.0, 2.0])], "a array<double>, b array<double>")
+    for op in (v.dot, v.vec_diff):
+        with pytest.raises(Exception, match="different length"):
+            uneven.select(op("a", "b")).collect()
