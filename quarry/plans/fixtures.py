@@ -6,7 +6,7 @@ the rest is the body, and two docs in three carry an anchor (the title,
 counted ``doc_id % 5 + 1`` times). A query is all terms of a ``benchmark``
 text. A document is a candidate of a query if it has at least a third of the
 query's distinct terms; candidates are found exactly by a prefix filter: a
-document with k of n terms has one of the n - k + 1 rarest. Relevance is
+document with k of n terms has j of the n - k + j rarest. Relevance is
 ``quality - toxic`` from ``labels`` and is used by NDCG and the learners only.
 Every view scales with the tables it reads.
 """
@@ -26,6 +26,8 @@ from quarry.sources.tables import table
 
 # A candidate has at least one in MATCH_PART of a query's distinct terms.
 MATCH_PART = 3
+# Rarest terms of a query that a document must have before its other terms are counted.
+PREFIX_HITS = 4
 # Queries whose id is a multiple of this repeat their rarest term, so that query counts above 1 occur.
 REPEAT_EVERY = 3
 
@@ -125,15 +127,16 @@ class RankFixture:
     def cand(self) -> DataFrame:
         """(query_id, doc_id): documents with at least one in MATCH_PART of a query's distinct terms, in any field.
 
-        The documents of a query's rarest terms are the only ones that can qualify; their
-        other terms are then counted. Frequent terms never meet a query's whole list.
+        Only documents with a few of a query's rarest terms can qualify; their other terms
+        are then counted. Frequent terms never meet a query's whole list.
         """
         doc_terms = reused(self.vocab_tok.select("doc_id", "term").distinct())
         per = Window.partitionBy("query_id")
         q = self.qterm.select("query_id", "term", F.count(F.lit(1)).over(per).alias("n"), F.row_number().over(per.orderBy("df", "term")).alias("rn"))
-        q = q.withColumn("need", F.ceil(F.col("n") / MATCH_PART))
-        rare = checked_broadcast(q.filter(F.col("rn") <= F.col("n") - F.col("need") + 1).select("query_id", "term"))
-        seeds = doc_terms.join(rare, "term").select("query_id", "doc_id").distinct()
+        q = q.withColumn("need", F.ceil(F.col("n") / MATCH_PART)).withColumn("first", F.least("need", F.lit(PREFIX_HITS)))
+        rare = checked_broadcast(q.filter(F.col("rn") <= F.col("n") - F.col("need") + F.col("first")).select("query_id", "term", "first"))
+        seeds = doc_terms.join(rare, "term").groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("k"), F.max("first").alias("first"))
+        seeds = seeds.filter(F.col("k") >= F.col("first")).select("query_id", "doc_id")
         had = seeds.join(checked_broadcast(q.select("query_id", "term", "need")), "query_id").join(doc_terms, ["doc_id", "term"], "left_semi")
         had = had.groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("k"), F.max("need").alias("need"))
         return reused(had.filter(F.col("k") >= F.col("need")).select("query_id", "doc_id"))
