@@ -240,7 +240,9 @@ def _by_name(rows: DataFrame, length: int) -> DataFrame:
 
 def repeated_starts(docs: DataFrame, length: int = LENGTH, window: int = WINDOW, class_rows: int = CLASS_ROWS) -> DataFrame:
     """(k1, k2, runs, starts): of texts with repetitions, runs (first, last) of starts that all repeat, and single ones."""
-    kept = shared_table(contexts(docs, length, window).join(repeated_suffixes(docs, length, window), "suffix", "left_semi"), "contexts")
+    # Written, so that Spark can split a hot suffix in the joins that follow.
+    repeated = shared_table(repeated_suffixes(docs, length, window), "suffixes")
+    kept = shared_table(contexts(docs, length, window).join(repeated, "suffix", "left_semi"), "contexts")
     kinds = shared_table(kept.groupBy("suffix", "context").agg(F.count(F.lit(1)).alias("n")), "kinds")
     sure = kept.join(kinds.where("n > 1").select("suffix", "context"), ["suffix", "context"], "left_semi").select("k1", "k2", "first", "last").distinct()
     several = kinds.groupBy("suffix").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least")).where("m > 1 and least = 1").select("suffix", "m")
