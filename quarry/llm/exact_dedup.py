@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import content_key
+from quarry.llm.common import content_key, shared_table
 
 
 def _grouped(docs: DataFrame, key: Column) -> DataFrame:
@@ -28,7 +28,8 @@ def _grouped(docs: DataFrame, key: Column) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("t"))
     rows = rows.select("doc_id", "t", key.alias("h"))
     elected = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    elected = rows.join(elected, "h").groupBy("h").agg(F.min("t").alias("elected"))
+    # Written, so that Spark can split a hot hash in the join that follows.
+    elected = shared_table(rows.join(elected, "h", "left_semi").groupBy("h").agg(F.min("t").alias("elected")), "elected", compression="zstd")
     rows = rows.join(elected, "h", "left")
     other = F.when(F.col("elected").isNull() | (F.col("elected") == F.col("t")), F.lit("")).otherwise(F.col("t"))
     return rows.select("doc_id", "h", other.alias("other"), F.sha2(F.col("t").cast("binary"), 256).alias("text_sha256"))
