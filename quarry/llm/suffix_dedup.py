@@ -243,12 +243,12 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, window: int = WINDOW,
     # Written, so that Spark can split a hot suffix in the joins that follow.
     repeated = shared_table(repeated_suffixes(docs, length, window), "suffixes")
     kept = shared_table(contexts(docs, length, window).join(repeated, "suffix", "left_semi"), "contexts")
-    kinds = shared_table(kept.groupBy("suffix", "context").agg(F.count(F.lit(1)).alias("n")), "kinds")
+    # One place of each context stands for it.
+    place = F.min(F.struct("k1", "k2", "at", "first", "last")).alias("p")
+    kinds = shared_table(kept.groupBy("suffix", "context").agg(F.count(F.lit(1)).alias("n"), place), "kinds")
     sure = kept.join(kinds.where("n > 1").select("suffix", "context"), ["suffix", "context"], "left_semi").select("k1", "k2", "first", "last").distinct()
     several = kinds.groupBy("suffix").agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("least")).where("m > 1 and least = 1").select("suffix", "m")
-    chosen = kept.join(kinds.join(several, "suffix"), ["suffix", "context"])
-    # One place of each context stands for it.
-    chosen = chosen.groupBy("suffix", "context", "m").agg(F.min(F.struct("k1", "k2", "at", "first", "last")).alias("p"), F.max("n").alias("n"))
+    chosen = kinds.join(several, "suffix")
     lone = (F.col("n") == 1).alias("lone")
     spots = chosen.select("p.k1", "p.k2", F.struct("suffix", "p.at", "p.first", "p.last", lone).alias("spot"), "m")
     parts = []
