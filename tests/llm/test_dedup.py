@@ -303,6 +303,78 @@ def test_similar_runs_need_the_similarity():
     assert sorted({k for s, _, n in runs for k in range(s, s + n - 45)}) == good
 
 
+def brute_alike(a, b, least=46, similarity=0.8):
+    """Shingles of either text in runs of ``least`` with a run of the other whose set of shingles is similar."""
+    cover = np.zeros(len(a), bool), np.zeros(len(b), bool)
+    runs = [[frozenset(x[k : k + least].tolist()) for k in range(len(x) - least + 1)] for x in (a, b)]
+    for i, p in enumerate(runs[0]):
+        for j, q in enumerate(runs[1]):
+            if len(p & q) >= similarity * len(p | q) - 1e-9:
+                cover[0][i : i + least] = cover[1][j : j + least] = True
+    return cover
+
+
+def covered(runs, n):
+    out = np.zeros(n, bool)
+    for at, size in runs:
+        out[at : at + size] = True
+    return out
+
+
+def test_alike_runs_against_sets_with_inserted_and_deleted_words():
+    rng = random.Random(8)
+    found = 0
+    for case in range(60):
+        few = 3 if case % 6 == 0 else 5000
+        words = [rng.randint(0, few) for _ in range(rng.randint(30, 90))]
+        other = list(words)
+        for _ in range(rng.randint(0, 3)):
+            k = rng.randrange(len(other))
+            other[k : k + rng.randint(0, 1)] = [rng.randint(0, few)] * rng.randint(0, 1)
+        if case % 4 == 0:
+            other = other[len(other) // 2 :] + other[: len(other) // 2]
+        other = [rng.randint(0, few) for _ in range(rng.randint(0, 20))] + other + other[: rng.randint(0, 60)]
+        a, b = (np.array([hash(tuple(x[k : k + 5])) % 2**40 for k in range(len(x) - 4)], np.uint64) for x in (words, other))
+        want = brute_alike(a, b)
+        for strip in (128, 7):
+            got = passages.alike_runs(a, b, 46, 0.8, strip)
+            assert (covered(got[0], len(a)) == want[0]).all() and (covered(got[1], len(b)) == want[1]).all()
+        found += want[0].any()
+    assert found > 20
+
+
+def spans_of(docs, spark):
+    df = spark.createDataFrame([(k, " ".join(d)) for k, d in enumerate(docs)], "doc_id bigint, text string")
+    out = {}
+    for r in passages.near_duplicate_passages(df).collect():
+        have = np.zeros(len(docs[r["doc_id"]]), bool)
+        for s in filter(None, r["spans"].split(",")):
+            a, b = map(int, s.split("-"))
+            have[a:b] = True
+        out[r["doc_id"]] = (have, r)
+    return out
+
+
+def test_passages_with_inserted_and_deleted_words_equal_brute_force(spark):
+    rng = random.Random(9)
+    text = lambda n: [f"w{rng.randint(0, 5000)}" for _ in range(n)]
+    docs = []
+    for k in range(24):
+        one = text(rng.choice((60, 70, 80, 120)))
+        other = list(one)
+        for at in range(len(one) // 2, len(one), 55):
+            other[at : at + (k % 2)] = [] if k % 2 else ["inserted"]
+        docs += [text(10) + one + text(rng.randint(0, 30)), text(rng.randint(0, 30)) + other + text(10)]
+    got = spans_of(docs, spark)
+    for k in range(0, len(docs), 2):
+        hashes = [np.array([hash(tuple(d[i : i + 5])) % 2**40 for i in range(len(d) - 4)], np.uint64) for d in docs[k : k + 2]]
+        for i, c in enumerate(brute_alike(*hashes)):
+            want = np.zeros(len(docs[k + i]), bool)
+            for at in np.flatnonzero(c):
+                want[at : at + 5] = True
+            assert want.any() and (got[k + i][0] == want).all()
+
+
 def test_batches_are_cut_by_text_size():
     from quarry.llm.common import byte_rows, text_slices
 
