@@ -375,6 +375,25 @@ def test_passages_with_inserted_and_deleted_words_equal_brute_force(spark):
             assert want.any() and (got[k + i][0] == want).all()
 
 
+def test_equal_passages_that_begin_with_a_frequent_line(spark):
+    rng = random.Random(10)
+    text = lambda n: [f"w{rng.randint(0, 50_000)}" for _ in range(n)]
+    docs, pairs = [], []
+    for size in (40, 45):
+        line = text(size)
+        docs += [text(20) + line + text(20) for _ in range(40)]
+        for _ in range(30):
+            rest = text(55 - size)
+            pairs.append((len(docs), len(docs) + 1))
+            docs += [text(20) + line + rest + text(20) for _ in range(2)]
+    rng.shuffle(order := list(range(len(docs))))
+    place = {k: i for i, k in enumerate(order)}
+    got = spans_of([docs[k] for k in order], spark)
+    for pair in pairs:
+        assert all(got[place[k]][0][20:75].all() for k in pair)
+        assert len({got[place[k]][1]["class_id"] for k in pair}) == 1
+
+
 def test_batches_are_cut_by_text_size():
     from quarry.llm.common import byte_rows, text_slices
 
