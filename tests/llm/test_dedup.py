@@ -394,6 +394,20 @@ def test_equal_passages_that_begin_with_a_frequent_line(spark):
         assert len({got[place[k]][1]["class_id"] for k in pair}) == 1
 
 
+def test_runs_with_a_replaced_word_are_missed_one_time_in_125_at_most(spark):
+    rng = random.Random(11)
+    text = lambda n: [f"w{rng.randint(0, 100_000)}" for _ in range(n)]
+    docs = []
+    for _ in range(400):
+        one = text(50)
+        other = list(one)
+        other[rng.randint(8, 41)] = "replaced"
+        docs += [text(15) + one + text(15), text(15) + other + text(15)]
+    got = spans_of(docs, spark)
+    missed = sum(not got[k][0].any() for k in range(0, len(docs), 2))
+    assert missed <= 8
+
+
 def test_batches_are_cut_by_text_size():
     from quarry.llm.common import byte_rows, text_slices
 
