@@ -251,10 +251,12 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, window: int = WINDOW,
     chosen = kinds.join(several, "suffix")
     lone = (F.col("n") == 1).alias("lone")
     spots = chosen.select("p.k1", "p.k2", F.struct("suffix", "p.at", "p.first", "p.last", lone).alias("spot"), "m")
+    # Copies of a text have the same contexts: one of them is cut.
+    texts = _rows(docs).groupBy("k1", "k2").agg(F.first("text").alias("text"))
     parts = []
     for op, some in ((_in_classes, F.col("m") <= class_rows), (_by_name, F.col("m") > class_rows)):
         listed = spots.where(some).groupBy("k1", "k2").agg(F.collect_set("spot").alias("spots"))  # at most one per byte of the text
-        parts.append(op(_context_bytes(_rows(docs).join(listed, ["k1", "k2"]), length), length))
+        parts.append(op(_context_bytes(texts.join(listed, ["k1", "k2"]), length), length))
     single = parts[0].union(parts[1])
     none = F.array().cast("array<bigint>")
     sure = sure.groupBy("k1", "k2").agg(F.collect_list(F.struct("first", "last")).alias("runs"))

@@ -223,6 +223,22 @@ def test_kept_bytes_and_spans_are_the_text(spark):
         assert kept + data[at:] == bytes(r["kept"])
 
 
+def test_copies_of_a_text_are_one_member_of_a_class(spark, monkeypatch):
+    body = planted(random.Random(12), 1)[0] * 3
+    docs = [body] * 30 + [body[:150] + "X" + body[151:]]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id bigint, text string")
+    sizes, original = [], suffix_dedup._in_classes
+
+    def counted(rows, length):
+        sizes.extend(r["count"] for r in rows.groupBy("suffix").count().collect())
+        return original(rows, length)
+
+    monkeypatch.setattr(suffix_dedup, "_in_classes", counted)
+    got = {r["doc_id"]: tuple(r)[1:5] for r in suffix_dedup.remove_repeats(df, 60, 20).collect()}
+    assert [got[k] for k in range(len(docs))] == brute_repeats([d.encode() for d in docs], 60)
+    assert sizes and max(sizes) <= 2
+
+
 def test_triggers_depend_on_content_alone():
     rng = random.Random(3)
     body = bytes(rng.randrange(97, 101) for _ in range(700))
