@@ -238,8 +238,9 @@ class Scorer:
 
 
 def fit(docs: DataFrame, order: int = ORDER, per_language: int = PER_LANGUAGE, max_chars: int = MAX_CHARS) -> PPM:
-    rows = docs.select("doc_id", "text", "lang").where(
-        F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0) & (F.length("text") <= max_chars) & ~held_out(F.col("doc_id")))
+    # The first ``max_chars`` characters of a longer text.
+    rows = docs.select("doc_id", F.substring("text", 1, max_chars).alias("text"), "lang").where(
+        F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0) & ~held_out(F.col("doc_id")))
     samples: dict[str, list[bytes]] = {}
     for r in bounded_sample(rows, "lang", "doc_id", per_language).collect():  # at most languages x per_language texts
         samples.setdefault(r["lang"], []).append(r["text"].encode())

@@ -154,3 +154,13 @@ def test_held_out_toxicity_is_found(spark):
     caught = np.mean([s >= 0.5 for y, s in out if y == 1])
     wrong = np.mean([s >= 0.5 for y, s in out if y == 0])
     assert caught > 0.85 and wrong < 0.06
+
+
+def test_labelled_texts_longer_than_the_bound_are_learned_from(spark):
+    words = {"en": "the house and the river are there with many words", "de": "das haus und der fluss sind dort mit vielen worten"}
+    docs = [(k, " ".join([words[lang]] * 5) + f" {k}", lang) for k, lang in enumerate(["en", "de"] * 20)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predict_languages(df, max_chars=100).collect()}
+    assert got == {k: lang for k, _, lang in docs}
+    labels = spark.createDataFrame([(k, lang == "de") for k, _, lang in docs], "doc_id bigint, toxic boolean")
+    assert toxicity.fit(df, labels, max_chars=100) is not None
