@@ -22,8 +22,9 @@ END_ID = 1
 # Words in each of the two generations of a worker's cache.
 CACHE_WORDS = 250_000
 # Texts that go to the library whole: white space that Arrow splits at but the
-# vocabulary's \s does not know, and what may hold a special token's name.
-_ODD = r"[\x1c-\x1f]|<\|"
+# vocabulary's \s does not know, what may hold a special token's name, and capitals
+# that the vocabulary composes with a mark before it folds their case.
+_ODD = r"[\x1c-\x1f]|<\||[A-Z]\pM"
 # A letter and a mark are separate pre-tokens for this vocabulary, so a space may come between.
 _MARK, _APART = "([a-z])([.,;:!?])", r"\1 \2"
 _ASCII_LETTERS = re.compile("[a-z]+").fullmatch

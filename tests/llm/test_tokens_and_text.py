@@ -243,3 +243,13 @@ def test_native_operators_run_no_python(spark):
     for name in ("op2_chat_rotation", "op10_decontamination"):
         plan = QUERIES[name](spark, SF001)._jdf.queryExecution().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_capitals_with_a_combining_mark_are_the_library_s():
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(VOCABULARY)
+    texts = ["J\u030cet", "a W\u030a and Y\u030a", "H\u0331at", "T\u0308", "j\u030cet J"]
+    flat, sizes = Encoder(VOCABULARY)(pa.array(texts))
+    want = [[*tok.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+    assert flat.tolist() == sum(want, []) and sizes.tolist() == [len(w) for w in want]
