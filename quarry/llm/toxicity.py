@@ -37,6 +37,8 @@ from quarry.llm.common import byte_rows, text_slices
 from quarry.llm.sampling import bounded_sample, held_out
 
 WINDOW = 32
+STRIDE = 1  # words from a window to the next
+FORWARD = 4_096  # windows that are scored at a time
 PER_LABEL = 1_200
 MAX_CHARS = 8_000
 MIN_DOCS = 3
@@ -90,10 +92,10 @@ def trigrams(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nd
     return (code >> 20) % CHAR_ROWS, size
 
 
-def windows(doc: np.ndarray, n_docs: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Overlapping windows over words sorted by text: (first word, words, text) of each."""
+def windows(doc: np.ndarray, n_docs: int, width: int, step: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Overlapping windows over words sorted by text: (first word, words, text) of each, half a window apart or ``step`` words."""
     per = np.bincount(doc, minlength=n_docs)
-    step = width // 2
+    step = step or width // 2
     count = np.where(per > 0, np.maximum(-(-(per - width) // step), 0) + 1, 0)
     of = np.repeat(np.arange(n_docs), count)
     nth = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
@@ -211,16 +213,19 @@ class Network:
     def window_scores(self, raw: np.ndarray, off: np.ndarray):
         """(score, first word, words, text) of every window."""
         low, start, end, doc = words(raw, off)
-        begin, size, of = windows(doc, len(off) - 1, WINDOW)
+        begin, size, of = windows(doc, len(off) - 1, WINDOW, STRIDE)
         if not len(begin):
             return np.zeros(0, np.float32), begin, size, of
         w = self.word_inputs(low, start, end)
         x = self.embed(w)
         inputs = [x @ self.p["in"][k] + self.p["bias"][k] for k in (0, 1)]
         t = np.arange(WINDOW)[:, None]
-        mask = (t < size).astype(np.float32)
-        ids = w["index"][np.minimum(begin + t, len(start) - 1)]
-        return self.forward(inputs, ids, mask)[0], begin, size, of
+        score = []
+        for k in range(0, len(begin), FORWARD):
+            part = slice(k, k + FORWARD)
+            ids = w["index"][np.minimum(begin[part] + t, len(start) - 1)]
+            score.append(self.forward(inputs, ids, (t < size[part]).astype(np.float32))[0])
+        return np.concatenate(score), begin, size, of
 
     def scores(self, raw: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Score of each text: the largest of its windows, 0 without words."""
@@ -245,7 +250,7 @@ def train(texts: list[bytes], labels: list[int], min_docs: int = MIN_DOCS, seed:
     first = {k: np.zeros_like(v) for k, v in net.p.items()}
     second = {k: np.zeros_like(v) for k, v in net.p.items()}
     step = 0
-    begin, size, of = windows(doc, len(texts), WINDOW)
+    begin, size, of = windows(doc, len(texts), WINDOW, STRIDE)
     if not len(begin):
         return None
     t = np.arange(WINDOW)[:, None]

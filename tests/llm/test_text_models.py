@@ -164,3 +164,13 @@ def test_labelled_texts_longer_than_the_bound_are_learned_from(spark):
     assert got == {k: lang for k, _, lang in docs}
     labels = spark.createDataFrame([(k, lang == "de") for k, _, lang in docs], "doc_id bigint, toxic boolean")
     assert toxicity.fit(df, labels, max_chars=100) is not None
+
+
+def test_a_window_is_scored_at_every_word():
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["idiot", "nice", "day", "word"]) + str(rng.randint(0, 9)) for _ in range(70)) for _ in range(20)]
+    net = toxicity.train([t.encode() for t in texts], [k % 2 for k in range(20)], rounds=(1, 1))
+    for text in texts:
+        word = text.split()
+        runs = [" ".join(word[k : k + 32]) for k in range(len(word) - 31)]
+        assert abs(net.scores(*byte_rows(pa.array([text])))[0] - net.scores(*byte_rows(pa.array(runs))).max()) < 1e-5
