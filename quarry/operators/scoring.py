@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.vectors import idiv, sublinear
@@ -89,26 +89,29 @@ def min_windows(hits: DataFrame, qterms: DataFrame) -> DataFrame:
     distinct query term inside one field instance, minimised over the
     instances (Q53-Q55). Pairs with no covering instance get no row (infinity).
 
-    For each position p and query term t, ``last`` is t's latest position at
-    or before p (a RANGE frame per instance and term: bounded by the
-    instance's length). p ends a covering window iff every term has a
-    ``last``; the best window ending at p starts at the smallest ``last``.
+    One sweep per instance: its hits in order of position, carrying the last
+    place of every term of the query. Once all have one, the best window that ends at a hit begins
+    at the smallest of them. A state holds as many numbers as the query has terms, and an
+    instance's hits are no longer than its text; no row is made per hit and term.
     """
     g = [*KEYS, "field", "inst"]
     # (query, term) pairs are few per query: broadcast after a count, so the hits of a
     # hot query are not shuffled onto one task by query_id
-    qt = checked_broadcast(qterms.select("query_id", F.col("term").alias("t")).distinct())
-    # Only an instance that has all terms can be covered; the others end here.
-    n_terms = qt.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
-    has = hits.select(*g, "term").distinct().groupBy(*g).agg(F.count(F.lit(1)).alias("n"))
-    complete = has.join(n_terms, ["query_id", "n"], "left_semi").drop("n")
-    x = hits.select(*g, "term", "pos").join(complete, g, "left_semi").join(qt, "query_id")
-    frame = Window.partitionBy(*g, "t").orderBy("pos").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    x = x.withColumn("last", F.max(F.when(F.col("term") == F.col("t"), F.col("pos"))).over(frame))
-    e = x.groupBy(*g, "pos").agg(
-        F.count(F.lit(1)).alias("n"), F.count("last").alias("m"), F.min("last").alias("lo")
-    ).filter(F.col("n") == F.col("m"))
-    per_inst = e.groupBy(*g).agg(F.min(F.col("pos") - F.col("lo") + 1).alias("w"))
+    terms = qterms.select("query_id", "term").distinct().groupBy("query_id").agg(F.array_sort(F.collect_set("term")).alias("terms"))
+    terms = checked_broadcast(terms)
+    x = hits.select(*g, "term", F.col("pos").cast("bigint").alias("pos")).join(terms, "query_id").withColumn("t", F.array_position("terms", F.col("term")))
+    per = x.groupBy(*g).agg(F.array_sort(F.collect_list(F.struct("pos", "t"))).alias("hits"), F.max(F.size("terms")).alias("n"), F.size(F.collect_set("t")).alias("k"))
+    per = per.filter(F.col("n") == F.col("k"))  # only an instance that has all terms can be covered
+    none = F.lit(None).cast("bigint")
+    start = F.struct(F.array_repeat(none, F.col("n")).alias("last"), none.alias("best"))
+
+    def step(state, hit):
+        last = F.transform(state["last"], lambda p, i: F.when(i + 1 == hit["t"], hit["pos"]).otherwise(p))
+        # a term without a place yet: no window ends here
+        open_ = F.exists(last, lambda p: p.isNull())
+        return F.struct(last.alias("last"), F.when(open_, state["best"]).otherwise(F.least(state["best"], hit["pos"] - F.array_min(last) + 1)).alias("best"))
+
+    per_inst = per.select(*KEYS, F.aggregate("hits", start, step, lambda s: s["best"]).alias("w"))
     return per_inst.groupBy(*KEYS).agg(F.min("w").cast("bigint").alias("min_window"))
 
 

@@ -140,7 +140,7 @@ def q_boolean_search(spark, sf_dir):
 # ---------------------------------------------------------------- signals
 def q_vocab_df(spark, sf_dir):
     fx = RankFixture(spark, sf_dir)
-    return sig.vocab_doc_freq(fx.bench_terms.select("term"), _index(spark, sf_dir).doc_freq)
+    return sig.vocab_doc_freq(fx.bench_terms.select("term").distinct(), _index(spark, sf_dir).doc_freq)
 
 
 def q_field_tokens(spark, sf_dir):
@@ -162,7 +162,7 @@ def _memo(fx: RankFixture, key, build):
 
 
 def _tf(fx: RankFixture) -> DataFrame:
-    return _memo(fx, "tf", lambda: sig.field_tf(fx.hits, fx.cand, fx.qvec))
+    return _memo(fx, "tf", lambda: sig.field_tf(fx.pair_tf, fx.cand, fx.qvec))
 
 
 def q_field_tf(spark, sf_dir):

@@ -3,12 +3,12 @@
 ``documents`` becomes a five-field collection: the url is built from
 source / lang / doc_id, line 1 is the title, lines 2 and 3 are headers,
 the rest is the body, and two docs in three carry an anchor (the title,
-counted ``doc_id % 5 + 1`` times). A query is all terms of a ``benchmark``
-text. A document is a candidate of a query if it has at least a third of the
-query's distinct terms; candidates are found exactly by a prefix filter: a
-document with k of n terms has j of the n - k + j rarest. Relevance is
+counted ``doc_id % 5 + 1`` times). A query is two to five terms of a ``benchmark``
+text: its most frequent ones, or, of every fourth item, its first words. The candidates of a query
+are a fixed number of documents, as a search engine's first stage gives them: of those with all its terms, or all
+but one of three or more, the ones with most terms, then most occurrences. Relevance is
 ``quality - toxic`` from ``labels`` and is used by NDCG and the learners only.
-Every view scales with the tables it reads.
+Every view reads whole tables; the number of pairs grows with the queries alone.
 """
 
 from __future__ import annotations
@@ -24,10 +24,11 @@ from quarry.operators import signals as sig
 from quarry.session import checked_broadcast, reused
 from quarry.sources.tables import table
 
-# A candidate has at least one in MATCH_PART of a query's distinct terms.
-MATCH_PART = 3
-# Rarest terms of a query that a document must have before its other terms are counted.
-PREFIX_HITS = 4
+# Terms of a query: QUERY_TERMS, and up to QUERY_SPAN - 1 more by item.
+QUERY_TERMS = 2
+QUERY_SPAN = 4
+# Candidates of a query: the first stage's list.
+CANDIDATES = 50
 # Queries whose id is a multiple of this repeat their rarest term, so that query counts above 1 occur.
 REPEAT_EVERY = 3
 
@@ -85,21 +86,32 @@ class RankFixture:
 
     @cached_property
     def df(self) -> DataFrame:
-        """(term, df): body document frequency + 1 (the +1 of the df dictionary)."""
+        """(term, df): body document frequency + 1 (the +1 of the df dictionary) of the query vocabulary."""
         # distinct terms per body before exploding: one row per (term, doc), no shuffle-side distinct
         body = self.inst.filter(F.col("field") == "body").select(F.explode(F.array_distinct(_inst_terms())).alias("term"))
+        body = body.join(checked_broadcast(self.bench_terms.select("term").distinct()), "term", "left_semi")
         return reused(body.groupBy("term").agg((F.count(F.lit(1)) + 1).alias("df")))
 
     @cached_property
     def bench_terms(self) -> DataFrame:
+        """(item_id, term, pos): distinct terms of every benchmark text, and where each comes first."""
         b = table(self.spark, self.sf_dir, "benchmark")
-        return b.select("item_id", F.explode(ws_terms(ascii_lower("text"))).alias("term")).distinct()
+        words = b.select("item_id", F.posexplode(ws_terms(ascii_lower("text"))).alias("pos", "term"))
+        return words.groupBy("item_id", "term").agg(F.min("pos").alias("pos"))
 
     @cached_property
     def qterm(self) -> DataFrame:
-        """(query_id, term, df): every distinct term of each benchmark item, df 1 if no body has it."""
-        r = self.bench_terms.join(self.df, "term", "left")
-        return reused(r.select(F.col("item_id").alias("query_id"), "term", F.coalesce("df", F.lit(1)).cast("bigint").alias("df")))
+        """(query_id, term, df): the distinct terms of each query, df 1 if no body has it."""
+        r = self.bench_terms.join(self.df, "term", "left").select(
+            F.col("item_id").alias("query_id"), "term", "pos", F.coalesce("df", F.lit(1)).cast("bigint").alias("df"))
+        frequent = F.when(F.col("query_id") % QUERY_SPAN != QUERY_SPAN - 1, -F.col("df")).otherwise(F.col("pos"))
+        rn = F.row_number().over(Window.partitionBy("query_id").orderBy(frequent, "term"))  # the words of one benchmark text
+        chosen = r.withColumn("rn", rn).filter(F.col("rn") <= QUERY_TERMS + F.col("query_id") % QUERY_SPAN)
+        chosen = reused(chosen.select("query_id", "term", "df"))
+        # Items with the same query ask it once.
+        same = chosen.groupBy("query_id").agg(F.array_sort(F.collect_list("term")).alias("terms"))
+        once = same.groupBy("terms", F.col("query_id") % REPEAT_EVERY == 0).agg(F.min("query_id").alias("query_id")).select("query_id")
+        return reused(chosen.join(once, "query_id", "left_semi"))
 
     @cached_property
     def queries(self) -> DataFrame:
@@ -123,29 +135,41 @@ class RankFixture:
         """Field tokens that are a term of any query; counted, the vocabulary is broadcast."""
         return reused(self.tok.join(checked_broadcast(self.qterm.select("term").distinct()), "term", "left_semi"))
 
+    @cached_property
+    def doc_tf(self) -> DataFrame:
+        """(doc_id, term, field, weight, n): weighted and plain count of a query term in a document's field, over all queries once."""
+        counts = self.vocab_tok.groupBy("doc_id", "term", "field").agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("n"))
+        return reused(counts)
+
     @cached_property
     def cand(self) -> DataFrame:
-        """(query_id, doc_id): documents with at least one in MATCH_PART of a query's distinct terms, in any field.
+        """(query_id, doc_id): the CANDIDATES documents with most of a query's terms, then most occurrences, then the smaller id.
 
-        Only documents with a few of a query's rarest terms can qualify; their other terms
-        are then counted. Frequent terms never meet a query's whole list.
+        A document may miss one term of three or more, none of fewer: so it has one of the two rarest (or the rarest), and only
+        those documents meet the other terms.
         """
-        doc_terms = reused(self.vocab_tok.select("doc_id", "term").distinct())
+        doc_terms = reused(self.doc_tf.groupBy("doc_id", "term").agg(F.sum("n").alias("n")))
         per = Window.partitionBy("query_id")
-        q = self.qterm.select("query_id", "term", F.count(F.lit(1)).over(per).alias("n"), F.row_number().over(per.orderBy("df", "term")).alias("rn"))
-        q = q.withColumn("need", F.ceil(F.col("n") / MATCH_PART)).withColumn("first", F.least("need", F.lit(PREFIX_HITS)))
-        rare = checked_broadcast(q.filter(F.col("rn") <= F.col("n") - F.col("need") + F.col("first")).select("query_id", "term", "first"))
-        seeds = doc_terms.join(rare, "term").groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("k"), F.max("first").alias("first"))
-        seeds = seeds.filter(F.col("k") >= F.col("first")).select("query_id", "doc_id")
-        had = seeds.join(checked_broadcast(q.select("query_id", "term", "need")), "query_id").join(doc_terms, ["doc_id", "term"], "left_semi")
-        had = had.groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("k"), F.max("need").alias("need"))
-        return reused(had.filter(F.col("k") >= F.col("need")).select("query_id", "doc_id"))
+        q = self.qterm.select("query_id", "term", F.count(F.lit(1)).over(per).alias("t"), F.row_number().over(per.orderBy("df", "term")).alias("rn"))
+        q = q.withColumn("need", F.greatest(F.col("t") - 1, F.least("t", F.lit(2))))
+        q = checked_broadcast(q)
+        seeds = doc_terms.join(q.filter(F.col("rn") <= F.col("t") - F.col("need") + 1).select("query_id", "term"), "term").select("query_id", "doc_id").distinct()
+        had = seeds.join(q.select("query_id", "term", "need"), "query_id").join(doc_terms, ["doc_id", "term"])
+        had = had.groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("k"), F.max("need").alias("need"), F.sum("n").alias("n")).filter(F.col("k") >= F.col("need"))
+        best = Window.partitionBy("query_id").orderBy(F.col("k").desc(), F.col("n").desc(), "doc_id")  # cut per task before the shuffle
+        return reused(had.withColumn("rk", F.row_number().over(best)).filter(F.col("rk") <= CANDIDATES).select("query_id", "doc_id"))
+
+    @cached_property
+    def pair_tf(self) -> DataFrame:
+        """(query_id, doc_id, field, term, weight): counts of a query's terms in its candidates, from the documents' counts."""
+        near = self.doc_tf.join(checked_broadcast(self.cand), "doc_id")
+        return near.join(checked_broadcast(self.qterm.select("query_id", "term")), ["query_id", "term"])
 
     @cached_property
     def hits(self) -> DataFrame:
         """Query-term occurrences of candidates: (query_id, doc_id, field, inst, weight, term, pos)."""
-        near = self.vocab_tok.join(self.cand, "doc_id")
-        return reused(near.join(checked_broadcast(self.qterm.select("query_id", "term")), ["query_id", "term"]))
+        near = self.vocab_tok.join(checked_broadcast(self.cand), "doc_id")
+        return near.join(checked_broadcast(self.qterm.select("query_id", "term")), ["query_id", "term"])
 
     @cached_property
     def labels(self) -> DataFrame:

@@ -63,22 +63,32 @@ fx_tok as (
         from fx_inst)
 ),
 fx_df as (select term, count(distinct doc_id) + 1 as df from fx_tok where field = 'body' group by term),
-bt as (select distinct item_id, unnest({ws(low('text'))}) as term from benchmark),
-fx_qterm as (
-  select item_id as query_id, term, df, case when item_id % 3 = 0 and last = 1 then 2 else 1 end as q_tf
-  from (select b.item_id, b.term, coalesce(f.df, 1) as df, row_number() over (partition by b.item_id order by coalesce(f.df, 1), b.term desc) as last
+bt as (select item_id, term, min(pos) as pos from (
+  select item_id, unnest(a) as term, unnest(range(len(a))) as pos from (select item_id, {ws(low('text'))} as a from benchmark)) group by item_id, term),
+fx_chosen as (
+  select *, list(term) over (partition by query_id order by term rows between unbounded preceding and unbounded following) as terms
+  from (select b.item_id as query_id, b.term, coalesce(f.df, 1) as df,
+               row_number() over (partition by b.item_id order by case when b.item_id % 4 <> 3 then -coalesce(f.df, 1) else b.pos end, b.term) as rn
         from bt b left join fx_df f using (term))
+  where rn <= 2 + query_id % 4
+),
+fx_qterm as (
+  select query_id, term, df, case when query_id % 3 = 0 and row_number() over (partition by query_id order by df, term desc) = 1 then 2 else 1 end as q_tf
+  from fx_chosen
+  qualify query_id = min(query_id) over (partition by terms, query_id % 3 = 0)
 ),
 fx_query as (
   select query_id, string_agg(term, ' ' order by df desc, term) || coalesce(max(case when q_tf = 2 then ' ' || term end), '') as query
   from fx_qterm group by query_id
 ),
-fx_dt as (select distinct doc_id, term from fx_tok where term in (select term from fx_qterm)),
+fx_dt as (select doc_id, term, count(*) as n from fx_tok where term in (select term from fx_qterm) group by doc_id, term),
 fx_cand as (
-  select m.query_id, m.doc_id
-  from (select q.query_id, d.doc_id, count(*) as k from fx_qterm q join fx_dt d using (term) group by q.query_id, d.doc_id) m
-  join (select query_id, count(*) as n from fx_qterm group by query_id) using (query_id)
-  where k >= ceil(n / 3)
+  select query_id, doc_id
+  from (select query_id, doc_id, row_number() over (partition by query_id order by k desc, n desc, doc_id) as rk
+        from (select q.query_id, d.doc_id, count(*) as k, sum(d.n) as n from fx_qterm q join fx_dt d using (term) group by q.query_id, d.doc_id) m
+        join (select query_id, count(*) as t from fx_qterm group by query_id) using (query_id)
+        where k >= greatest(t - 1, least(t, 2)))
+  where rk <= 50
 ),
 fx_judged as (select c.query_id, c.doc_id, cast(l.quality - l.toxic as double) as rel from fx_cand c join labels l using (doc_id)),
 fx_hits as (
