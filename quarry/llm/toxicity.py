@@ -4,18 +4,19 @@ Input of a step is one word: the embedding of the word (words seen in at
 least ``min_docs`` training texts) next to the mean embedding of its
 character trigrams (hashed, so every word has one). Two gated recurrent
 passes, left to right and right to left, read a window of words; attention
-over the steps pools their states, and a logistic unit scores the pool. All
-overlapping windows of a text are scored (``window`` words, half a window
-apart) and the largest is the text's score.
+over the steps pools their states, and a logistic unit scores the pool. A window of
+``WINDOW`` words begins at every word; all of them are scored, and the largest is the text's score.
 
 Training runs in numpy on the driver, over at most ``per_label`` texts of each label,
 each of at most ``max_chars`` characters, chosen by a hash of the id among
-labelled rows that are not held out. A text's label goes to its windows: first
+labelled rows that are not held out. It reads windows ``FIT_STEP`` words apart. A text's label goes to its windows: first
 to a few drawn ones, then to the highest-scoring one, which is the one that
-decides.
+decides. Few texts are passed more often, so that there are ``FIT_STEPS`` updates at least.
 
 Scoring is vectorised per Arrow batch: the part of every gate that depends on
-the word alone is computed once per distinct word of the batch.
+the word alone is computed once per distinct word, and windows that begin at words in a row take
+each step as one array operation over a stretch of words. Attention and output need two numbers
+of a state, so states are not kept.
 
 Defined cases: texts without a word, empty and null ones score 0; null ids are held out;
 rows repeating an id are scored each by its own text; labels repeating an id
@@ -37,8 +38,9 @@ from quarry.llm.common import byte_rows, text_slices
 from quarry.llm.sampling import bounded_sample, held_out
 
 WINDOW = 32
-STRIDE = 1  # words from a window to the next
+FIT_STEP = 16  # words from a window to the next in fitting; in scoring it is 1
 FORWARD = 4_096  # windows that are scored at a time
+FIT_STEPS = 300  # updates at least
 PER_LABEL = 1_200
 MAX_CHARS = 8_000
 MIN_DOCS = 3
@@ -92,10 +94,9 @@ def trigrams(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nd
     return (code >> 20) % CHAR_ROWS, size
 
 
-def windows(doc: np.ndarray, n_docs: int, width: int, step: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Overlapping windows over words sorted by text: (first word, words, text) of each, half a window apart or ``step`` words."""
+def windows(doc: np.ndarray, n_docs: int, width: int, step: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Overlapping windows over words sorted by text: (first word, words, text) of each, ``step`` words apart."""
     per = np.bincount(doc, minlength=n_docs)
-    step = step or width // 2
     count = np.where(per > 0, np.maximum(-(-(per - width) // step), 0) + 1, 0)
     of = np.repeat(np.arange(n_docs), count)
     nth = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
@@ -108,6 +109,16 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
         return 1.0 / (1.0 + np.exp(-x))
 
 
+def _squash(x: np.ndarray) -> np.ndarray:
+    """x / (1 + |x|), between -1 and 1: the states' nonlinearity, a fifth of the cost of tanh. Its slope is (1 - |y|)^2."""
+    return x / (1 + np.abs(x))
+
+
+def _gate(x: np.ndarray) -> np.ndarray:
+    """The same between 0 and 1."""
+    return 0.5 + 0.5 * _squash(x)
+
+
 class Network:
     """Parameters, and forward and backward passes over batches of windows."""
 
@@ -154,9 +165,9 @@ class Network:
             gate, new = self.p["gate"][way], self.p["new"][way]
             for t in range(steps) if way == 0 else range(steps - 1, -1, -1):
                 x = inputs[way][ids[t]]
-                zr = _sigmoid(x[:, : 2 * h] + state @ gate)
+                zr = _gate(x[:, : 2 * h] + state @ gate)
                 z, r = zr[:, :h], zr[:, h:]
-                c = np.tanh(x[:, 2 * h :] + (r * state) @ new)
+                c = _squash(x[:, 2 * h :] + (r * state) @ new)
                 z = z * mask[t][:, None]
                 if keep:
                     kept.append((way, t, state, z, r, c, zr[:, :h]))
@@ -192,11 +203,12 @@ class Network:
             m = mask[t][:, None]
             dz, dc = ds * (c - state), ds * z
             carry = ds * (1 - z)
-            dc_in = dc * (1 - c * c)
+            dc_in = dc * (1 - np.abs(c)) ** 2
             drs = dc_in @ p["new"][way].T
             g["new"][way] += (r * state).T @ dc_in
             carry = carry + drs * r
-            dzr = np.concatenate([dz * m * raw_z * (1 - raw_z), drs * state * r * (1 - r)], axis=1)
+            slope = lambda gate: 0.5 * (1 - np.abs(2 * gate - 1)) ** 2
+            dzr = np.concatenate([dz * m * slope(raw_z), drs * state * slope(r)], axis=1)
             g["gate"][way] += state.T @ dzr
             carry = carry + dzr @ p["gate"][way].T
             np.add.at(dinputs[way], ids[t], np.concatenate([dzr, dc_in], axis=1))
@@ -210,22 +222,74 @@ class Network:
         loss = -np.mean(np.where(y > 0.5, np.log(score + 1e-7), np.log(1 - score + 1e-7)))
         return float(loss), g
 
-    def window_scores(self, raw: np.ndarray, off: np.ndarray):
-        """(score, first word, words, text) of every window."""
+    def window_scores(self, raw: np.ndarray, off: np.ndarray, step: int = 1):
+        """(score, first word, words, text) of every window, ``step`` words apart."""
         low, start, end, doc = words(raw, off)
-        begin, size, of = windows(doc, len(off) - 1, WINDOW, STRIDE)
+        begin, size, of = windows(doc, len(off) - 1, WINDOW, step)
+        score = np.zeros(len(begin), np.float32)
         if not len(begin):
-            return np.zeros(0, np.float32), begin, size, of
+            return score, begin, size, of
         w = self.word_inputs(low, start, end)
         x = self.embed(w)
         inputs = [x @ self.p["in"][k] + self.p["bias"][k] for k in (0, 1)]
+        # Windows beginning at words in a row are scored together; a shorter one is its text's only one.
+        short = np.flatnonzero(size < WINDOW) if step == 1 else np.arange(len(begin))
         t = np.arange(WINDOW)[:, None]
-        score = []
-        for k in range(0, len(begin), FORWARD):
-            part = slice(k, k + FORWARD)
+        for k in range(0, len(short), FORWARD):
+            part = short[k : k + FORWARD]
             ids = w["index"][np.minimum(begin[part] + t, len(start) - 1)]
-            score.append(self.forward(inputs, ids, (t < size[part]).astype(np.float32))[0])
-        return np.concatenate(score), begin, size, of
+            score[part] = self.forward(inputs, ids, (t < size[part]).astype(np.float32))[0]
+        if len(short) < len(begin):
+            long = np.flatnonzero(size == WINDOW)
+            at = begin[long]
+            every = np.empty(int(at[-1]) + 1, np.float32)
+            for a in range(0, len(every), FORWARD):
+                b = min(a + FORWARD, len(every))
+                if np.searchsorted(at, a) < np.searchsorted(at, b):
+                    every[a:b] = self.in_a_row(inputs, w["index"][a : b + WINDOW - 1])
+            score[long] = every[at]
+        return score, begin, size, of
+
+    def in_a_row(self, inputs: np.ndarray, index: np.ndarray) -> np.ndarray:
+        """Scores of the whole windows that begin at each word but the last ``WINDOW`` - 1, words given by their input row.
+
+        Columns are windows. Gates are 1/2 + 1/2 squash; the halves are in the weights.
+        """
+        p, h, n = self.p, HIDDEN, len(index) - WINDOW + 1
+        logit, out = np.zeros((WINDOW, n), np.float32), np.zeros((WINDOW, n), np.float32)
+        gates, fresh, keep, size = (np.empty((k, n), np.float32) for k in (2 * h, h, h, 2 * h))
+
+        def squash(y: np.ndarray, by: np.ndarray) -> None:
+            np.abs(y, out=by)
+            by += 1
+            y /= by
+
+        for way in (0, 1):
+            x = np.ascontiguousarray(inputs[way][index].T)
+            new = np.ascontiguousarray(p["new"][way].T) * np.float32(0.5)
+            # What the next step's gates, attention and output take from a state.
+            reads = np.concatenate([p["gate"][way].T, [p["attend"][way * h : (way + 1) * h]], [p["out"][way * h : (way + 1) * h]]]).astype(np.float32)
+            state, read = np.zeros((h, n), np.float32), np.zeros((2 * h + 2, n), np.float32)
+            for t in range(WINDOW) if way == 0 else range(WINDOW - 1, -1, -1):
+                np.add(read[: 2 * h], x[: 2 * h, t : t + n], out=gates)
+                squash(gates, size)
+                z, r = gates[:h], gates[h:]
+                r *= state
+                r += state  # twice the reset state
+                np.matmul(new, r, out=fresh)
+                fresh += x[2 * h :, t : t + n]
+                squash(fresh, keep)
+                fresh -= state
+                np.multiply(z, fresh, out=keep)
+                keep += fresh
+                keep *= np.float32(0.5)
+                state += keep
+                np.matmul(reads, state, out=read)
+                logit[t] += read[2 * h]
+                out[t] += read[2 * h + 1]
+        logit -= logit.max(axis=0)
+        np.exp(logit, out=logit)
+        return _sigmoid((logit * out).sum(axis=0) / logit.sum(axis=0) + p["out_bias"][0])
 
     def scores(self, raw: np.ndarray, off: np.ndarray) -> np.ndarray:
         """Score of each text: the largest of its windows, 0 without words."""
@@ -250,10 +314,11 @@ def train(texts: list[bytes], labels: list[int], min_docs: int = MIN_DOCS, seed:
     first = {k: np.zeros_like(v) for k, v in net.p.items()}
     second = {k: np.zeros_like(v) for k, v in net.p.items()}
     step = 0
-    begin, size, of = windows(doc, len(texts), WINDOW, STRIDE)
+    begin, size, of = windows(doc, len(texts), WINDOW, FIT_STEP)
     if not len(begin):
         return None
     t = np.arange(WINDOW)[:, None]
+    passes = max(1, -(-FIT_STEPS * batch // (len(texts) * (4 * rounds[0] + rounds[1]))))
     for turn in range(sum(rounds)):
         if turn < rounds[0]:  # up to four drawn windows of each text
             order = rng.permutation(len(begin))
@@ -261,10 +326,10 @@ def train(texts: list[bytes], labels: list[int], min_docs: int = MIN_DOCS, seed:
             rank = np.arange(len(order)) - np.searchsorted(of[order], of[order])
             chosen = order[rank < 4]
         else:  # the window that decides the text's score
-            score = np.concatenate([net.window_scores(raw[off[a] : off[min(a + 200, len(texts))]], off[a : min(a + 200, len(texts)) + 1] - off[a])[0] for a in range(0, len(texts), 200)])
+            score = np.concatenate([net.window_scores(raw[off[a] : off[min(a + 200, len(texts))]], off[a : min(a + 200, len(texts)) + 1] - off[a], FIT_STEP)[0] for a in range(0, len(texts), 200)])
             order = np.lexsort((-score, of))
             chosen = order[np.unique(of[order], return_index=True)[1]]
-        chosen = rng.permutation(chosen)
+        chosen = np.concatenate([rng.permutation(chosen) for _ in range(passes)])
         for k in range(0, len(chosen), batch):
             pick = chosen[k : k + batch]
             at = np.minimum(begin[pick] + t, len(start) - 1)

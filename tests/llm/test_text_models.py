@@ -104,7 +104,7 @@ def test_words_and_windows():
     low, start, end, doc = toxicity.words(raw, off)
     found = [bytes(low[a:b]).decode() for a, b in zip(start, end, strict=True)]
     assert found == ["the", "Été", "x", "end", "start", "a1"] and doc.tolist() == [0, 0, 0, 2, 3, 3]
-    begin, size, of = toxicity.windows(np.repeat([0, 2], [70, 3]), 3, 32)
+    begin, size, of = toxicity.windows(np.repeat([0, 2], [70, 3]), 3, 32, 16)
     assert list(zip(begin.tolist(), size.tolist(), of.tolist(), strict=True)) == [(0, 32, 0), (16, 32, 0), (32, 32, 0), (48, 22, 0), (70, 3, 2)]
 
 
@@ -147,6 +147,31 @@ def test_toxicity_of_edge_rows(spark, edge_docs, no_docs):
     assert {r["score"] for r in toxicity.toxicity(edge_docs, labels.limit(0)).collect()} == {0.0}
 
 
+def test_windows_in_a_row_score_as_windows_alone():
+    """The pass over a stretch of words against the one that also trains, window by window, short and long texts mixed."""
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(["idiot", "nice", "day", "été"]) + str(rng.randint(0, 9)) for _ in range(n)) for n in (0, 5, 31, 32, 33, 90, 1, 0, 200, 12)]
+    net = toxicity.train([t.encode() for t in texts], [k % 2 for k in range(10)], rounds=(2, 1))
+    raw, off = arrays(texts)
+    score, begin, size, of = net.window_scores(raw, off)
+    low, start, end, _ = toxicity.words(raw, off)
+    w = net.word_inputs(low, start, end)
+    inputs = [net.embed(w) @ net.p["in"][k] + net.p["bias"][k] for k in (0, 1)]
+    t = np.arange(toxicity.WINDOW)[:, None]
+    ids = w["index"][np.minimum(begin + t, len(start) - 1)]
+    assert np.allclose(score, net.forward(inputs, ids, (t < size).astype(np.float32))[0], atol=1e-5)
+    assert np.bincount(of, minlength=10).tolist() == [0, 1, 1, 1, 2, 59, 1, 0, 169, 1]
+
+
+def test_few_labels_are_enough_to_find_some(spark):
+    sf = "/root/testdata/sf0.01"  # some 320 labelled texts to learn from, 45 of them toxic
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    out = [(labels[r["doc_id"]], r["score"]) for r in QUERIES["op1_toxicity"](spark, sf).collect() if r["held_out"] and r["doc_id"] in labels]
+    toxic, clean = ([s for y, s in out if y == k] for k in (1, 0))
+    assert np.mean([a > b for a in toxic for b in clean]) > 0.75
+    assert sum(s >= 0.5 for s in toxic) >= 3 and np.mean([s >= 0.5 for s in clean]) < 0.1
+
+
 def test_held_out_toxicity_is_found(spark):
     sf = "/root/testdata/sf0.1"
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
