@@ -39,14 +39,14 @@ from quarry.llm.sampling import bounded_sample, held_out
 
 WINDOW = 32
 FIT_STEP = 16  # words from a window to the next in fitting; in scoring it is 1
-FORWARD = 4_096  # windows that are scored at a time
+FORWARD = 6_144  # windows that are scored at a time
 FIT_STEPS = 300  # updates at least
 PER_LABEL = 1_200
 MAX_CHARS = 8_000
 MIN_DOCS = 3
 HIDDEN, WORD_DIM, CHAR_DIM, CHAR_ROWS = 8, 12, 8, 4096
-# Text bytes per scoring step: states of all its windows are held at once.
-SLICE = 1 << 18
+# Text bytes per scoring step.
+SLICE = 1 << 20
 
 _CLASS = np.zeros(256, np.uint8)  # 0: not part of a word; else the byte in lower case
 for _b in (*range(48, 58), *range(97, 123), *range(128, 256)):
