@@ -1,7 +1,7 @@
 """Variable-byte and Elias-gamma codecs as column expressions (Q36, Q37).
 
 Encoders map an ARRAY<BIGINT> of gaps to a lowercase hex string (VB) or a
-bit string (gamma). Decoders cut the encoded string into codes with one
+bit string (gamma; packed into bytes by the posting table). Decoders cut the encoded string into codes with one
 ``regexp_extract_all`` pass (each code is recognisable by its own prefix),
 so decoding is linear in the list length.
 
@@ -77,6 +77,22 @@ def pad_bits(bits: Column, total_bits: Column | None = None) -> Column:
     return F.concat(bits, F.repeat(F.lit("1"), pad.cast("int")))
 
 
+def bits_to_hex(bits: Column) -> Column:
+    """Bit string of whole bytes -> hex digits, a digit for every four bits."""
+    starts = F.sequence(F.lit(1), F.length(bits) - 3, F.lit(4))
+    digits = F.transform(starts, lambda i: F.conv(F.substring(bits, i, F.lit(4)), 2, 16))
+    return F.when(F.length(bits) < 4, F.lit("")).otherwise(F.array_join(digits, ""))
+
+
+def hex_to_bits(hexs: Column) -> Column:
+    """Hex digits -> bit string: a letter for each digit first, then four bits for each letter."""
+    digits, letters = "0123456789ABCDEF", "abcdefghijklmnop"
+    out = F.translate(hexs, digits, letters)
+    for value, letter in enumerate(letters):
+        out = F.replace(out, F.lit(letter), F.lit(f"{value:04b}"))
+    return out
+
+
 def gamma_decode(bits: Column) -> Column:
     """Gamma bit string (padding allowed) -> ARRAY<BIGINT>."""
     codes = F.regexp_extract_all(bits, F.lit(gamma_code_pattern()), 0)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import ascii_strip, ws_terms
+from quarry.operators.index import term_bucket
 from quarry.operators.numbering import number_rows
 from quarry.session import checked_broadcast, reused
 
@@ -63,7 +64,7 @@ def boolean_search(queries: DataFrame, postings: DataFrame, doc_freq: DataFrame,
     n_terms = qt.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_terms"))
 
     # Postings of the batch vocabulary only (each list read once per batch).
-    batch_post = reused(restrict_terms(postings.select("term", "doc_id"), qt.select("term").distinct()))
+    batch_post = reused(restrict_terms(postings, qt))
 
     seed = qt.filter(F.col("ord") == 1).select("query_id", "term").join(batch_post, "term").select("query_id", "doc_id")
     # Every candidate x every term of its query (the seed term matches trivially).
@@ -92,15 +93,15 @@ def sorted_results(results: DataFrame) -> DataFrame:
     return number_rows(results, ["doc_name"], "pos", group_by=["query_id"])
 
 
-# Vocabulary size up to which the terms are pushed into the postings scan as an IN list.
-PUSHDOWN_TERMS = 10_000
+def restrict_terms(postings: DataFrame, vocab: DataFrame) -> DataFrame:
+    """(term, doc_id) of the terms of ``vocab`` (term, df).
 
-
-def restrict_terms(postings: DataFrame, vocab: DataFrame, max_terms: int = PUSHDOWN_TERMS) -> DataFrame:
-    """Postings of ``vocab`` only. A small vocabulary (counted) becomes an IN filter
-    that reaches the Parquet scan, where the term-sorted index skips row groups by
-    their min/max; a large one is a semi join."""
-    terms = vocab.limit(max_terms + 1).collect()
-    if len(terms) <= max_terms:
-        return postings.filter(F.col("term").isin([r["term"] for r in terms]))
-    return postings.join(vocab, "term", "left_semi")
+    Of a stored index the join is on the folder column too, so Spark prunes folders at run time by
+    the terms' hashes (dynamic partition pruning, wherever the vocabulary side can be broadcast), and only
+    the columns term and doc_id are read.
+    """
+    terms = checked_broadcast(vocab.filter(F.col("df") > 0).select("term").distinct())
+    if "bucket" in postings.columns:
+        terms = terms.withColumn("bucket", term_bucket("term")).filter(F.col("bucket") >= 0)
+        return postings.join(terms, ["bucket", "term"], "left_semi").select("term", "doc_id")
+    return postings.select("term", "doc_id").join(terms, "term", "left_semi")

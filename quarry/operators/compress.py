@@ -16,19 +16,31 @@ from pyspark.sql import functions as F
 
 from quarry.functions import codecs
 from quarry.operators.index import POSTING_CHUNK, posting_lists
+from quarry.session import reused
 
 
-def gap_lists(post: DataFrame, chunk: int = POSTING_CHUNK) -> DataFrame:
-    """(term, chunk, n, doc_ids, gaps): d-gaps of every chunk (Q34)."""
-    pl = posting_lists(post, chunk)
-    ends = post.groupBy("term", F.floor(F.col("doc_id") / chunk).cast("bigint").alias("chunk")).agg(F.max("doc_id").alias("end"))
+def _with_base(chunks: DataFrame, end: str, running: bool) -> DataFrame:
+    """``chunks`` with ``base``: ``end`` of the term's chunk before (or the sum of all before), 0 for its first.
+
+    Only terms with a chunk beyond the first id range meet the window over thin rows (term, chunk, end).
+    """
     w = Window.partitionBy("term").orderBy("chunk")
-    ends = ends.select("term", "chunk", F.coalesce(F.lag("end").over(w), F.lit(0)).cast("bigint").alias("base"))
-    pl = pl.join(ends, ["term", "chunk"])
+    before = F.sum(end).over(w.rowsBetween(Window.unboundedPreceding, -1)) if running else F.lag(end).over(w)
+    later = chunks.filter(F.col("chunk") > 0)
+    thin = chunks.select("term", "chunk", end).join(later.select("term").distinct(), "term", "left_semi")
+    thin = thin.select("term", "chunk", F.coalesce(before, F.lit(0)).cast("bigint").alias("base"))
+    first = chunks.filter(F.col("chunk") == 0).withColumn("base", F.lit(0).cast("bigint"))
+    return first.unionByName(later.join(thin, ["term", "chunk"]).select(*first.columns))
+
+
+def gap_lists(post: DataFrame, chunk: int = POSTING_CHUNK) -> DataFrame:
+    """(term, chunk, n, doc_ids, gaps): d-gaps of every chunk (Q34). Postings are aggregated once."""
+    pl = reused(posting_lists(post, chunk).withColumn("end", F.element_at("doc_ids", -1)))
+    pl = _with_base(pl, "end", running=False)
     gaps = F.transform(
         "doc_ids", lambda x, i: x - F.when(i == 0, F.col("base")).otherwise(F.element_at("doc_ids", i))
     )
-    return pl.withColumn("gaps", gaps)
+    return pl.withColumn("gaps", gaps).drop("end")
 
 
 def gaps_long(post: DataFrame, chunk: int = POSTING_CHUNK) -> DataFrame:
@@ -42,10 +54,8 @@ def gaps_long(post: DataFrame, chunk: int = POSTING_CHUNK) -> DataFrame:
 def decode_gaps(chunks: DataFrame, gaps_col: str = "gaps") -> DataFrame:
     """(term, doc_id) from per-chunk gap arrays: a running sum inside each chunk
     (window bounded by the chunk size) plus the sum of the earlier chunks (Q35)."""
-    c = chunks.withColumn("chunk_sum", F.aggregate(gaps_col, F.lit(0).cast("bigint"), lambda a, x: a + x))
-    before = Window.partitionBy("term").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    thin = c.select("term", "chunk", F.coalesce(F.sum("chunk_sum").over(before), F.lit(0)).cast("bigint").alias("base"))
-    c = c.drop("chunk_sum").join(thin, ["term", "chunk"])
+    c = chunks.select("term", "chunk", gaps_col, F.aggregate(gaps_col, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("chunk_sum"))
+    c = _with_base(reused(c), "chunk_sum", running=True)
     e = c.select("term", "chunk", "base", F.posexplode(gaps_col).alias("i", "gap"))
     run = Window.partitionBy("term", "chunk").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return e.select("term", (F.col("base") + F.sum("gap").over(run)).cast("bigint").alias("doc_id"))
@@ -62,20 +72,53 @@ def vb_roundtrip(vb: DataFrame) -> DataFrame:
 
 
 def gamma_postings(post: DataFrame, chunk: int = POSTING_CHUNK) -> DataFrame:
-    """(term, chunk, n, gamma): gamma bit stream per chunk; the term's last chunk
-    carries the padding of the whole list to whole bytes (Q37)."""
+    """(term, chunk, n, code_len, gamma): the gamma stream of the whole list in bytes (BINARY), cut at chunks (Q37).
+
+    A chunk's codes begin at a bit offset of the list's stream, rarely at a whole byte. The byte belongs to the chunk that has
+    its first bit; a chunk passes the bits before its own first byte on, as (term, byte, value), and
+    the owner's last byte takes them in. The list's last byte is filled with ones. Chunks of a term, in order,
+    join to the list's stream, and none is ever held with another.
+    """
     g = gap_lists(post, chunk)
-    bits = F.aggregate("gaps", F.lit(0).cast("bigint"), lambda a, x: a + codecs.gamma_bits(x))
-    w = Window.partitionBy("term")
-    thin = g.select("term", "chunk", bits.alias("b")).select("term", "chunk", F.sum("b").over(w).alias("total"), F.max("chunk").over(w).alias("last"))
-    g = g.withColumn("bits", codecs.gamma_encode(F.col("gaps"))).join(thin, ["term", "chunk"])
-    out = F.when(F.col("chunk") == F.col("last"), codecs.pad_bits(F.col("bits"), F.col("total"))).otherwise(F.col("bits"))
-    return g.select("term", "chunk", "n", out.alias("gamma"))
+    code_len = F.aggregate("gaps", F.lit(0).cast("bigint"), lambda a, x: a + codecs.gamma_bits(x))
+    g = reused(_with_base(reused(g.select("term", "chunk", "n", codecs.gamma_encode(F.col("gaps")).alias("bits"), code_len.alias("code_len"))), "code_len", running=True))
+    end = F.col("base") + F.col("code_len")
+    head = F.least(F.pmod(-F.col("base"), F.lit(8)), F.col("code_len"))  # bits of a byte that an earlier chunk owns
+    byte = F.floor(F.col("base") / 8).cast("bigint")
+    placed = F.rpad(F.concat(F.repeat(F.lit("0"), (F.col("base") % 8).cast("int")), F.substring("bits", F.lit(1), head.cast("int"))), 8, "0")
+    passed = g.filter(head > 0).select("term", byte.alias("byte"), F.conv(placed, 2, 10).cast("int").alias("value"))
+    # The list's last byte is filled with ones.
+    lasts = g.groupBy("term").agg(F.max(end).alias("total")).filter(F.col("total") % 8 > 0)
+    ones = lasts.select("term", F.floor(F.col("total") / 8).cast("bigint").alias("byte"), (F.pow(F.lit(2), F.pmod(-F.col("total"), F.lit(8))) - 1).cast("int").alias("value"))
+    passed = passed.unionByName(ones).groupBy("term", "byte").agg(F.bit_or("value").alias("value"))
+    own = g.withColumn("own", F.substring("bits", (head + 1).cast("int"), F.col("code_len").cast("int")))
+    own = own.withColumn("byte", F.floor((end - 1) / 8).cast("bigint")).filter(F.col("code_len") > head)
+    own = own.join(passed, ["term", "byte"], "left")
+    # The last byte: own bits, and what later chunks passed.
+    full = (F.floor(F.length("own") / 8) * 8).cast("int")
+    tail = F.rpad(F.substring("own", full + 1, F.lit(8)), 8, "0")
+    last = F.conv(tail, 2, 10).cast("int").bitwiseOR(F.coalesce("value", F.lit(0)))
+    rest = F.when(F.length("own") > full, F.lpad(F.hex(last), 2, "0")).otherwise("")
+    stream = F.unhex(F.concat(codecs.bits_to_hex(F.substring("own", F.lit(1), full)), rest))
+    out = own.select("term", "chunk", "n", "code_len", stream.alias("gamma"))
+    none = g.filter(F.col("code_len") <= head).select("term", "chunk", "n", "code_len", F.unhex(F.lit("")).alias("gamma"))
+    return out.unionByName(none)
 
 
 def gamma_roundtrip(gam: DataFrame) -> DataFrame:
-    """(term, doc_id) decoded back from ``gamma_postings`` (Q35 + Q37)."""
-    return decode_gaps(gam.withColumn("gaps", codecs.gamma_decode(F.col("gamma"))))
+    """(term, doc_id) decoded back from ``gamma_postings`` (Q35 + Q37).
+
+    A chunk takes back the bits at its end that the next chunks' bytes or its own last byte hold: its codes are the
+    bits from its offset on, over its own bytes and the last byte of the chunk before.
+    """
+    g = _with_base(reused(gam), "code_len", running=True)
+    g = reused(g.withColumn("first", F.ceil(F.col("base") / 8).cast("bigint")).withColumn("hex", F.hex("gamma")))
+    # The byte in which a chunk begins, if another owns it: the owner's last one.
+    lasts = g.filter(F.length("hex") > 0).select("term", (F.col("first") + F.length("hex") / 2 - 1).cast("bigint").alias("at"), F.substring("hex", -2, 2).alias("shared"))
+    g = g.withColumn("at", F.floor(F.col("base") / 8).cast("bigint")).join(lasts, ["term", "at"], "left")
+    head = F.when(F.col("base") % 8 == 0, "").otherwise(F.col("shared"))
+    bits = F.substring(codecs.hex_to_bits(F.concat(head, "hex")), (F.col("base") % 8 + 1).cast("int"), F.col("code_len").cast("int"))
+    return decode_gaps(g.select("term", "chunk", codecs.gamma_decode(bits).alias("gaps")))
 
 
 def index_size(post: DataFrame, chunk: int = POSTING_CHUNK) -> DataFrame:

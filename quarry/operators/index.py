@@ -18,6 +18,8 @@ from quarry.operators.numbering import number_rows
 
 # Doc ids per posting-list chunk: bounds the array view of a stop-word list.
 POSTING_CHUNK = 1 << 16
+# Folders of a stored index's postings, by a hash of the term.
+BUCKETS = 16
 
 
 def corpus_from_documents(documents: DataFrame) -> DataFrame:
@@ -30,25 +32,56 @@ def corpus_from_documents(documents: DataFrame) -> DataFrame:
     )
 
 
-def corpus_from_files(spark: SparkSession, root: str) -> DataFrame:
+def _file_system(path: str):
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+
+
+def corpus_from_files(spark: SparkSession, root: str, folders_per_task: int = 16) -> DataFrame:
     """Corpus scan of ``root/<block>/<file>`` plain-text files (Q01).
 
-    File scans skip zero-length files, but an empty document still gets a
-    doc id, so the file list (the scan's own driver-side listing) is left
-    joined with the contents."""
-    reader = spark.read.text(f"{root.rstrip('/')}/*/*", wholetext=True)
-    # 'scheme:///x' and 'scheme:/x' name the same file (empty authority)
-    norm = lambda c: F.regexp_replace(c, "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
-    content = reader.select(F.col("value").alias("text"), norm(F.col("_metadata.file_path")).alias("path"))
-    files = spark.createDataFrame([(p,) for p in reader.inputFiles()], "path string").select(norm(F.col("path")).alias("path"))
-    raw = files.join(content, "path", "left").select(F.coalesce("text", F.lit("")).alias("text"), "path")
-    parts = F.split(F.col("path"), "/")
-    return raw.select(
-        F.col("path").alias("doc_key"),
-        F.element_at(parts, -2).alias("block"),
-        F.element_at(parts, -1).alias("file"),
-        "text",
-    )
+    The driver lists the block folders; tasks list the files of their folders and read
+    them. Names are what the file system has (a scan by path would leave out empty files and those that begin
+    with ``_`` or ``.``, and encode blanks). Bytes that are not UTF-8 become replacement characters. ``root`` is a
+    path that the executors reach through Arrow's file systems (local or mounted, hdfs, s3, gcs).
+    """
+    from pyarrow import fs as afs
+
+    store, at = _file_system(root.rstrip("/"))
+    blocks = sorted(f.base_name for f in store.get_file_info(afs.FileSelector(at)) if f.type == afs.FileType.Directory)
+    listed = spark.createDataFrame([(b,) for b in blocks], "block string").repartition(max(1, -(-len(blocks) // folders_per_task)))
+
+    def scan(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for block in batch.column("block").to_pylist():
+                for info in sorted(store.get_file_info(afs.FileSelector(f"{at}/{block}")), key=lambda f: f.base_name):
+                    if info.type == afs.FileType.File:
+                        with store.open_input_stream(info.path) as f:
+                            text = f.read().decode("utf-8", "replace")
+                        yield pa.RecordBatch.from_pydict({"doc_key": [f"{block}/{info.base_name}"], "block": [block], "file": [info.base_name], "text": [text]})
+
+    return listed.mapInArrow(scan, "doc_key string, block string, file string, text string")
+
+
+def write_corpus_files(corpus: DataFrame, root: str) -> None:
+    """Write (block, file, text) rows as ``root/<block>/<file>``, each task its own rows."""
+    store, at = _file_system(root.rstrip("/"))
+
+    def put(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                store.create_dir(f"{at}/{row['block']}")
+                with store.open_output_stream(f"{at}/{row['block']}/{row['file']}") as f:
+                    f.write((row["text"] or "").encode())
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    store.create_dir(at)
+    corpus.select("block", "file", "text").mapInArrow(put, "n bigint").agg(F.sum("n")).first()
 
 
 def corpus_count(corpus: DataFrame) -> DataFrame:
@@ -124,18 +157,23 @@ class InvertedIndex:
     def term_catalog(self) -> DataFrame:
         return term_catalog(self.occ)
 
-    def write(self, path: str, mode: str = "overwrite") -> None:
-        """Index write (Q03): postings range-partitioned and sorted by term, so
-        Parquet row-group min/max on ``term`` replace the offset dictionary."""
+    def write(self, path: str, mode: str = "overwrite", buckets: int = BUCKETS) -> None:
+        """Index write (Q03): postings in folders by a hash of the term, sorted by term, so a search reads
+        the folders of its terms and Parquet row-group min/max on ``term`` replace the offset dictionary."""
         n = int(self.postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        (self.postings.repartitionByRange(n, "term", "doc_id").sortWithinPartitions("term", "doc_id")
-         .write.mode(mode).parquet(f"{path}/postings"))
+        post = self.postings.withColumn("bucket", term_bucket("term", buckets))
+        (post.repartitionByRange(n, "bucket", "term", "doc_id").sortWithinPartitions("bucket", "term", "doc_id")
+         .write.mode(mode).partitionBy("bucket").parquet(f"{path}/postings"))
         self.catalog.select("doc_id", "doc_name").write.mode(mode).parquet(f"{path}/doc_catalog")
         self.term_catalog().write.mode(mode).parquet(f"{path}/term_catalog")
         (self.doc_freq.repartitionByRange(n, "term").sortWithinPartitions("term")
          .write.mode(mode).parquet(f"{path}/doc_freq"))
 
 
+def term_bucket(term, buckets: int = BUCKETS):
+    return F.pmod(F.xxhash64(F.col(term) if isinstance(term, str) else term), F.lit(buckets)).cast("int")
+
+
 def build_index(corpus: DataFrame) -> InvertedIndex:
     """Corpus -> catalog, occurrences, postings and document frequencies (E1)."""
     from quarry.session import checkpointed
@@ -151,3 +189,27 @@ def build_index(corpus: DataFrame) -> InvertedIndex:
 def load_index(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """Index load (Q04): the stored tables, joined on demand instead of held in memory."""
     return {name: spark.read.parquet(f"{path}/{name}") for name in ("postings", "doc_catalog", "term_catalog", "doc_freq")}
+
+
+def merge_indexes(spark: SparkSession, a: str, b: str, path: str, mode: str = "overwrite") -> None:
+    """Merge two stored block indexes into a third (Q33).
+
+    The doc ids of the blocks must not overlap (checked: an error otherwise), so a term's merged list is the lists of both,
+    and no posting has to meet another: the postings are copied folder by folder, without a shuffle. Document
+    frequencies are added; term ids follow the first occurrence, a block with smaller doc ids first.
+    """
+    left, right = load_index(spark, a), load_index(spark, b)
+    ends = [idx["doc_catalog"].agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first() for idx in (left, right)]
+    if None not in (ends[0]["lo"], ends[1]["lo"]) and ends[0]["lo"] > ends[1]["lo"]:
+        left, right, ends = right, left, ends[::-1]
+    if None not in (ends[0]["lo"], ends[1]["lo"]) and ends[0]["hi"] >= ends[1]["lo"]:
+        raise ValueError(f"doc ids of the indexes overlap: {ends}")
+    both = left["postings"].unionByName(right["postings"])
+    both.sortWithinPartitions("bucket", "term", "doc_id").write.mode(mode).partitionBy("bucket").parquet(f"{path}/postings")
+    left["doc_catalog"].unionByName(right["doc_catalog"]).write.mode(mode).parquet(f"{path}/doc_catalog")
+    df = left["doc_freq"].unionByName(right["doc_freq"]).groupBy("term").agg(F.sum("df").alias("df"))
+    df.sortWithinPartitions("term").write.mode(mode).parquet(f"{path}/doc_freq")
+    new = right["term_catalog"].join(left["term_catalog"].select("term"), "term", "left_anti")
+    ranked = left["term_catalog"].select(F.lit(0).alias("part"), "term_id", "term").unionByName(new.select(F.lit(1).alias("part"), "term_id", "term"))
+    ranked = number_rows(ranked.withColumnRenamed("term_id", "old"), ["part", "old"], "term_id", start=0)
+    ranked.select("term_id", "term").write.mode(mode).parquet(f"{path}/term_catalog")

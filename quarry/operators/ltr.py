@@ -9,10 +9,12 @@ The pairwise linear SVM never builds the pair table. Its objective
     1/2 |w|^2 + C * sum over ordered pairs (i, j), rel_i != rel_j, of
     hinge(sign(rel_i - rel_j) * w.(x_i - x_j))
 equals 1/2 |w|^2 + 2C * sum over rel_i > rel_j of max(0, 1 - s_i + s_j)
-with s = w.x, and that sum (and its gradient) needs, per item, only the
-number of violating partners at each other relevance level -- a counting
-problem answered by one range-partitioned sort per evaluation. The
-minimiser is found with L-BFGS on the driver (w has 5 or 10 entries).
+with s = w.x, and that sum (and its gradient) needs, per item, only how many
+items of lower relevance violate the margin, and the sums of their features: prefix sums
+in score order over dyadic blocks of relevance levels, n log(levels) rows whatever the number of levels,
+answered by one range-partitioned sort per evaluation. The minimiser is found with
+cutting planes on the driver (w has 5 or 10 entries); their dual gives a lower bound, so the
+result comes with a certified duality gap.
 """
 
 from __future__ import annotations
@@ -22,13 +24,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import url_flag
 from quarry.functions.vectors import sublinear
 from quarry.operators.scoring import BM25FParams, _bm25_weight, averages_row
+from quarry.operators.numbering import number_rows
 from quarry.operators.signals import FIELDS, N_DOCS, idf
 
 KEYS = ["query_id", "doc_id"]
@@ -66,6 +68,12 @@ def extended_features(tf: DataFrame, stats: DataFrame, avg: DataFrame, windows:
     return agg.join(s, KEYS)
 
 
+def labelled(features: DataFrame, labels: DataFrame) -> DataFrame:
+    """Feature x label table of training (Q25, Q67): a pair without a label, or with a null one, is an error."""
+    rel = F.when(F.col("rel").isNotNull(), F.col("rel")).otherwise(F.raise_error(F.lit("training pair without a relevance label")).cast("double"))
+    return features.join(labels.select(*KEYS, "rel"), KEYS, "left").withColumn("rel", rel)
+
+
 # ---------------------------------------------------------------- scaling
 @dataclass
 class Scaler:
@@ -102,11 +110,33 @@ class LinearModel:
         return df.withColumn(out, s)
 
 
+# A column whose variance, less what the columns before it explain, is a smaller share than this depends on them.
+DEPENDENT = 1e-9
+
+
+def solve_normal(a: np.ndarray, b: np.ndarray, alpha: float = 0.0) -> np.ndarray:
+    """Weights of centred normal equations, columns in order: one that depends on those before it gets 0."""
+    d = len(b)
+    m = np.column_stack([a + alpha * np.eye(d), b]).astype(float)
+    used = []
+    for k in range(d):
+        if m[k, k] <= DEPENDENT * (a[k, k] + alpha):
+            continue
+        used.append(k)
+        for i in range(k + 1, d):
+            m[i, k:] -= m[i, k] / m[k, k] * m[k, k:]
+    w = np.zeros(d)
+    for k in reversed(used):
+        w[k] = (m[k, d] - m[k, k + 1 : d] @ w[k + 1 :]) / m[k, k]
+    return w
+
+
 def fit_least_squares(data: DataFrame, cols: Sequence[str], label: str = "rel", alpha: float = 0.0) -> LinearModel:
     """Least squares with an unpenalised intercept; ``alpha`` > 0 gives ridge (Q70, Q71).
 
     Two aggregations: the means, then the centred cross products (numerically
-    stable); the (d x d) system is solved on the driver, min-norm if singular.
+    stable); the (d x d) system is solved on the driver. A column that depends on
+    the ones before it gets weight 0.
     """
     cols = list(cols)
     d = len(cols)
@@ -123,105 +153,97 @@ def fit_least_squares(data: DataFrame, cols: Sequence[str], label: str = "rel",
         for j in range(i, d):
             a[i, j] = a[j, i] = r[f"a{i}_{j}"]
     b = np.array([r[f"b{i}"] for i in range(d)], dtype=float)
-    if alpha > 0:
-        coef = np.linalg.solve(a + alpha * np.eye(d), b)
-    else:
-        coef = np.linalg.lstsq(a, b, rcond=None)[0]
+    coef = solve_normal(a, b, alpha)
     return LinearModel(coef, my - float(mx @ coef), cols)
 
 
 # ---------------------------------------------------------------- pairwise SVM without pairs
-def _scan_partition(ngroup: int, nx: int, schema: pa.Schema):
-    """mapInArrow body over a range-sorted partition. Input columns: ngroup
-    group keys, ``pt`` (1 = point, 0 = probe), nx payload columns. Output: for
-    every probe, the number of points of its group before it in this
-    partition (kind 0); then one row per group with its point total (kind 1)."""
-    from pyspark import TaskContext
+def _scan(d: int, n_weights: int, schema: pa.Schema):
+    """mapInArrow body over a range-sorted partition of rows (group, wi, pt, s, x_0 .. x_d-1).
+
+    Points (pt = 1) add (1, s, x) to the running sums of their group; a probe meets the sums of the points before it. A row
+    of output holds, of a group: the probes' loss and gradient from this partition's points, what they need
+    for points of earlier partitions (probes, sum of 1 - s, sum of x), and the sums of its own points. Only the
+    partition's first and last group can go on elsewhere and are told apart; the others are one row per weight vector.
+    """
+    width = 2 * (d + 1) + 1 + (d + 2) + 1  # loss, grad | probes, sum(1 - s), sum(x) | points: n, sum(s), sum(x) | pairs
 
     def run(batches):
+        from pyspark import TaskContext
+
         pid = TaskContext.get().partitionId()
-        open_key, open_cnt, totals = None, 0, {}
+        done = np.zeros((n_weights, width))
+        first, open_key, open_wi, held, carry = None, None, 0, np.zeros(width), np.zeros(d + 2)
+
+        def close():
+            nonlocal first
+            if first is None:
+                first = (open_key, open_wi, held.copy())
+            else:
+                done[open_wi] += held
+
         for rb in batches:
             n = rb.num_rows
             if n == 0:
                 continue
-            g = [rb.column(k).to_numpy(zero_copy_only=False) for k in range(ngroup)]
-            is_pt = rb.column(ngroup).to_numpy(zero_copy_only=False).astype(np.int64)
-            start = np.zeros(n, dtype=bool)
-            for col in g:
-                start[1:] |= col[1:] != col[:-1]
-            start[0] = True
-            cont = open_key is not None and tuple(c[0] for c in g) == open_key
-            seg_starts = np.flatnonzero(start)
-            seg = np.cumsum(start) - 1
-            excl = np.cumsum(is_pt) - is_pt
-            before = excl - excl[seg_starts][seg]
-            if cont:
-                before[seg == 0] += open_cnt
-            seg_tot = np.add.reduceat(is_pt, seg_starts)
-            for j, st in enumerate(seg_starts):
-                key = tuple(c[st].item() if hasattr(c[st], "item") else c[st] for c in g)
-                totals[key] = totals.get(key, 0) + int(seg_tot[j])
-            open_cnt = int(seg_tot[-1]) + (open_cnt if (cont and len(seg_starts) == 1) else 0)
-            open_key = tuple(c[-1] for c in g)
-            probe = is_pt == 0
-            k_probe = int(probe.sum())
-            out = {f"g{k}": g[k][probe] for k in range(ngroup)}
-            out["kind"] = np.zeros(k_probe, dtype=np.int32)
-            out["p"] = np.full(k_probe, pid, dtype=np.int32)
-            out["cnt"] = before[probe].astype(np.int64)
-            for k in range(nx):
-                out[f"x{k}"] = rb.column(ngroup + 1 + k).to_numpy(zero_copy_only=False)[probe]
-            yield pa.RecordBatch.from_pydict(out, schema=schema)
-        if totals:
-            keys = list(totals)
-            out = {f"g{k}": [kk[k] for kk in keys] for k in range(ngroup)}
-            out["kind"] = np.ones(len(keys), dtype=np.int32)
-            out["p"] = np.full(len(keys), pid, dtype=np.int32)
-            out["cnt"] = np.array([totals[k] for k in keys], dtype=np.int64)
-            for k in range(nx):
-                out[f"x{k}"] = np.zeros(len(keys))
-            yield pa.RecordBatch.from_pydict(out, schema=schema)
+            keys = rb.column("g").to_pylist()
+            codes = rb.column("g").dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            wi, pt, s = (rb.column(c).to_numpy(zero_copy_only=False) for c in ("wi", "pt", "s"))
+            x = np.stack([rb.column(f"x{k}").to_numpy(zero_copy_only=False) for k in range(d)], axis=1)
+            starts = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+            seg = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, n)))
+            add = np.column_stack([np.ones(n), s, x]) * pt[:, None]
+            before = np.cumsum(add, axis=0) - add
+            before -= before[starts][seg]
+            if keys[0] == open_key:
+                before[seg == 0] += carry
+            probe = (1 - pt)[:, None]
+            loss = before[:, :1] * (1 - s[:, None]) + before[:, 1:2]
+            grad = before[:, 2:] - before[:, :1] * x
+            rows = np.concatenate([np.column_stack([loss, grad, np.ones(n), 1 - s, x]) * probe, add, before[:, :1] * probe], axis=1)
+            sums = np.add.reduceat(rows, starts, axis=0)
+            for k, at in enumerate(starts.tolist()):
+                if keys[at] != open_key:
+                    if open_key is not None:
+                        close()
+                    open_key, open_wi, held, carry = keys[at], int(wi[at]), np.zeros(width), np.zeros(d + 2)
+                held = held + sums[k]
+                carry = carry + sums[k, -(d + 3):-1]
+        if open_key is None:
+            return
+        only = first is None
+        out = [(pid, 0, *(first or (open_key, open_wi, held)))]
+        out += [(pid, 1, "", w, done[w]) for w in range(n_weights) if done[w].any()]
+        if not only:
+            out.append((pid, 2, open_key, open_wi, held))
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int32()), pa.array([r[1] for r in out], pa.int32()),
+                                          pa.array([r[2] for r in out], pa.string()), pa.array([r[3] for r in out], pa.int32()),
+                                          pa.array([r[4].tolist() for r in out], pa.list_(pa.float64()))], schema=schema)
 
     return run
 
 
-# Items of a query that one window task may take; larger queries use the range-partitioned count.
-MAX_TASK_ROWS = 1_000_000
-# Items per task in the per-evaluation passes of the pairwise objective.
-ROWS_PER_TASK = 50_000
-
-_ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "double": pa.float64()}
-
-
 class PairwiseHinge:
     """Pair-free evaluation of the pairwise hinge loss sum over rel_i > rel_j
-    within a query, and its gradient, for items (query_id, rel, x_0..x_{d-1})."""
+    within a query, and its gradient, for items (query_id, rel, x_0..x_{d-1}).
+
+    An item's relevance is a level number within its query. The levels below v are dyadic
+    blocks, one for each bit of v; an item is a point of the blocks that hold its level and a probe of those
+    below it. Any number of levels, continuous ones too, costs log2(levels) rows an item.
+    """
 
     def __init__(self, items: DataFrame, cols: Sequence[str], query_col: str = "query_id", label: str = "rel"):
-        self.cols = list(cols)
-        self.spark = items.sparkSession
-        self.items = items.select(F.col(query_col).alias("q"), F.col(label).cast("double").alias("rel"),
-                                  *[F.col(c).cast("double").alias(f"x{k}") for k, c in enumerate(self.cols)])
         # checkpoint, not persist: it also cuts the lineage, so each of the many
         # evaluations plans a small query instead of re-analysing the whole feature chain
         from quarry.session import checkpointed
 
-        self.items = checkpointed(self.items)
-        # every evaluation re-reads the items: give them partitions sized by rows,
-        # not by the session's default (a few hundred rows need not be 200 tasks)
-        n_rows = self.items.count()
-        want = max(1, -(-n_rows // ROWS_PER_TASK))
-        if want < self.items.rdd.getNumPartitions():
-            self.items = self.items.coalesce(want)
-        levels = [r["rel"] for r in self.items.select("rel").distinct().limit(1025).collect()]
-        if len(levels) > 1024:
-            raise ValueError("pairwise training expects discrete relevance levels")
-        self.levels = sorted(levels)
-        self.q_type = self.items.schema["q"].dataType.simpleString()
-        # A (query, level, role) group holds at most one row per item of the query;
-        # checked once, the sizes do not change between evaluations.
-        self.window_path = int(self.items.groupBy("q").count().agg(F.max("count")).first()[0] or 0) <= MAX_TASK_ROWS
+        self.cols = list(cols)
+        self.spark = items.sparkSession
+        items = checkpointed(items.select(F.col(query_col).cast("string").alias("q"), F.col(label).cast("double").alias("rel"),
+                                          *[F.col(c).cast("double").alias(f"x{k}") for k, c in enumerate(self.cols)]))
+        levels = number_rows(items.select("q", "rel").distinct(), ["rel"], "lv", start=0, group_by=["q"])
+        self.items = checkpointed(items.join(levels, ["q", "rel"]))
+        self.bits = int(self.items.agg(F.max("lv")).first()[0] or 0).bit_length()
 
     def n_pairs(self) -> int:
         """Ordered pairs with differing relevance, from per-(query, level) counts."""
@@ -230,122 +252,101 @@ class PairwiseHinge:
         return int(t.agg(F.sum(F.col("t") * F.col("t") - F.col("sq"))).first()[0] or 0)
 
     def evaluate(self, w: np.ndarray) -> tuple[float, np.ndarray]:
-        d = len(self.cols)
-        s = sum((F.lit(float(w[k])) * F.col(f"x{k}") for k in range(d)), F.lit(0.0))
-        it = self.items.withColumn("s", s)
+        """(loss, gradient) at one weight vector."""
+        return self.evaluate_all([w])[0][:2]
+
+    def evaluate_all(self, weights: Sequence[np.ndarray]) -> list[tuple[float, np.ndarray, int]]:
+        """(loss, gradient, violating pairs) at each weight vector, in one job."""
+        d, n_weights = len(self.cols), len(weights)
+        if not self.bits:
+            return [(0.0, np.zeros(d), 0) for _ in weights]
         xs = [F.col(f"x{k}") for k in range(d)]
-        zero = [F.lit(0.0).alias(f"x{k}") for k in range(d)]
-        # points: every item in its own level's groups; 'hi' keys are -s (count s_j > t), 'lo' keys are s (count s_i < t)
-        pts = it.select("q", F.col("rel").alias("r"), F.explode(F.array(
-            F.struct(F.lit(0).alias("role"), (-F.col("s")).alias("key")), F.struct(F.lit(1).alias("role"), F.col("s").alias("key")))).alias("e"),
-            F.lit(1).alias("pt"), *zero)
-        pts = pts.select("q", "r", "e.role", "e.key", "pt", *[f"x{k}" for k in range(d)])
-        lv = F.array(*[F.lit(float(v)) for v in self.levels])
-        # probes: item i against each lower level (role 0, key 1 - s_i) and each higher level (role 1, key s_i + 1);
-        # x carries +x_i for role 0 rows... signs are applied in the final sum
-        pr = it.select("q", "rel", "s", *xs, F.explode(lv).alias("r")).filter(F.col("r") != F.col("rel"))
-        pr = pr.select("q", "r", F.when(F.col("r") < F.col("rel"), 0).otherwise(1).alias("role"),
-                       F.when(F.col("r") < F.col("rel"), F.lit(1.0) - F.col("s")).otherwise(F.col("s") + 1.0).alias("key"),
-                       F.lit(0).alias("pt"), *[F.col(f"x{k}") for k in range(d)], F.col("s").alias("x_s"))
-        pts = pts.withColumn("x_s", F.lit(0.0))
-        ev = pts.unionByName(pr)
-        # probes sort before points on equal keys: both conditions are strict
-        if self.window_path:
-            w = Window.partitionBy("q", "r", "role").orderBy("key", "pt").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-            probes = ev.withColumn("cnt", F.sum("pt").over(w) - F.col("pt")).filter(F.col("pt") == 0)
-            probes = probes.select(F.col("role").alias("g2"), "cnt", *[f"x{k}" for k in range(d)], F.col("x_s").alias(f"x{d}"))
-            return self._reduce(probes, d)
-        order = ["q", "r", "role", "key", "pt"]
+        score = lambda w: sum((F.lit(float(w[k])) * xs[k] for k in range(d)), F.lit(0.0))
+        at = F.explode(F.array(*[F.struct(F.lit(i).alias("wi"), score(w).alias("s")) for i, w in enumerate(weights)]))
+        it = self.items.select("q", "lv", *xs, at.alias("e")).select("q", "lv", "e.wi", "e.s", *xs)
+        roles = []
+        for k in range(self.bits):
+            block = F.shiftright("lv", k)
+            # An odd block's items probe the even block before it.
+            odd = block % 2 == 1
+            key = F.when(odd, F.lit(1.0) - F.col("s")).otherwise(-F.col("s"))
+            roles.append(F.struct(F.lit(k).alias("k"), (block - F.when(odd, 1).otherwise(0)).alias("b"), key.alias("key"), F.when(odd, 0).otherwise(1).alias("pt")))
+        ev = it.select("wi", "s", *xs, "q", F.explode(F.array(*roles)).alias("r"))
+        g = F.concat_ws("|", F.col("wi").cast("string"), F.col("r.k").cast("string"), F.col("r.b").cast("string"), "q")
+        ev = ev.select(g.alias("g"), "wi", "r.key", "r.pt", "s", *xs)
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        ev = ev.repartitionByRange(n, *order).sortWithinPartitions(*order)
-        ev = ev.select("q", "r", "role", "pt", *[f"x{k}" for k in range(d)], "x_s")
-        schema = (f"g0 {self.q_type}, g1 double, g2 int, kind int, p int, cnt bigint, "
-                  + ", ".join(f"x{k} double" for k in range(d + 1)))
-        arrow = pa.schema([("g0", _ARROW[self.q_type]), ("g1", pa.float64()), ("g2", pa.int32()), ("kind", pa.int32()),
-                           ("p", pa.int32()), ("cnt", pa.int64())] + [(f"x{k}", pa.float64()) for k in range(d + 1)])
-        scanned = ev.mapInArrow(_scan_partition(3, d + 1, arrow), schema).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            tot = scanned.filter(F.col("kind") == 1).select("g0", "g1", "g2", "p", F.col("cnt").alias("n"))
-            before = Window.partitionBy("g0", "g1", "g2").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
-            off = tot.withColumn("off", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-            # at most partitions + groups rows; AQE broadcasts it at run time when it is small
-            probes = scanned.filter(F.col("kind") == 0).join(off, ["g0", "g1", "g2", "p"], "left")
-            probes = probes.withColumn("cnt", F.col("cnt") + F.coalesce(F.col("off"), F.lit(0)))
-            return self._reduce(probes, d)
-        finally:
-            scanned.unpersist()
-
-    @staticmethod
-    def _reduce(probes: DataFrame, d: int):
-        """Loss = sum cnt * (1 - s) over 'higher' probes + cnt * s over 'lower' ones; gradient alike."""
-        cnt = F.col("cnt").cast("double")
-        hi = F.col("g2") == 0
-        sv = F.col(f"x{d}")
-        aggs = [F.sum(F.when(hi, cnt * (F.lit(1.0) - sv)).otherwise(cnt * sv)).alias("loss")]
-        aggs += [F.sum(F.when(hi, -cnt * F.col(f"x{k}")).otherwise(cnt * F.col(f"x{k}"))).alias(f"g{k}") for k in range(d)]
-        r = probes.agg(*aggs).first()
-        return float(r["loss"] or 0.0), np.array([float(r[f"g{k}"] or 0.0) for k in range(d)])
-
-    def close(self):
-        pass
-
-
-def _lbfgs(fun, x0: np.ndarray, max_iter: int = 100, m: int = 10, tol: float = 1e-7):
-    """Plain L-BFGS with Armijo backtracking (the problem has 5-10 unknowns)."""
-    x = x0.astype(float)
-    f, g = fun(x)
-    s_hist, y_hist = [], []
-    for _ in range(max_iter):
-        q = g.copy()
-        alphas = []
-        for s, y in reversed(list(zip(s_hist, y_hist))):
-            a = s @ q / (y @ s)
-            alphas.append(a)
-            q -= a * y
-        if s_hist:
-            q *= (s_hist[-1] @ y_hist[-1]) / (y_hist[-1] @ y_hist[-1])
-        for (s, y), a in zip(zip(s_hist, y_hist), reversed(alphas)):
-            b = y @ q / (y @ s)
-            q += (a - b) * s
-        d = -q
-        if g @ d >= 0:
-            d = -g
-            s_hist, y_hist = [], []
-        if not s_hist:
-            d = d / max(1.0, float(np.linalg.norm(d)))  # unit first move: the gradient scale is the pair count
-        step, accepted = 1.0, False
-        for _ in range(30):
-            xn = x + step * d
-            fn, gn = fun(xn)
-            if fn <= f + 1e-4 * step * (g @ d):
-                accepted = True
-                break
-            step *= 0.5
-        if not accepted:
-            break
-        s, y = xn - x, gn - g
-        if y @ s > 1e-12:
-            s_hist.append(s)
-            y_hist.append(y)
-            s_hist, y_hist = s_hist[-m:], y_hist[-m:]
-        done = abs(f - fn) <= tol * max(1.0, abs(f))
-        x, f, g = xn, fn, gn
-        if done or np.linalg.norm(g) < 1e-8:
+        # probes sort before points on equal keys: the margin is strict
+        ev = ev.repartitionByRange(n, "g", "key", "pt").sortWithinPartitions("g", "key", "pt")
+        arrow = pa.schema([("p", pa.int32()), ("kind", pa.int32()), ("g", pa.string()), ("wi", pa.int32()), ("v", pa.list_(pa.float64()))])
+        out = ev.select("g", "wi", "pt", "s", *xs).mapInArrow(_scan(d, n_weights, arrow), "p int, kind int, g string, wi int, v array<double>")
+        rows = out.collect()  # for each partition a row for each weight vector and two more
+        total, n_viol = np.zeros((n_weights, d + 1)), np.zeros(n_weights)
+        group, before = None, np.zeros(d + 2)
+        for r in sorted(rows, key=lambda r: (r["p"], r["kind"])):
+            v, wi = np.array(r["v"]), r["wi"]
+            total[wi] += v[: d + 1]
+            n_viol[wi] += v[-1]
+            if r["kind"] == 1:
+                continue
+            probes, one_less, x, own = v[d + 1], v[d + 2], v[d + 3 : 2 * d + 3], v[2 * d + 3 : -1]
+            if r["g"] != group:
+                group, before = r["g"], np.zeros(d + 2)
+            n_viol[wi] += before[0] * probes
+            total[wi, 0] += before[0] * one_less + probes * before[1]
+            total[wi, 1:] += probes * before[2:] - before[0] * x
+            before = before + own
+        return [(float(t[0]), t[1:].copy(), int(v)) for t, v in zip(total, n_viol, strict=True)]
+
+
+def _best_combination(planes: np.ndarray, offsets: np.ndarray, start: np.ndarray, steps: int = 20_000) -> np.ndarray:
+    """Shares of the planes that maximise offsets.b - |planes.b|^2 / 2 (sum 1, none negative), by moving share between the two that gain most."""
+    b, gram = start.copy(), planes @ planes.T
+    slope = offsets - gram @ b
+    for _ in range(steps):
+        up = int(slope.argmax())
+        has = np.flatnonzero(b > 0)
+        down = int(has[slope[has].argmin()])
+        gain = slope[up] - slope[down]
+        if gain <= 1e-12 * max(1.0, abs(slope[up])):
             break
-    return x, f
+        curve = gram[up, up] + gram[down, down] - 2 * gram[up, down]
+        move = min(b[down], gain / curve) if curve > 0 else b[down]
+        b[up] += move
+        b[down] -= move
+        slope -= move * (gram[up] - gram[down])
+    return b
+
+
+@dataclass
+class SvmModel(LinearModel):
+    primal: float = 0.0  # the objective at the weights
+    lower: float = 0.0  # no weights have a smaller one
 
 
-def fit_pairwise_svm(items: DataFrame, cols: Sequence[str], c: float = 3.0, max_iter: int = 60) -> LinearModel:
+def fit_pairwise_svm(items: DataFrame, cols: Sequence[str], c: float = 3.0, gap: float = 1e-3, max_rounds: int = 80) -> SvmModel:
     """Linear SVM on pairwise differences (Q69, Q72): min 1/2|w|^2 + C * sum of
     hinge losses over all ordered differing-relevance pairs of each query.
-    The pair set is symmetric, so the intercept is 0 and only w is learned."""
+    The pair set is symmetric, so the intercept is 0 and only w is learned.
+
+    Cutting planes: the loss is above each of its tangents, so the best combination of the tangents so far bounds
+    the objective from below (the dual). The loss is then read at several points towards that combination's weights,
+    in one job. Ends when the objective is within ``gap`` (a share) of the bound; an error if it does not get there.
+    """
     h = PairwiseHinge(items, cols)
-    try:
-        def fun(w):
-            loss, grad = h.evaluate(w)
-            return 0.5 * w @ w + 2.0 * c * loss, w + 2.0 * c * grad
-
-        w, _ = _lbfgs(fun, np.zeros(len(cols)), max_iter=max_iter)
-    finally:
-        h.close()
-    return LinearModel(w, 0.0, list(cols))
+    best, best_f = np.zeros(len(cols)), np.inf
+    planes, offsets, share, lower = np.zeros((1, len(cols))), np.zeros(1), np.ones(1), 0.0  # the loss is never negative
+    points = [best]
+    for _ in range(max_rounds):
+        for w, (loss, grad, _) in zip(points, h.evaluate_all(points), strict=True):
+            f = 0.5 * w @ w + 2.0 * c * loss
+            if f < best_f:
+                best, best_f = w, f
+            planes = np.vstack([planes, 2.0 * c * grad])
+            offsets = np.append(offsets, 2.0 * c * (loss - grad @ w))
+        share = _best_combination(planes, offsets, np.append(share, np.zeros(len(planes) - len(share))))
+        lower = max(lower, float(offsets @ share - 0.5 * np.sum((share @ planes) ** 2)))
+        if best_f - lower <= gap * max(best_f, 1e-9):
+            return SvmModel(best, 0.0, list(cols), best_f, lower)
+        w = -share @ planes
+        points = [best + k * (w - best) for k in (0.1, 0.3, 0.6, 1.0)]
+    raise RuntimeError(f"pairwise SVM: objective {best_f} is not within {gap} of its lower bound {lower} after {max_rounds} rounds")

@@ -77,14 +77,61 @@ def q_doc_freq(spark, sf_dir):
     return _index(spark, sf_dir).doc_freq
 
 
+def _stored_index(spark, sf_dir):
+    """The index written and loaded."""
+    from quarry.sources import textfiles as tx
+
+    path = tx.scratch_path(spark, "index")
+    _index(spark, sf_dir).write(path)
+    return path, ix.load_index(spark, path)
+
+
 def q_merge_indexes(spark, sf_dir):
-    """Two blocks (odd / even catalog ids) indexed apart, then merged."""
+    """Two blocks (the smaller and the larger half of the catalog ids) indexed apart and written, then merged."""
+    from quarry.session import checkpointed
+    from quarry.sources import textfiles as tx
+
     corpus = _corpus(spark, sf_dir)
     catalog = ix.doc_catalog(corpus)
-    occ = ix.occurrences(ix.tokenize(corpus), catalog)
-    a = ix.postings(occ.filter(F.col("doc_id") % 2 == 1))
-    b = ix.postings(occ.filter(F.col("doc_id") % 2 == 0))
-    return ix.merge_postings(a, b)
+    occ = checkpointed(ix.occurrences(ix.tokenize(corpus), catalog))
+    half = catalog.agg(F.max("doc_id")).first()[0] // 2
+    paths = []
+    for side in (F.col("doc_id") <= half, F.col("doc_id") > half):
+        part = occ.filter(side)
+        post = ix.postings(part)
+        paths.append(tx.scratch_path(spark, "block"))
+        ix.InvertedIndex(catalog.filter(side), part, post, ix.doc_freq(post)).write(paths[-1])
+    merged = tx.scratch_path(spark, "merged")
+    ix.merge_indexes(spark, *paths, merged)
+    return ix.load_index(spark, merged)["postings"].select("term", "doc_id")
+
+
+def q_merged_terms(spark, sf_dir):
+    """Term ids and document frequencies of the stored merge: those of the index of the union."""
+    from quarry.sources import textfiles as tx
+
+    corpus = _corpus(spark, sf_dir)
+    catalog = ix.doc_catalog(corpus)
+    half = catalog.agg(F.max("doc_id")).first()[0] // 2
+    tokens, paths = ix.tokenize(corpus), []
+    for side in (F.col("doc_id") > half, F.col("doc_id") <= half):  # in any order
+        part = ix.occurrences(tokens, catalog.filter(side))
+        paths.append(tx.scratch_path(spark, "block"))
+        ix.InvertedIndex(catalog.filter(side), part, ix.postings(part), ix.doc_freq(ix.postings(part))).write(paths[-1])
+    merged = tx.scratch_path(spark, "merged")
+    ix.merge_indexes(spark, *paths, merged)
+    idx = ix.load_index(spark, merged)
+    return idx["term_catalog"].join(idx["doc_freq"], "term").select("term_id", "term", "df")
+
+
+def q_file_corpus_postings(spark, sf_dir):
+    """The corpus written as plain files ``<block>/<file>``, listed, read and indexed (Q01)."""
+    from quarry.sources import textfiles as tx
+
+    root = tx.scratch_path(spark, "corpus")
+    ix.write_corpus_files(_corpus(spark, sf_dir), root)
+    idx = ix.build_index(ix.corpus_from_files(spark, root))
+    return idx.postings.join(idx.catalog.select("doc_id", "doc_name"), "doc_id").select("term", "doc_id", "doc_name")
 
 
 # ---------------------------------------------------------------- compression
@@ -101,7 +148,7 @@ def q_vb_postings(spark, sf_dir):
 
 
 def q_gamma_postings(spark, sf_dir):
-    return cz.gamma_postings(_index(spark, sf_dir).postings)
+    return cz.gamma_postings(_index(spark, sf_dir).postings).select("term", "chunk", "n", F.lower(F.hex("gamma")).alias("gamma"))
 
 
 def q_gamma_roundtrip(spark, sf_dir):
@@ -132,9 +179,15 @@ def q_unknown_terms(spark, sf_dir):
     return bl.unknown_terms(queries, idx.doc_freq)
 
 
+def search_stored(spark, idx, sf_dir):
+    """The query batch against a stored index."""
+    queries = RankFixture(spark, sf_dir).bool_queries
+    return bl.sorted_results(bl.boolean_search(queries, idx["postings"], idx["doc_freq"], idx["doc_catalog"]))
+
+
 def q_boolean_search(spark, sf_dir):
-    queries, idx = _bool_inputs(spark, sf_dir)
-    return bl.sorted_results(bl.boolean_search(queries, idx.postings, idx.doc_freq, idx.catalog))
+    """The index built and written, then searched as stored."""
+    return search_stored(spark, _stored_index(spark, sf_dir)[1], sf_dir)
 
 
 # ---------------------------------------------------------------- signals
@@ -194,6 +247,22 @@ def q_sublinear_tf(spark, sf_dir):
     return t.select("query_id", "doc_id", "term", "field", "tf", _r(sublinear("tf"), "stf"))
 
 
+def q_vector_ops(spark, sf_dir):
+    """The array forms over a pair's aligned vectors, terms in order (Q17, Q18, Q19): dot product of the query's and the
+    body's sublinear counts, body counts less title counts, body counts by body length + 5000."""
+    from quarry.functions import vectors as vc
+
+    fx = RankFixture(spark, sf_dir)
+    rows = _tf(fx).groupBy("query_id", "doc_id").agg(F.array_sort(F.collect_list(F.struct("term", "q_tf", "tf_title", "tf_body"))).alias("v"))
+    rows = rows.join(fx.doc_stats.select("query_id", "doc_id", "body_length"), ["query_id", "doc_id"])
+    col = lambda name: F.transform("v", lambda x: x[name])
+    text = lambda a: F.array_join(F.transform(a, lambda x: F.format_string("%.9f", x)), ",")
+    return rows.select(
+        "query_id", "doc_id", _r(vc.dot(vc.sublinear_array(col("q_tf")), vc.sublinear_array(col("tf_body"))), "dot"),
+        F.array_join(F.transform(vc.vec_diff(col("tf_body"), col("tf_title")), lambda x: x.cast("string")), ",").alias("difference"),
+        text(vc.vec_scale(col("tf_body"), F.col("body_length") + 5000)).alias("scaled"))
+
+
 # ---------------------------------------------------------------- scoring and ranking
 def _scores(fx: RankFixture) -> DataFrame:
     return _memo(fx, "scores", lambda: sc.score_pairs(_tf(fx), fx.doc_stats, sig.avg_lengths(fx.doc_stats)))
@@ -292,13 +361,20 @@ def q_features10(spark, sf_dir):
 
 
 def q_scaled_features(spark, sf_dir):
+    """All pairs, standardised by the training rows (the labelled pairs of the training queries), as every learner does."""
     fx = RankFixture(spark, sf_dir)
     train, test = _features10(fx, True), _features10(fx, False)
-    scaler = lt.fit_scaler(train, lt.F10)
+    scaler = lt.fit_scaler(_judged(fx, train), lt.F10)
     f = scaler.transform(train).unionByName(scaler.transform(test))
     return f.select(*lt.KEYS, *[_r(c) for c in lt.F10])
 
 
+def q_feature_labels(spark, sf_dir):
+    """Feature x label table of the training queries (Q67); a pair without a label would raise."""
+    fx = RankFixture(spark, sf_dir)
+    return _training(fx, _features5(fx, True)).select(*lt.KEYS, *[_r(c) for c in lt.F5], "rel")
+
+
 def q_pair_count(spark, sf_dir):
     """Ordered differing-relevance pairs per query, counted from level sizes (no pair table)."""
     c = RankFixture(spark, sf_dir).judged.groupBy("query_id", "rel").agg(F.count(F.lit(1)).alias("n"))
@@ -310,43 +386,63 @@ def q_pair_count(spark, sf_dir):
 HINGE_PROBE_W = (1.0, -2.0, 0.5, 3.0, -1.0)
 
 
-def q_pair_hinge(spark, sf_dir):
-    """Pairwise hinge loss sum and gradient at fixed weights over the standardised
-    five features of the training queries -- the SVM objective's building block."""
+def _probe(spark, sf_dir):
     import numpy as np
 
     fx = RankFixture(spark, sf_dir)
     f = _judged(fx, _features5(fx, True))
-    scaled = lt.fit_scaler(f, lt.F5).transform(f).join(fx.judged, lt.KEYS)
-    h = lt.PairwiseHinge(scaled, lt.F5)
-    try:
-        loss, grad = h.evaluate(np.array(HINGE_PROBE_W))
-    finally:
-        h.close()
+    h = lt.PairwiseHinge(_training(fx, lt.fit_scaler(f, lt.F5).transform(f)), lt.F5)
+    return h.evaluate_all([np.array(HINGE_PROBE_W)])[0]
+
+
+def q_pair_hinge(spark, sf_dir):
+    """Pairwise hinge loss sum and gradient at fixed weights over the standardised
+    five features of the training queries -- the SVM objective's building block."""
+    loss, grad, _ = _probe(spark, sf_dir)
     # "+ 0.0" turns a negative zero (the gradient of an all-zero feature) into 0.0
     rows = [("loss", round(loss, 6) + 0.0)] + [(f"grad_{c}", round(float(g), 6) + 0.0) for c, g in zip(lt.F5, grad)]
     return spark.createDataFrame(rows, "name string, value double")
 
 
+def q_pair_gap(spark, sf_dir):
+    """The SVM's primal objective at fixed weights, the dual one of the violating pairs, and the gap: half the squared
+    distance of the weights from the violating pairs' combination (C = 3)."""
+    import numpy as np
+
+    loss, grad, n = _probe(spark, sf_dir)
+    w, c = np.array(HINGE_PROBE_W), 3.0
+    primal, dual = 0.5 * w @ w + 2 * c * loss, 2 * c * n - 0.5 * np.sum((2 * c * grad) ** 2)
+    rows = [("violating", float(n)), ("primal", float(primal)), ("dual", float(dual)), ("gap", float(primal - dual))]
+    return spark.createDataFrame([(k, float(f"{v:.9g}")) for k, v in rows], "name string, value double")
+
+
 def _judged(fx: RankFixture, features: DataFrame) -> DataFrame:
     """Features of labelled pairs: learners see no others."""
     return features.join(fx.judged.select(*lt.KEYS), lt.KEYS, "left_semi")
 
 
+def _training(fx: RankFixture, features: DataFrame) -> DataFrame:
+    return lt.labelled(_judged(fx, features), fx.judged)
+
+
 def _fit_rank(fx: RankFixture, learner: str):
     """(model, scored test pairs): every call fits on the tables as they are now."""
     if learner in ("ols", "ridge"):
-        train, test = _features5(fx, True).join(fx.judged, lt.KEYS), _judged(fx, _features5(fx, False))
+        train, test = _training(fx, _features5(fx, True)), _judged(fx, _features5(fx, False))
         model = lt.fit_least_squares(train, lt.F5, alpha=4.5 if learner == "ridge" else 0.0)
     else:
         cols, features = (lt.F5, _features5) if learner == "svm" else (lt.F10, _features10)
         train = _judged(fx, features(fx, True))
         scaler = lt.fit_scaler(train, cols)
-        model = lt.fit_pairwise_svm(scaler.transform(train).join(fx.judged, lt.KEYS), cols)
+        model = lt.fit_pairwise_svm(_training(fx, scaler.transform(train)), cols, gap=SVM_GAP)
         test = scaler.transform(_judged(fx, features(fx, False)))
     return model, model.score(test)
 
 
+# Share of the objective by which a fitted SVM may be above its certified lower bound.
+SVM_GAP = 1e-3
+
+
 def _memo_fit(fx: RankFixture, learner: str):
     cache = fx.__dict__.setdefault("_fits", {})
     if learner not in cache:
@@ -354,6 +450,18 @@ def _memo_fit(fx: RankFixture, learner: str):
     return cache[learner]
 
 
+def q_svm_certificate(spark, sf_dir):
+    """Both pairwise SVMs fitted: ordered training pairs, and whether the duality gap is within SVM_GAP of the objective
+    (a fit that does not get there raises)."""
+    fx = RankFixture(spark, sf_dir)
+    rows = []
+    for learner in ("svm", "svm10"):
+        model, _ = _memo_fit(fx, learner)
+        rows.append((learner, bool(model.primal - model.lower <= SVM_GAP * model.primal)))
+    pairs = q_pair_count(spark, sf_dir).filter(fx.split(True)).agg(F.sum("n_pairs").alias("n_pairs"))
+    return spark.createDataFrame(rows, "learner string, certified boolean").crossJoin(F.broadcast(pairs))  # one row
+
+
 def _rank_learner(learner):
     def q(spark, sf_dir):
         _, scored = _fit_rank(RankFixture(spark, sf_dir), learner)
@@ -363,27 +471,38 @@ def _rank_learner(learner):
     return q
 
 
-def q_ltr_ndcg(spark, sf_dir):
-    """Mean NDCG on the test queries (query_id % 4 = 0) for the four learners (Q76)."""
-    fx = RankFixture(spark, sf_dir)
-    out = None
-    for learner in ("ols", "ridge", "svm", "svm10"):
-        _, scored = _memo_fit(fx, learner)
-        nd = ev.mean_ndcg(ev.ndcg_per_query(rk.rank_documents(scored), fx.judged))
-        part = nd.select(F.lit(learner).alias("learner"), _r("mean_ndcg"), "n_queries")
-        out = part if out is None else out.unionByName(part)
-    return out
+def _ltr_ndcg(learners):
+    def q(spark, sf_dir):
+        """Mean NDCG of learners on the test queries (query_id % 4 = 0) (Q76)."""
+        fx = RankFixture(spark, sf_dir)
+        out = None
+        for learner in learners:
+            _, scored = _memo_fit(fx, learner)
+            nd = ev.mean_ndcg(ev.ndcg_per_query(rk.rank_documents(scored), fx.judged))
+            part = nd.select(F.lit(learner).alias("learner"), _r("mean_ndcg"), "n_queries")
+            out = part if out is None else out.unionByName(part)
+        return out
+
+    q.__name__ = "q_ndcg_" + "_".join(learners)
+    return q
 
 
-def q_model_weights(spark, sf_dir):
-    """Fitted weights per learner and feature (Q75)."""
-    fx = RankFixture(spark, sf_dir)
-    rows = []
-    for learner in ("ols", "ridge", "svm", "svm10"):
-        model, _ = _fit_rank(fx, learner)
-        rows += [(learner, c, float(w)) for c, w in zip(model.cols, model.coef)]
-        rows.append((learner, "intercept", float(model.intercept)))
-    return spark.createDataFrame(rows, "learner string, feature string, weight double")
+def _model_weights(learners):
+    def q(spark, sf_dir):
+        """Fitted weights per learner and feature (Q75), seven digits."""
+        fx = RankFixture(spark, sf_dir)
+        rows = []
+        for learner in learners:
+            model, _ = _memo_fit(fx, learner)
+            rows += [(learner, c, float(f"{w:.7g}") + 0.0) for c, w in [*zip(model.cols, model.coef), ("intercept", model.intercept)]]
+        return spark.createDataFrame(rows, "learner string, feature string, weight double")
+
+    q.__name__ = "q_weights_" + "_".join(learners)
+    return q
+
+
+POINTWISE = ("ols", "ridge")
+LEARNERS = (*POINTWISE, "svm", "svm10")
 
 
 # ---------------------------------------------------------------- text files
@@ -467,8 +586,8 @@ def q_query_file_search(spark, sf_dir):
     lines = q.select(F.col("query_id").alias("k"), "query").unionByName(
         q.select((F.col("query_id") + F.lit(0.5)).alias("k"), F.lit("   ").alias("query")), allowMissingColumns=True)
     lines.orderBy("k").select(F.col("query").alias("value")).write.mode("overwrite").text(qpath)
-    idx = _index(spark, sf_dir)
-    res = bl.boolean_search(tx.read_query_lines(spark, qpath), idx.postings, idx.doc_freq, idx.catalog)
+    _, idx = _stored_index(spark, sf_dir)
+    res = bl.boolean_search(tx.read_query_lines(spark, qpath), idx["postings"], idx["doc_freq"], idx["doc_catalog"])
     return res.select("query", "doc_name")
 
 
@@ -479,9 +598,8 @@ def q_search_stream(spark, sf_dir):
     from quarry.sources import textfiles as tx
     from quarry.streaming.search import read_stream_results, start_search_stream
 
-    ipath, qdir = tx.scratch_path(spark, "index"), tx.scratch_path(spark, "queries")
+    (ipath, _), qdir = _stored_index(spark, sf_dir), tx.scratch_path(spark, "queries")
     out, ck = tx.scratch_path(spark, "stream-out"), tx.scratch_path(spark, "stream-ckpt")
-    _index(spark, sf_dir).write(ipath)
     RankFixture(spark, sf_dir).bool_queries.select("query").write.mode("overwrite").text(qdir)
     start_search_stream(spark, qdir, ipath, out, ck).awaitTermination()
     return read_stream_results(spark, out).select("query", "doc_name")
@@ -497,6 +615,8 @@ QUERIES: dict[str, Query] = {
     "posting_lists": q_posting_lists,
     "doc_freq": q_doc_freq,
     "merge_indexes": q_merge_indexes,
+    "merged_terms": q_merged_terms,
+    "file_corpus_postings": q_file_corpus_postings,
     "gap_encode": q_gap_encode,
     "gap_roundtrip": q_gap_roundtrip,
     "vb_postings": q_vb_postings,
@@ -534,8 +654,14 @@ QUERIES: dict[str, Query] = {
     "rank_ridge": _rank_learner("ridge"),
     "rank_svm": _rank_learner("svm"),
     "rank_svm10": _rank_learner("svm10"),
-    "ltr_ndcg": q_ltr_ndcg,
-    "model_weights": q_model_weights,
+    "ltr_ndcg": _ltr_ndcg(LEARNERS),
+    "model_weights": _model_weights(LEARNERS),
+    "pointwise_ndcg": _ltr_ndcg(POINTWISE),
+    "pointwise_weights": _model_weights(POINTWISE),
+    "feature_labels": q_feature_labels,
+    "pair_gap": q_pair_gap,
+    "svm_certificate": q_svm_certificate,
+    "vector_ops": q_vector_ops,
     "signal_file_scores": q_signal_file_scores,
     "label_file": q_label_file,
     "ranked_file": q_ranked_file,

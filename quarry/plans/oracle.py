@@ -263,11 +263,15 @@ ORACLE["gamma_roundtrip"] = _with(INDEX) + "select term, doc_id from post"
 ORACLE["vb_postings"] = _with(INDEX, GAPS) + f"""select term, chunk, count(*) as n, string_agg({VB_HEX}, '' order by doc_id) as vb
     from vbx group by term, chunk"""
 ORACLE["gamma_postings"] = _with(INDEX, GAPS) + """, c as (
-    select term, chunk, count(*) as n, string_agg(code, '' order by doc_id) as bits from gmx group by term, chunk),
-  t as (select term, sum(length(bits)) as total, max(chunk) as last from c group by term)
-select term, chunk, n,
-       case when chunk = last then bits || repeat('1', cast((8 - total % 8) % 8 as integer)) else bits end as gamma
-from c join t using (term)"""
+    select term, chunk, count(*) as n, sum(length(code)) as b from gmx group by term, chunk),
+  o as (select *, sum(b) over (partition by term order by chunk) as till from c),
+  l as (select term, string_agg(code, '' order by doc_id) as bits from gmx group by term),
+  p as (select term, bits || repeat('1', cast((8 - length(bits) % 8) % 8 as integer)) as bits from l),
+  y as (select term, bits, unnest(range(0, length(bits) // 8)) as at from p),
+  h as (select y.term, o.chunk, o.n, y.at, printf('%02x', list_reduce(list_transform(range(1, 9), lambda i: cast(substr(y.bits, 8 * y.at + i, 1) as integer)), lambda a, x: 2 * a + x)) as hex
+        from y join o on o.term = y.term and 8 * y.at >= o.till - o.b and 8 * y.at < o.till)
+select o.term, o.chunk, o.n, coalesce(string_agg(h.hex, '' order by h.at), '') as gamma
+from o left join h on h.term = o.term and h.chunk = o.chunk group by o.term, o.chunk, o.n"""
 SIZE = """sizes as (
   select term, count(*) as df, cast(sum(length(cast(doc_id as varchar))) + count(*) as bigint) as text_bytes, 4 * count(*) as int32_bytes,
          cast(sum(k) as bigint) as vb_bytes, cast(ceil(sum(2 * length(bin(gap)) - 1) / 8) as bigint) as gamma_bytes
@@ -332,7 +336,7 @@ ORACLE["features5"] = _with(FX, "f5 as (" + _feat(5000) + ")") + "select query_i
     f"round({c}, 9) as {c}" for c in F5_COLS) + " from f5"
 ORACLE["features10"] = _with(FX, F10) + "select query_id, doc_id, " + ", ".join(
     f"round({c}, 9) as {c}" for c in F10_COLS) + " from fx_f10"
-ORACLE["scaled_features"] = _with(FX, F10, _scaled("fx_f10", F10_COLS, "query_id % 4 <> 0")) + "select query_id, doc_id, " + ", ".join(
+ORACLE["scaled_features"] = _with(FX, F10, _scaled("fx_f10", F10_COLS, "query_id % 4 <> 0 and (query_id, doc_id) in (select query_id, doc_id from fx_judged)")) + "select query_id, doc_id, " + ", ".join(
     f"round({c}, 9) as {c}" for c in F10_COLS) + " from scaled"
 ORACLE["pair_count"] = _with(FX) + """select a.query_id, cast(sum(case when a.rel <> b.rel then 1 else 0 end) as bigint) as n_pairs
     from fx_judged a join fx_judged b using (query_id) group by a.query_id"""
@@ -358,3 +362,66 @@ ORACLE["ranked_file"] = _with(FX, _ndcg_sql("fx_score", "bm25f"), QU) + "select
 ORACLE["search_stream"] = "select query, doc_name from (" + ORACLE["boolean_search"] + ")"
 ORACLE["vocab_file_df"] = ORACLE["vocab_df"]
 ORACLE["query_file_search"] = ORACLE["search_stream"]
+
+LABELLED = "f5 as (" + _feat(5000) + "),\nltr as (select f.*, c.rel from f5 f join fx_judged c using (query_id, doc_id))"
+ORACLE["feature_labels"] = _with(FX, LABELLED) + "select query_id, doc_id, " + ", ".join(
+    f"round({c}, 9) as {c}" for c in F5_COLS) + ", rel from ltr where query_id % 4 <> 0"
+
+
+def _normal_equations(name: str, alpha: float) -> str:
+    """CTE ``name`` (w0 .. w4, intercept): centred normal equations over the training rows, eliminated column by column;
+    a column that depends on the ones before it gets weight 0."""
+    d = len(F5_COLS)
+    mean = "select avg(rel) as my, " + ", ".join(f"avg({c}) as m{i}" for i, c in enumerate(F5_COLS)) + " from ltr where query_id % 4 <> 0"
+    x = [f"({c} - m{i})" for i, c in enumerate(F5_COLS)] + ["(rel - my)"]
+    first = [f"sum({x[i]} * {x[j]}) + {alpha if i == j else 0.0} as a{i}_{j}" for i in range(d) for j in range(i, d + 1)]
+    parts = [f"{name}_m as ({mean})", f"{name}_0 as (select {', '.join(first)} from ltr cross join {name}_m where query_id % 4 <> 0)"]
+    cells = [(i, j) for i in range(d) for j in range(i, d + 1)]
+    parts[1] = parts[1].replace("(select ", "(select *, " + ", ".join(f"a{i}_{i} as o{i}" for i in range(d)) + " from (select ", 1) + ")"
+    for k in range(d):
+        step = f"case when a{k}_{k} > 1e-9 * o{k} then a{k}_{{i}} / a{k}_{k} * a{k}_{{j}} else 0 end"
+        cols = [f"a{i}_{j}" + (f" - {step.format(i=i, j=j)} as a{i}_{j}" if i > k else "") for i, j in cells]
+        parts.append(f"{name}_{k + 1} as (select {', '.join(cols + [f'o{i}' for i in range(d)])} from {name}_{k})")
+    last = f"{name}_{d}"
+    for k in reversed(range(d)):
+        rest = "".join(f" - a{k}_{j} * w{j}" for j in range(k + 1, d))
+        parts.append(f"{name}_w{k} as (select *, case when a{k}_{k} > 1e-9 * o{k} then (a{k}_{d}{rest}) / a{k}_{k} else 0 end as w{k} from {last})")
+        last = f"{name}_w{k}"
+    weights = ", ".join(f"w{k}" for k in range(d))
+    parts.append(f"{name} as (select {weights}, my - ({' + '.join(f'w{k} * m{k}' for k in range(d))}) as intercept from {last} cross join {name}_m)")
+    return ",\n".join(parts)
+
+
+def _predicted(name: str) -> str:
+    score = " + ".join(f"w{k} * {c}" for k, c in enumerate(F5_COLS))
+    return f"{name}_p as (select query_id, doc_id, intercept + {score} as score from ltr cross join {name} where query_id % 4 = 0)"
+
+
+POINTWISE = {"ols": 0.0, "ridge": 4.5}
+for _name, _alpha in POINTWISE.items():
+    ORACLE[f"rank_{_name}"] = _with(FX, LABELLED, _normal_equations(_name, _alpha), _predicted(_name)) + _ranked("score") + f" from {_name}_p"
+ORACLE["pointwise_ndcg"] = "\nunion all\n".join(
+    "(select * from (" + _with(FX, LABELLED, _normal_equations(n, a), _predicted(n), _ndcg_sql(f"{n}_p", "score"))
+    + f"select '{n}' as learner, round(avg(ndcg), 9) as mean_ndcg, count(*) as n_queries from nd))" for n, a in POINTWISE.items())
+_SEVEN = "cast(printf('%.7g', value) as double) + 0.0"
+ORACLE["pointwise_weights"] = _with(FX, LABELLED, *(_normal_equations(n, a) for n, a in POINTWISE.items())) + "\nunion all\n".join(
+    f"select '{n}' as learner, '{c}' as feature, {_SEVEN.replace('value', w)} as weight from {n}"
+    for n in POINTWISE for c, w in [*((c, f"w{k}") for k, c in enumerate(F5_COLS)), ("intercept", "intercept")])
+ORACLE["pair_gap"] = ORACLE["pair_hinge"].rsplit("v as (", 1)[0] + """v as (
+    select count(*) as n, sum(h) as loss, """ + ", ".join(f"sum(d_{c}) as g_{c}" for c in F5_COLS) + f""" from pr where h > 0),
+g as (select 6.0 * n as alpha, 0.5 * {sum(x * x for x in _HW)} + 6.0 * loss as primal, 36.0 * ({' + '.join(f'g_{c} * g_{c}' for c in F5_COLS)}) as square, n from v),
+t as (select 'violating' as name, n::double as value from g union all select 'primal', primal from g
+      union all select 'dual', alpha - 0.5 * square from g union all select 'gap', primal - (alpha - 0.5 * square) from g)
+select name, cast(printf('%.9g', value) as double) as value from t"""
+ORACLE["svm_certificate"] = _with(FX) + """, p as (
+    select cast(sum(case when a.rel <> b.rel then 1 else 0 end) as bigint) as n_pairs from fx_judged a join fx_judged b using (query_id) where a.query_id % 4 <> 0)
+select learner, true as certified, n_pairs from p cross join (values ('svm'), ('svm10')) t(learner)"""
+ORACLE["vector_ops"] = _with(FX) + f""", v as (
+    select t.query_id, t.doc_id, t.term, max(q.q_tf) as q_tf, sum(case when field = 'title' then tf else 0 end)::bigint as a, sum(case when field = 'body' then tf else 0 end)::bigint as b, max(p.body_len) as len
+    from fx_tf t join fx_qterm q using (query_id, term) join fx_pair p using (query_id, doc_id) group by t.query_id, t.doc_id, t.term)
+select query_id, doc_id, round(sum({_subl('q_tf')} * {_subl('b')}), 9) as dot, string_agg(cast(b - a as varchar), ',' order by term) as difference,
+       string_agg(printf('%.9f', b::double / (len + 5000)), ',' order by term) as scaled
+from v group by query_id, doc_id"""
+
+ORACLE["merged_terms"] = _with(INDEX, TCAT) + "select term_id, term, df from tcat join dfreq using (term)"
+ORACLE["file_corpus_postings"] = _with(INDEX) + "select term, p.doc_id, doc_name from post p join cat on cat.cid = p.doc_id"

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,20 +54,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss).
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A fresh folder under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/quarry/{label}-{uuid.uuid4().hex}"
 
-    The input is persisted first: a reliable checkpoint writes its files in a
-    second job, which would otherwise compute the whole input again.
-    """
-    from pyspark import StorageLevel
 
-    ensure_checkpoint_dir(df.sparkSession)
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write ``df`` once into the shared checkpoint folder and read it back: cuts the lineage, survives
+    executor loss, and later reads take the columns they need (a checkpointed RDD is read whole)."""
+    path = shared_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 class _Kept(threading.local):
