@@ -52,6 +52,67 @@ def test_merge_equals_index_of_union(spark):
     assert sorted(map(tuple, ix.merge_postings(a, b).collect())) == sorted(map(tuple, idx.postings.collect()))
 
 
+def test_stored_search_prunes_folders_and_reads_two_columns(spark, tmp_path):
+    import io
+    from contextlib import redirect_stdout
+
+    idx = ix.build_index(_corpus(spark))
+    idx.write(str(tmp_path / "index"))
+    stored = ix.load_index(spark, str(tmp_path / "index"))
+    vocab = spark.createDataFrame([("cat", 2), ("sat", 2)], "term string, df long")
+    got = bl.restrict_terms(stored["postings"], vocab)
+    assert sorted(map(tuple, got.collect())) == [("cat", 1), ("cat", 4), ("sat", 2), ("sat", 4)]
+    text = io.StringIO()
+    with redirect_stdout(text):
+        got.explain("formatted")
+    assert "dynamicpruning" in text.getvalue() and "ReadSchema: struct<term:string,doc_id:bigint>" in text.getvalue()
+    q = spark.createDataFrame([(0, "cat the"), (1, "cat zebra")], "query_id long, query string")
+    found = lambda post, df, cat: sorted((r["query_id"], r["doc_name"]) for r in bl.boolean_search(q, post, df, cat).collect())
+    assert found(stored["postings"], stored["doc_freq"], stored["doc_catalog"]) == found(idx.postings, idx.doc_freq, idx.catalog)
+
+
+def _write_blocks(spark, tmp_path, sides):
+    corpus = _corpus(spark)
+    catalog, tokens = ix.doc_catalog(corpus), ix.tokenize(corpus)
+    paths = []
+    for k, side in enumerate(sides):
+        occ = ix.occurrences(tokens, catalog.filter(side))
+        paths.append(str(tmp_path / f"block{k}"))
+        ix.InvertedIndex(catalog.filter(side), occ, ix.postings(occ), ix.doc_freq(ix.postings(occ))).write(paths[-1])
+    return paths
+
+
+def test_stored_merge_is_the_index_of_the_union_and_moves_no_posting(spark, tmp_path, capsys):
+    import pytest
+
+    whole = ix.build_index(_corpus(spark))
+    paths = _write_blocks(spark, tmp_path, ["doc_id > 2", "doc_id <= 2"])
+    ix.merge_indexes(spark, *paths, str(tmp_path / "merged"))
+    merged = ix.load_index(spark, str(tmp_path / "merged"))
+    same = lambda a, b: sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert same(merged["postings"].select("term", "doc_id"), whole.postings)
+    assert same(merged["doc_freq"], whole.doc_freq) and same(merged["doc_catalog"], whole.catalog.select("doc_id", "doc_name"))
+    assert same(merged["term_catalog"], whole.term_catalog())
+    left, right = (ix.load_index(spark, p)["postings"] for p in paths)
+    capsys.readouterr()
+    left.unionByName(right).sortWithinPartitions("bucket", "term", "doc_id").explain()
+    assert "Exchange" not in capsys.readouterr().out
+    overlapping = _write_blocks(spark, tmp_path / "again", ["doc_id <> 2", "doc_id <= 2"])
+    with pytest.raises(ValueError, match="overlap"):
+        ix.merge_indexes(spark, *overlapping, str(tmp_path / "none"))
+
+
+def test_files_of_any_name_and_empty_ones_are_documents(spark, tmp_path):
+    docs = [("b 1", "_hidden", "a b"), ("b 1", ".dot", "c"), ("b 1", "empty", ""), ("é%20", "x y.txt", "d\n e"), ("b 1", "plain", "a")]
+    corpus = spark.createDataFrame(docs, "block string, file string, text string")
+    ix.write_corpus_files(corpus, str(tmp_path / "root"))
+    (tmp_path / "root" / "no block").write_text("not in a folder")
+    back = ix.corpus_from_files(spark, str(tmp_path / "root"), folders_per_task=1)
+    assert sorted((r["block"], r["file"], r["text"]) for r in back.collect()) == sorted(docs)
+    names = [r["doc_name"] for r in ix.doc_catalog(back).orderBy("doc_id").collect()]
+    assert names == ["b 1/.dot", "b 1/_hidden", "b 1/empty", "b 1/plain", "é%20/x y.txt"]
+
+
 def test_corpus_from_files(spark, tmp_path):
     for b, f, t in DOCS:
         (tmp_path / b).mkdir(exist_ok=True)

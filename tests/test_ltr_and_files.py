@@ -2,6 +2,7 @@ import itertools
 import random
 
 import numpy as np
+import pytest
 
 from quarry.operators import ltr as lt
 from quarry.sources import textfiles as tx
@@ -132,17 +133,60 @@ def test_signal_records_tabs_crlf_repeated_url_and_empty_query(spark, tmp_path):
     assert rows[0] == ("", "http://x.y/ab", 0.0, 1.0)  # score 0 plus log10(9 + 1)
 
 
-def test_both_counts_of_violating_pairs_agree_with_brute_force(spark):
-    rows, df = _data(spark, seed=9, nq=4)
-    h = lt.PairwiseHinge(df, ["a", "b", "c"])
-    w = np.array([0.7, -0.4, 0.1])
-    want, grad = 0.0, np.zeros(3)
+def _brute_hinge(rows, w):
+    loss, grad, n = 0.0, np.zeros(3), 0
     for q in {r[0] for r in rows}:
         for i, j in itertools.permutations([r for r in rows if r[0] == q], 2):
             d = np.array(i[3:6]) - np.array(j[3:6])
             if i[2] > j[2] and 1 - w @ d > 0:
-                want, grad = want + 1 - w @ d, grad - d
-    for path in (True, False):  # a window per query, and the range-partitioned scan
-        h.window_path = path
-        loss, g = h.evaluate(w)
-        assert abs(loss - want) < 1e-8 and np.allclose(g, grad, atol=1e-8)
+                loss, grad, n = loss + 1 - w @ d, grad - d, n + 1
+    return loss, grad, n
+
+
+def _continuous(spark, rows):
+    """The same items with a label of their own each, ties among some."""
+    rnd = random.Random(1)
+    rows = [(*r[:2], round(rnd.gauss(0, 1), 1 if r[1] % 3 else 9), *r[3:]) for r in rows]
+    return rows, spark.createDataFrame(rows, "query_id long, doc_id long, rel double, a double, b double, c double, k double")
+
+
+def test_violating_pairs_agree_with_brute_force(spark):
+    rows, df = _data(spark, seed=9, nq=4)
+    weights = [np.array([0.7, -0.4, 0.1]), np.zeros(3), np.array([5.0, 1.0, -3.0])]
+    for rows, df in ((rows, df), _continuous(spark, rows)):  # three levels, and about as many as items
+        h = lt.PairwiseHinge(df, ["a", "b", "c"])
+        assert h.n_pairs() == sum(a[0] == b[0] and a[2] != b[2] for a in rows for b in rows)
+        for w, (loss, grad, n) in zip(weights, h.evaluate_all(weights)):
+            want = _brute_hinge(rows, w)
+            assert abs(loss - want[0]) < 1e-8 and np.allclose(grad, want[1], atol=1e-8) and n == want[2]
+    one_level = lt.PairwiseHinge(df.filter("false"), ["a", "b", "c"])
+    assert one_level.evaluate_all([np.zeros(3)])[0][0] == 0.0
+
+
+def test_svm_objective_is_within_its_certified_gap(spark):
+    rows, df = _data(spark, seed=2, nq=5)
+    m = lt.fit_pairwise_svm(df, ["a", "b", "c"], c=3.0, gap=1e-4)
+    assert abs(m.primal - _objective(rows, m.coef, 3.0)) < 1e-6 * m.primal
+    assert 0 <= m.primal - m.lower <= 1e-4 * m.primal
+    rnd = np.random.default_rng(1)
+    for scale in (1.0, 1e-1, 1e-2, 1e-3):  # no weights are below the bound
+        for _ in range(20):
+            assert _objective(rows, m.coef + rnd.normal(0, scale, 3), 3.0) >= m.lower * (1 - 1e-9)
+    with pytest.raises(RuntimeError, match="lower bound"):
+        lt.fit_pairwise_svm(df, ["a", "b", "c"], c=3.0, gap=1e-12, max_rounds=1)
+
+
+def test_dependent_columns_get_no_weight(spark):
+    rows, df = _data(spark)
+    df = df.withColumn("sum", df["a"] + df["b"])
+    m, short = lt.fit_least_squares(df, ["a", "b", "sum", "c"]), lt.fit_least_squares(df, ["a", "b", "c"])
+    assert m.coef[2] == 0.0 and np.allclose(m.coef[[0, 1, 3]], short.coef, atol=1e-9)
+
+
+def test_a_missing_label_is_an_error_in_training(spark):
+    f = spark.createDataFrame([(1, 1, 0.5), (1, 2, 0.1)], "query_id long, doc_id long, a double")
+    full = spark.createDataFrame([(1, 1, 1.0), (1, 2, 0.0), (2, 9, 1.0)], "query_id long, doc_id long, rel double")
+    assert sorted(map(tuple, lt.labelled(f, full).collect())) == [(1, 1, 0.5, 1.0), (1, 2, 0.1, 0.0)]
+    for part in (full.filter("doc_id = 1"), full.selectExpr("query_id", "doc_id", "if(doc_id = 2, null, rel) as rel")):
+        with pytest.raises(Exception, match="without a relevance label"):
+            lt.labelled(f, part).collect()

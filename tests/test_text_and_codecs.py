@@ -100,8 +100,22 @@ def test_one_term_in_many_chunks_and_no_shuffle_of_arrays_by_term(spark):
         for block in text.getvalue().split("\n\n"):
             if ") Window" in block.split("\n")[0]:
                 assert "doc_ids" not in block and "gaps" not in block and "bits" not in block
-    total = "".join(r["gamma"] for r in cz.gamma_postings(post, chunk=64).filter("term = 'the'").orderBy("chunk").collect())
-    assert len(total) % 8 == 0
+
+
+def test_gamma_bytes_of_many_chunks_join_to_the_stream_of_the_list(spark):
+    """Chunks of any size, down to one id: bytes on their borders are merged, the last byte is filled with ones."""
+    rnd = random.Random(4)
+    lists = {f"t{k}": sorted(rnd.sample(range(1, 400), rnd.randint(1, 60))) for k in range(12)}
+    lists |= {"all": list(range(1, 100)), "one": [1], "far": [399]}
+    post = spark.createDataFrame([(t, i) for t, ids in lists.items() for i in ids], "term string, doc_id long")
+    for chunk in (1, 7, 64, 1000):
+        coded = cz.gamma_postings(post, chunk=chunk)
+        rows = coded.orderBy("term", "chunk").collect()
+        for t, ids in lists.items():
+            bits = "".join(_gamma(b - a) for a, b in zip([0, *ids[:-1]], ids))
+            bits += "1" * (-len(bits) % 8)
+            assert b"".join(bytes(r["gamma"]) for r in rows if r["term"] == t) == int(bits, 2).to_bytes(len(bits) // 8, "big")
+        assert sorted(map(tuple, cz.gamma_roundtrip(coded).collect())) == sorted((t, i) for t, ids in lists.items() for i in ids)
 
 
 def test_vector_helpers(spark):
