@@ -6,7 +6,7 @@ the rest is the body, and two docs in three carry an anchor (the title,
 counted ``doc_id % 5 + 1`` times). A query is two to five terms of a ``benchmark``
 text: its most frequent ones, or, of every fourth item, its first words. The candidates of a query
 are a fixed number of documents, as a search engine's first stage gives them: of those with all its terms, or all
-but one of three or more, the ones with most terms, then most occurrences. Relevance is
+but one of three or more, the ones with most terms, then fewest occurrences (short ones). Relevance is
 ``quality - toxic`` from ``labels`` and is used by NDCG and the learners only.
 Every view reads whole tables; the number of pairs grows with the queries alone.
 """
@@ -143,7 +143,7 @@ class RankFixture:
 
     @cached_property
     def cand(self) -> DataFrame:
-        """(query_id, doc_id): the CANDIDATES documents with most of a query's terms, then most occurrences, then the smaller id.
+        """(query_id, doc_id): the CANDIDATES documents with most of a query's terms, then fewest occurrences, then the smaller id.
 
         A document may miss one term of three or more, none of fewer: so it has one of the two rarest (or the rarest), and only
         those documents meet the other terms.
@@ -156,7 +156,7 @@ class RankFixture:
         seeds = doc_terms.join(q.filter(F.col("rn") <= F.col("t") - F.col("need") + 1).select("query_id", "term"), "term").select("query_id", "doc_id").distinct()
         had = seeds.join(q.select("query_id", "term", "need"), "query_id").join(doc_terms, ["doc_id", "term"])
         had = had.groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("k"), F.max("need").alias("need"), F.sum("n").alias("n")).filter(F.col("k") >= F.col("need"))
-        best = Window.partitionBy("query_id").orderBy(F.col("k").desc(), F.col("n").desc(), "doc_id")  # cut per task before the shuffle
+        best = Window.partitionBy("query_id").orderBy(F.col("k").desc(), "n", "doc_id")  # cut per task before the shuffle
         return reused(had.withColumn("rk", F.row_number().over(best)).filter(F.col("rk") <= CANDIDATES).select("query_id", "doc_id"))
 
     @cached_property

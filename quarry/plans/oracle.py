@@ -84,7 +84,7 @@ fx_query as (
 fx_dt as (select doc_id, term, count(*) as n from fx_tok where term in (select term from fx_qterm) group by doc_id, term),
 fx_cand as (
   select query_id, doc_id
-  from (select query_id, doc_id, row_number() over (partition by query_id order by k desc, n desc, doc_id) as rk
+  from (select query_id, doc_id, row_number() over (partition by query_id order by k desc, n, doc_id) as rk
         from (select q.query_id, d.doc_id, count(*) as k, sum(d.n) as n from fx_qterm q join fx_dt d using (term) group by q.query_id, d.doc_id) m
         join (select query_id, count(*) as t from fx_qterm group by query_id) using (query_id)
         where k >= greatest(t - 1, least(t, 2)))
