@@ -38,6 +38,7 @@ from quarry.llm.sampling import bounded_sample, held_out
 
 ORDER = 4
 PER_LANGUAGE = 300
+MAX_LANGUAGES = 256  # learned, those with most labelled texts
 MAX_CHARS = 8_000
 UNKNOWN = "und"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -237,12 +238,15 @@ class Scorer:
         return [langs[b] if ok else UNKNOWN for b, ok in zip(best, letters, strict=True)], np.where(letters, share, 0.0)
 
 
-def fit(docs: DataFrame, order: int = ORDER, per_language: int = PER_LANGUAGE, max_chars: int = MAX_CHARS) -> PPM:
+def fit(docs: DataFrame, order: int = ORDER, per_language: int = PER_LANGUAGE, max_chars: int = MAX_CHARS, max_languages: int = MAX_LANGUAGES) -> PPM:
     # The first ``max_chars`` characters of a longer text.
     rows = docs.select("doc_id", F.substring("text", 1, max_chars).alias("text"), "lang").where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") > 0) & ~held_out(F.col("doc_id")))
+    # Values that few texts have (a column filled with junk has any number of them) are not learned beyond the bound.
+    largest = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "lang").limit(max_languages)
+    rows = rows.join(F.broadcast(largest.select("lang")), "lang", "left_semi")
     samples: dict[str, list[bytes]] = {}
-    for r in bounded_sample(rows, "lang", "doc_id", per_language).collect():  # at most languages x per_language texts
+    for r in bounded_sample(rows, "lang", "doc_id", per_language).collect():  # at most max_languages x per_language texts
         samples.setdefault(r["lang"], []).append(r["text"].encode())
     return PPM({k: sorted(v) for k, v in samples.items()}, order)
 

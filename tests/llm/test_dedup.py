@@ -194,6 +194,25 @@ def planted(rng, n=60):
     return docs
 
 
+def test_passages_just_under_and_over_400_bytes(spark):
+    """The contract counts bytes: a repeated passage of over 50 words is removed from 400 bytes on, and left below."""
+    rng = random.Random(12)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    filler = lambda: " ".join(word(6) for _ in range(40))
+    rows, want = [], {}
+    for k, size in enumerate((300, 398, 399, 400, 401, 700)):
+        passage = " ".join(word(5) for _ in range(130))[:size]
+        assert len(passage.split()) >= 50
+        for copy in (0, 1):
+            # Different bytes on both sides, so that nothing beside the passage agrees.
+            rows.append((10 * k + copy, filler() + "XY"[copy] + passage + "VW"[copy] + filler()))
+            want[10 * k + copy] = size if size >= 400 else 0
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = suffix_dedup.remove_repeats(docs).collect()
+    assert {r["doc_id"]: r["n_removed"] for r in out} == want
+    assert {r["doc_id"]: r["n_spans"] for r in out} == {k: int(v > 0) for k, v in want.items()}
+
+
 def test_repeated_strings_against_brute_force(spark, edge_docs, no_docs):
     for seed, length, window, class_rows in ((1, 60, 20, 2000), (2, 60, 20, 2), (3, 100, 40, 2000)):
         docs = planted(random.Random(seed))

@@ -191,6 +191,17 @@ def test_labelled_texts_longer_than_the_bound_are_learned_from(spark):
     assert toxicity.fit(df, labels, max_chars=100) is not None
 
 
+def test_languages_are_bounded_by_support(spark):
+    """A language column full of junk: the values with most texts are learned, whatever number there is."""
+    words = {"en": "the house and the river are there with many words", "de": "das haus und der fluss sind dort mit vielen worten"}
+    docs = [(k, " ".join([words[lang]] * 3) + f" {k}", lang) for k, lang in enumerate(["en", "de"] * 20)]
+    junk = [(1000 + k, f"zz{k} qq{k}", f"junk{k:03d}") for k in range(60)]
+    df = spark.createDataFrame(docs + junk, "doc_id bigint, text string, lang string")
+    assert sorted(langid.fit(df, max_languages=2).languages) == ["de", "en"]
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(df, langid.fit(df, max_languages=2)).collect()}
+    assert all(got[k] == lang for k, _, lang in docs) and set(got.values()) == {"de", "en"}
+
+
 def test_a_window_is_scored_at_every_word():
     rng = random.Random(3)
     texts = [" ".join(rng.choice(["idiot", "nice", "day", "word"]) + str(rng.randint(0, 9)) for _ in range(70)) for _ in range(20)]
