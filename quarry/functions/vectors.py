@@ -21,7 +21,7 @@ def sublinear_array(v) -> Column:
 
 
 def _same_length(a: Column, b: Column, out: Column) -> Column:
-    return F.when(F.size(a) == F.size(b), out).otherwise(F.raise_error(F.lit("vectors are of different length")))
+    return F.when(F.size(a) == F.size(b), out).otherwise(F.raise_error(F.lit("array lengths differ")))
 
 
 def dot(a, b) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from quarry.functions.text import ascii_strip, ws_terms
 from quarry.operators.index import term_bucket
 from quarry.operators.numbering import number_rows
-from quarry.session import checked_broadcast, reused
+from quarry.session import checked_broadcast, checkpointed
 
 NO_RESULTS = "no results found"
 
@@ -56,7 +56,7 @@ def boolean_search(queries: DataFrame, postings: DataFrame, doc_freq: DataFrame,
     queries = query_lines(queries)
     # one lookup of every (query, term) in the df table serves both the unknown-term
     # check and the rarest-first order
-    looked = reused(query_term_set(queries).join(doc_freq, "term", "left"))
+    looked = checkpointed(query_term_set(queries).join(doc_freq, "term", "left"))
     bad = looked.filter(F.col("df").isNull()).select("query_id").distinct()
     known = looked.join(bad, "query_id", "left_anti")
     qt = known.withColumn("ord", F.row_number().over(Window.partitionBy("query_id").orderBy("df", "term")).cast("bigint"))
@@ -64,7 +64,7 @@ def boolean_search(queries: DataFrame, postings: DataFrame, doc_freq: DataFrame,
     n_terms = qt.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_terms"))
 
     # Postings of the batch vocabulary only (each list read once per batch).
-    batch_post = reused(restrict_terms(postings, qt))
+    batch_post = checkpointed(restrict_terms(postings, qt))
 
     seed = qt.filter(F.col("ord") == 1).select("query_id", "term").join(batch_post, "term").select("query_id", "doc_id")
     # Every candidate x every term of its query (the seed term matches trivially).
@@ -77,7 +77,7 @@ def boolean_search(queries: DataFrame, postings: DataFrame, doc_freq: DataFrame,
         .filter(F.col("k") == F.col("n_terms"))
         .select("query_id", "doc_id")
     )
-    matched = reused(matched)  # read by the hit rows and by the no-result check
+    matched = checkpointed(matched)  # read by the hit rows and by the no-result check
     names = matched.join(catalog.select("doc_id", "doc_name"), "doc_id").select("query_id", "doc_name")
     # Results take their query text from a broadcast side: a query with millions of hits
     # is never shuffled onto one task by query_id. Queries without hits get the sentinel.

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions import codecs
 from quarry.operators.index import POSTING_CHUNK, posting_lists
-from quarry.session import reused
+from quarry.session import checkpointed
 
 
 def _with_base(chunks: DataFrame, end: str, running: bool) -> DataFrame:
@@ -35,7 +35,7 @@ def _with_base(chunks: DataFrame, end: str, running: bool) -> DataFrame:
 
 def gap_lists(post: DataFrame, chunk: int = POSTING_CHUNK) -> DataFrame:
     """(term, chunk, n, doc_ids, gaps): d-gaps of every chunk (Q34). Postings are aggregated once."""
-    pl = reused(posting_lists(post, chunk).withColumn("end", F.element_at("doc_ids", -1)))
+    pl = checkpointed(posting_lists(post, chunk).withColumn("end", F.element_at("doc_ids", -1)))
     pl = _with_base(pl, "end", running=False)
     gaps = F.transform(
         "doc_ids", lambda x, i: x - F.when(i == 0, F.col("base")).otherwise(F.element_at("doc_ids", i))
@@ -55,7 +55,7 @@ def decode_gaps(chunks: DataFrame, gaps_col: str = "gaps") -> DataFrame:
     """(term, doc_id) from per-chunk gap arrays: a running sum inside each chunk
     (window bounded by the chunk size) plus the sum of the earlier chunks (Q35)."""
     c = chunks.select("term", "chunk", gaps_col, F.aggregate(gaps_col, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("chunk_sum"))
-    c = _with_base(reused(c), "chunk_sum", running=True)
+    c = _with_base(checkpointed(c), "chunk_sum", running=True)
     e = c.select("term", "chunk", "base", F.posexplode(gaps_col).alias("i", "gap"))
     run = Window.partitionBy("term", "chunk").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return e.select("term", (F.col("base") + F.sum("gap").over(run)).cast("bigint").alias("doc_id"))
@@ -81,7 +81,7 @@ def gamma_postings(post: DataFrame, chunk: int = POSTING_CHUNK) -> DataFrame:
     """
     g = gap_lists(post, chunk)
     code_len = F.aggregate("gaps", F.lit(0).cast("bigint"), lambda a, x: a + codecs.gamma_bits(x))
-    g = reused(_with_base(reused(g.select("term", "chunk", "n", codecs.gamma_encode(F.col("gaps")).alias("bits"), code_len.alias("code_len"))), "code_len", running=True))
+    g = checkpointed(_with_base(checkpointed(g.select("term", "chunk", "n", codecs.gamma_encode(F.col("gaps")).alias("bits"), code_len.alias("code_len"))), "code_len", running=True))
     end = F.col("base") + F.col("code_len")
     head = F.least(F.pmod(-F.col("base"), F.lit(8)), F.col("code_len"))  # bits of a byte that an earlier chunk owns
     byte = F.floor(F.col("base") / 8).cast("bigint")
@@ -111,8 +111,8 @@ def gamma_roundtrip(gam: DataFrame) -> DataFrame:
     A chunk takes back the bits at its end that the next chunks' bytes or its own last byte hold: its codes are the
     bits from its offset on, over its own bytes and the last byte of the chunk before.
     """
-    g = _with_base(reused(gam), "code_len", running=True)
-    g = reused(g.withColumn("first", F.ceil(F.col("base") / 8).cast("bigint")).withColumn("hex", F.hex("gamma")))
+    g = _with_base(checkpointed(gam), "code_len", running=True)
+    g = checkpointed(g.withColumn("first", F.ceil(F.col("base") / 8).cast("bigint")).withColumn("hex", F.hex("gamma")))
     # The byte in which a chunk begins, if another owns it: the owner's last one.
     lasts = g.filter(F.length("hex") > 0).select("term", (F.col("first") + F.length("hex") / 2 - 1).cast("bigint").alias("at"), F.substring("hex", -2, 2).alias("shared"))
     g = g.withColumn("at", F.floor(F.col("base") / 8).cast("bigint")).join(lasts, ["term", "at"], "left")

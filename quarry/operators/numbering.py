@@ -7,8 +7,8 @@ third of the data is cut into many partitions. Each sorted partition is
 numbered by ``monotonically_increasing_id`` (its low 33 bits are the row
 index inside the partition); a per-(partition, group) count table -- at
 most partitions + groups rows -- turns those into global positions.
-The partitioned rows are checkpointed into the shared checkpoint folder
-so both passes see the same partition assignment and survive executor loss.
+The rows are written into the shared checkpoint folder before and after they are
+partitioned, so both passes see the same assignment and survive executor loss.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.session import checked_broadcast, checkpointed, reused
+from quarry.session import checked_broadcast, checkpointed
 
 def number_rows(
     df: DataFrame,
@@ -33,7 +33,7 @@ def number_rows(
     ``group_by + order_by`` must be a total order (unique per row); ties would
     make the numbering depend on shuffle fetch order.
     """
-    df = reused(df)  # range partitioning samples its input before it reads it
+    df = checkpointed(df)  # range partitioning samples its input before it reads it
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) if isinstance(c, str) else c for c in [*group_by, *order_by]]

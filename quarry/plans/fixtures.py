@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.text import ascii_lower, ws_terms
 from quarry.operators import signals as sig
-from quarry.session import checked_broadcast, reused
+from quarry.session import checked_broadcast, checkpointed
 from quarry.sources.tables import table
 
 # Terms of a query: QUERY_TERMS, and up to QUERY_SPAN - 1 more by item.
@@ -67,7 +67,8 @@ def field_tokens(inst: DataFrame) -> DataFrame:
 
 @dataclass
 class RankFixture:
-    """Lazily built views; each property is one DataFrame plan."""
+    """Lazily built views; those that several plans share are written once, so that plans stay short (a cached
+    table's plan is part of every plan over it)."""
 
     spark: SparkSession
     sf_dir: str
@@ -90,7 +91,7 @@ class RankFixture:
         # distinct terms per body before exploding: one row per (term, doc), no shuffle-side distinct
         body = self.inst.filter(F.col("field") == "body").select(F.explode(F.array_distinct(_inst_terms())).alias("term"))
         body = body.join(checked_broadcast(self.bench_terms.select("term").distinct()), "term", "left_semi")
-        return reused(body.groupBy("term").agg((F.count(F.lit(1)) + 1).alias("df")))
+        return checkpointed(body.groupBy("term").agg((F.count(F.lit(1)) + 1).alias("df")))
 
     @cached_property
     def bench_terms(self) -> DataFrame:
@@ -107,11 +108,11 @@ class RankFixture:
         frequent = F.when(F.col("query_id") % QUERY_SPAN != QUERY_SPAN - 1, -F.col("df")).otherwise(F.col("pos"))
         rn = F.row_number().over(Window.partitionBy("query_id").orderBy(frequent, "term"))  # the words of one benchmark text
         chosen = r.withColumn("rn", rn).filter(F.col("rn") <= QUERY_TERMS + F.col("query_id") % QUERY_SPAN)
-        chosen = reused(chosen.select("query_id", "term", "df"))
+        chosen = checkpointed(chosen.select("query_id", "term", "df"))
         # Items with the same query ask it once.
         same = chosen.groupBy("query_id").agg(F.array_sort(F.collect_list("term")).alias("terms"))
         once = same.groupBy("terms", F.col("query_id") % REPEAT_EVERY == 0).agg(F.min("query_id").alias("query_id")).select("query_id")
-        return reused(chosen.join(once, "query_id", "left_semi"))
+        return checkpointed(chosen.join(once, "query_id", "left_semi"))
 
     @cached_property
     def queries(self) -> DataFrame:
@@ -133,13 +134,13 @@ class RankFixture:
     @cached_property
     def vocab_tok(self) -> DataFrame:
         """Field tokens that are a term of any query; counted, the vocabulary is broadcast."""
-        return reused(self.tok.join(checked_broadcast(self.qterm.select("term").distinct()), "term", "left_semi"))
+        return checkpointed(self.tok.join(checked_broadcast(self.qterm.select("term").distinct()), "term", "left_semi"))
 
     @cached_property
     def doc_tf(self) -> DataFrame:
         """(doc_id, term, field, weight, n): weighted and plain count of a query term in a document's field, over all queries once."""
         counts = self.vocab_tok.groupBy("doc_id", "term", "field").agg(F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("n"))
-        return reused(counts)
+        return checkpointed(counts)
 
     @cached_property
     def cand(self) -> DataFrame:
@@ -148,7 +149,7 @@ class RankFixture:
         A document may miss one term of three or more, none of fewer: so it has one of the two rarest (or the rarest), and only
         those documents meet the other terms.
         """
-        doc_terms = reused(self.doc_tf.groupBy("doc_id", "term").agg(F.sum("n").alias("n")))
+        doc_terms = self.doc_tf.groupBy("doc_id", "term").agg(F.sum("n").alias("n"))
         per = Window.partitionBy("query_id")
         q = self.qterm.select("query_id", "term", F.count(F.lit(1)).over(per).alias("t"), F.row_number().over(per.orderBy("df", "term")).alias("rn"))
         q = q.withColumn("need", F.greatest(F.col("t") - 1, F.least("t", F.lit(2))))
@@ -157,7 +158,7 @@ class RankFixture:
         had = seeds.join(q.select("query_id", "term", "need"), "query_id").join(doc_terms, ["doc_id", "term"])
         had = had.groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).alias("k"), F.max("need").alias("need"), F.sum("n").alias("n")).filter(F.col("k") >= F.col("need"))
         best = Window.partitionBy("query_id").orderBy(F.col("k").desc(), "n", "doc_id")  # cut per task before the shuffle
-        return reused(had.withColumn("rk", F.row_number().over(best)).filter(F.col("rk") <= CANDIDATES).select("query_id", "doc_id"))
+        return checkpointed(had.withColumn("rk", F.row_number().over(best)).filter(F.col("rk") <= CANDIDATES).select("query_id", "doc_id"))
 
     @cached_property
     def pair_tf(self) -> DataFrame:
@@ -179,7 +180,7 @@ class RankFixture:
     @cached_property
     def judged(self) -> DataFrame:
         """(query_id, doc_id, rel): the candidates that have a label."""
-        return reused(self.cand.join(self.labels, "doc_id").select("query_id", "doc_id", "rel"))
+        return checkpointed(self.cand.join(self.labels, "doc_id").select("query_id", "doc_id", "rel"))
 
     @cached_property
     def lens(self) -> DataFrame:
@@ -194,7 +195,7 @@ class RankFixture:
         urls = self.inst.filter(F.col("field") == "url").select("doc_id", F.col("txt").alias("url"))
         s = self.cand.select("query_id", "doc_id").join(self.lens, "doc_id").join(urls, "doc_id")
         s = s.withColumn("body_length", F.col("len_body")).withColumn("pagerank", (F.col("doc_id") % 10).cast("bigint"))
-        return reused(s)
+        return checkpointed(s)
 
     @cached_property
     def qvec(self) -> DataFrame:

@@ -99,8 +99,8 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     """Broadcast ``df`` only after counting it; larger sides stay shuffle joins
     (AQE may still convert them at run time, and splits skewed partitions).
 
-    The side is persisted first, so counting it does not compute it twice.
+    The side is written first, so counting it does not compute it twice and the plan over it stays short.
     """
-    df = reused(df)
+    df = checkpointed(df)
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df

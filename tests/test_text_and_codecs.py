@@ -129,5 +129,5 @@ def test_vector_helpers(spark):
     assert abs(got[0][3][0] - 1.4771212547196624) < 1e-12
     uneven = spark.createDataFrame([([1.0], [1.0, 2.0])], "a array<double>, b array<double>")
     for op in (v.dot, v.vec_diff):
-        with pytest.raises(Exception, match="different length"):
+        with pytest.raises(Exception, match="lengths differ"):
             uneven.select(op("a", "b")).collect()
