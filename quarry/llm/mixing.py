@@ -114,7 +114,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, p
     """One row per document: doc_id, size, source_size, target (its source's), taken (words the mix takes of it, repeats counted)."""
     sized = sizes(docs, prefer)
     targets = source_targets(sized, weights, most)
-    rows = sized.join(checked_broadcast(targets), sized["source"].eqNullSafe(targets["source"])).drop("source")
+    small = checked_broadcast(targets)
+    rows = sized.join(small, sized["source"].eqNullSafe(small["source"])).drop("source")
     rows = rows.select("doc_id", "nth", "size", "prefer", "source_size", "target")
     level = levels(rows.select("nth", (F.col("prefer") * F.col("size")).alias("share"), "size"), targets.select("nth", F.col("target").alias("budget")), most)
     level = shared_table(level, "document-levels")
