@@ -33,6 +33,16 @@ def shared_table(df: DataFrame, label: str, **options) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables made by ``shared_table`` that no later step reads; what follows from them is written already."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if "/quarry-llm/" in folder:
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def content_key(text: Column) -> Column:
     """128-bit content hash (MD5 of the UTF-8 bytes) as BINARY."""
     return F.unhex(F.md5(text.cast("binary")))

@@ -1,5 +1,6 @@
 import hashlib
 import math
+import os
 import random
 from collections import Counter, defaultdict
 
@@ -328,16 +329,6 @@ def test_passages_against_brute_force(spark, edge_docs, no_docs):
     assert rows(passages.near_duplicate_passages(no_docs)) == []
 
 
-def test_similar_runs_need_the_similarity():
-    a = np.arange(200, dtype=np.uint64)
-    b = a.copy()
-    assert passages.similar_runs(a, b, [0, 0, 3], 46, 0.8) == [(0, 0, 200)]
-    b[20:200:8] = 10_000 + np.arange(len(b[20:200:8]), dtype=np.uint64)  # 5 to 6 of 46 differ, more than 0.8 allows where 6 do
-    runs = passages.similar_runs(a, b, [0], 46, 0.8)
-    good = [k for k in range(155) if (a[k : k + 46] == b[k : k + 46]).sum() >= 41]
-    assert sorted({k for s, _, n in runs for k in range(s, s + n - 45)}) == good
-
-
 def brute_alike(a, b, least=46, similarity=0.8):
     """Shingles of either text in runs of ``least`` with a run of the other whose set of shingles is similar."""
     cover = np.zeros(len(a), bool), np.zeros(len(b), bool)
@@ -443,6 +434,45 @@ def test_runs_with_a_replaced_word_are_missed_one_time_in_125_at_most(spark):
     assert missed <= 8
 
 
+def test_similar_passages_with_a_frequent_line_are_found(spark):
+    """Recall where a third of a passage's signatures are frequent: a 20-word line of 400 texts, passages with a replaced word."""
+    rng = random.Random(12)
+    text = lambda n: [f"w{rng.randint(0, 100_000)}" for _ in range(n)]
+    line = text(20)
+    docs = [text(30) + line + text(30) for _ in range(200)]
+    first = len(docs)
+    for _ in range(100):
+        rest = text(40)
+        other = list(rest)
+        other[rng.randint(5, 34)] = "replaced"
+        docs += [text(15) + line + x + text(15) for x in (rest, other)]
+    got = spans_of(docs, spark)
+    assert not any(got[k][0].any() for k in range(first))
+    found = sum(got[k][0].any() and got[k][1]["class_id"] == got[k + 1][1]["class_id"] for k in range(first, len(docs), 2))
+    assert found >= 95
+
+
+def test_links_of_a_group_form_a_star(spark):
+    rng = random.Random(13)
+    text = lambda n: [f"w{rng.randint(0, 100_000)}" for _ in range(n)]
+    shared = text(60)
+    docs = [text(20) + shared + text(20) for _ in range(30)] + [text(100)]
+    docs.append(docs[0])
+    got = spans_of(docs, spark)
+    assert len({got[k][1]["class_id"] for k in range(30)}) == 1
+    assert all(got[k][0][20:80].all() and got[k][1]["n_links"] >= 1 for k in range(30))
+    assert got[30][1]["n_links"] == 0 and got[31][1]["class_id"] == got[0][1]["class_id"]
+
+
+def test_dropped_tables_leave_others(spark):
+    from quarry.llm.common import dropped, shared_table
+
+    one, other = (shared_table(spark.range(5).coalesce(1), "drop-test") for _ in range(2))
+    files = [f.removeprefix("file://").removeprefix("file:") for f in (one.inputFiles()[0], other.inputFiles()[0])]
+    dropped(one)
+    assert not os.path.exists(files[0]) and os.path.exists(files[1]) and other.count() == 5
+
+
 def test_batches_are_cut_by_text_size():
     from quarry.llm.common import byte_rows, text_slices
 
