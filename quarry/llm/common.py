@@ -34,13 +34,19 @@ def shared_table(df: DataFrame, label: str, **options) -> DataFrame:
 
 
 def dropped(*tables: DataFrame) -> None:
-    """Delete tables made by ``shared_table`` that no later step reads; what follows from them is written already."""
+    """Delete tables made by ``shared_table`` that no later step reads; what follows from them is written already.
+
+    Spark deletes the shuffle files of finished steps when the driver's garbage collector finds them
+    unused, which by itself it does every half hour: it is asked to here.
+    """
     for df in tables:
         spark = df.sparkSession
         for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             if "/quarry-llm/" in folder:
                 path = spark._jvm.org.apache.hadoop.fs.Path(folder)
                 path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+    if tables:
+        tables[0].sparkSession._jvm.System.gc()
 
 
 def content_key(text: Column) -> Column:
