@@ -7,11 +7,13 @@ import tempfile
 import threading
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, NumericType, StringType, StructType, VariantType
 
-# Row bound under which a derived side is broadcast after an explicit count.
+# Bounds under which a derived side is broadcast, both measured before.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 128 << 20
 
 
 def get_spark(master: str | None = None, partitions: int | None = None, app: str = "quarry") -> SparkSession:
@@ -95,12 +97,26 @@ def release_cached() -> None:
         _KEPT.tables.pop().unpersist(blocking=False)
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after counting it; larger sides stay shuffle joins
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes a row takes in memory: a header, a word for each column, and what strings, binaries and collections hold."""
+    size = F.lit(16 + 8 * len(df.columns)).cast("bigint")
+    for field in df.schema.fields:
+        col = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            size = size + F.coalesce(F.octet_length(col), F.lit(0))
+        elif isinstance(field.dataType, ArrayType) and isinstance(field.dataType.elementType, NumericType):
+            size = size + F.lit(8) * F.greatest(F.size(col), F.lit(0))
+        elif isinstance(field.dataType, (ArrayType, MapType, StructType, VariantType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(col))), F.lit(0))
+    return size
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only after counting its rows and bytes; larger sides stay shuffle joins
     (AQE may still convert them at run time, and splits skewed partitions).
 
-    The side is written first, so counting it does not compute it twice and the plan over it stays short.
+    The side is written first, so measuring it does not compute it twice and the plan over it stays short.
     """
     df = checkpointed(df)
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    n, size = df.agg(F.count(F.lit(1)), F.sum(row_bytes(df))).first()
+    return F.broadcast(df) if n <= max_rows and (size or 0) <= max_bytes else df

@@ -96,3 +96,20 @@ def test_number_rows_hot_group(spark):
             assert got[(g, r[2])] == k
     flat = number_rows(df.select("i"), ["i"], "id", start=0, num_partitions=5)
     assert sorted((r["i"], r["id"]) for r in flat.collect()) == [(i, i) for i in range(3000)]
+
+
+def test_broadcast_is_bounded_by_rows_and_bytes(spark):
+    from quarry.session import checked_broadcast, row_bytes
+
+    def is_broadcast(df):
+        return "ResolvedHint (strategy=broadcast)" in df._jdf.queryExecution().analyzed().toString()
+
+    df = spark.createDataFrame([(1, "x" * 1000, [1.0, 2.0], {"k": "v"}), (2, None, None, None)],
+                               "a long, `t.x` string, v array<double>, m map<string,string>")
+    long_row, null_row = [r[0] for r in df.orderBy("a").select(row_bytes(df)).collect()]
+    assert long_row >= 48 + 1000 + 16 and 48 <= null_row < 100
+    assert is_broadcast(checked_broadcast(df))
+    assert not is_broadcast(checked_broadcast(df, max_rows=1))
+    assert not is_broadcast(checked_broadcast(df, max_bytes=1000))
+    empty = checked_broadcast(df.where("false"))
+    assert is_broadcast(empty) and empty.count() == 0
