@@ -20,6 +20,9 @@ from quarry.operators.numbering import number_rows
 POSTING_CHUNK = 1 << 16
 # Folders of a stored index's postings, by a hash of the term.
 BUCKETS = 16
+# Files, or characters of text, that a scan of a file corpus hands on at a time.
+FILES_A_BATCH = 256
+TEXT_A_BATCH = 1 << 20
 
 
 def corpus_from_documents(documents: DataFrame) -> DataFrame:
@@ -41,29 +44,49 @@ def _file_system(path: str):
 def corpus_from_files(spark: SparkSession, root: str, folders_per_task: int = 16) -> DataFrame:
     """Corpus scan of ``root/<block>/<file>`` plain-text files (Q01).
 
-    The driver lists the block folders; tasks list the files of their folders and read
-    them. Names are what the file system has (a scan by path would leave out empty files and those that begin
-    with ``_`` or ``.``, and encode blanks). Bytes that are not UTF-8 become replacement characters. ``root`` is a
-    path that the executors reach through Arrow's file systems (local or mounted, hdfs, s3, gcs).
+    The driver lists the block folders; tasks list the files of their folders, and the files, dealt over all tasks whatever
+    their folder, are read once into a table: a plan over the listing would be taken for as small as the list of
+    folders, and what is joined to it be broadcast. Names are what the file system has (a scan by path would leave out empty
+    files and those that begin with ``_`` or ``.``, and encode blanks). Bytes that are not UTF-8 become replacement
+    characters. ``root`` is a path that the executors reach through Arrow's file systems (local or mounted, hdfs, s3, gcs).
     """
     from pyarrow import fs as afs
 
+    from quarry.session import checkpointed
+
     store, at = _file_system(root.rstrip("/"))
     blocks = sorted(f.base_name for f in store.get_file_info(afs.FileSelector(at)) if f.type == afs.FileType.Directory)
-    listed = spark.createDataFrame([(b,) for b in blocks], "block string").repartition(max(1, -(-len(blocks) // folders_per_task)))
+    folders = spark.createDataFrame([(b,) for b in blocks], "block string").repartition(max(1, -(-len(blocks) // folders_per_task)))
 
-    def scan(batches):
+    def listed(batches):
         import pyarrow as pa
 
         for batch in batches:
             for block in batch.column("block").to_pylist():
-                for info in sorted(store.get_file_info(afs.FileSelector(f"{at}/{block}")), key=lambda f: f.base_name):
-                    if info.type == afs.FileType.File:
-                        with store.open_input_stream(info.path) as f:
-                            text = f.read().decode("utf-8", "replace")
-                        yield pa.RecordBatch.from_pydict({"doc_key": [f"{block}/{info.base_name}"], "block": [block], "file": [info.base_name], "text": [text]})
+                found = store.get_file_info(afs.FileSelector(f"{at}/{block}"))
+                names = sorted(f.base_name for f in found if f.type == afs.FileType.File)
+                yield pa.RecordBatch.from_pydict({"block": [block] * len(names), "file": names}, pa.schema([("block", pa.string()), ("file", pa.string())]))
 
-    return listed.mapInArrow(scan, "doc_key string, block string, file string, text string")
+    def scan(batches):
+        import pyarrow as pa
+
+        schema = pa.schema([(c, pa.string()) for c in ("doc_key", "block", "file", "text")])
+        rows, size = [], 0
+        for batch in batches:
+            for name in batch.to_pylist():
+                with store.open_input_stream(f"{at}/{name['block']}/{name['file']}") as f:
+                    text = f.read().decode("utf-8", "replace")
+                rows.append({"doc_key": f"{name['block']}/{name['file']}", **name, "text": text})
+                size += len(text)
+                if len(rows) == FILES_A_BATCH or size > TEXT_A_BATCH:
+                    yield pa.RecordBatch.from_pylist(rows, schema)
+                    rows, size = [], 0
+        if rows:
+            yield pa.RecordBatch.from_pylist(rows, schema)
+
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    files = checkpointed(folders.mapInArrow(listed, "block string, file string")).repartition(tasks)
+    return checkpointed(files.mapInArrow(scan, "doc_key string, block string, file string, text string"))
 
 
 def write_corpus_files(corpus: DataFrame, root: str) -> None:
@@ -73,9 +96,12 @@ def write_corpus_files(corpus: DataFrame, root: str) -> None:
     def put(batches):
         import pyarrow as pa
 
+        made = set()
         for batch in batches:
             for row in batch.to_pylist():
-                store.create_dir(f"{at}/{row['block']}")
+                if row["block"] not in made:
+                    store.create_dir(f"{at}/{row['block']}")
+                    made.add(row["block"])
                 with store.open_output_stream(f"{at}/{row['block']}/{row['file']}") as f:
                     f.write((row["text"] or "").encode())
             yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})

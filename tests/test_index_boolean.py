@@ -124,6 +124,16 @@ def test_corpus_from_files(spark, tmp_path):
     assert sorted(map(tuple, idx.postings.collect())) == sorted(map(tuple, ref.postings.collect()))
 
 
+def test_file_corpus_is_read_once_and_not_taken_for_small(spark, tmp_path):
+    """One folder with all files: a task for every part of them, and no plan over the listing that a join would broadcast."""
+    docs = [("b", str(i), "w" * 40 + f" t{i} " * 200) for i in range(300)]
+    ix.write_corpus_files(spark.createDataFrame(docs, "block string, file string, text string"), str(tmp_path))
+    corpus = ix.corpus_from_files(spark, str(tmp_path))
+    assert "MapInArrow" not in corpus._jdf.queryExecution().optimizedPlan().toString()
+    assert len(corpus.inputFiles()) > 1
+    assert sorted((r["block"], r["file"], r["text"]) for r in corpus.collect()) == sorted(docs)
+
+
 def test_scorer_selection():
     from quarry.operators.scoring import select_scorer
 
