@@ -3,7 +3,9 @@
 Encoders map an ARRAY<BIGINT> of gaps to a lowercase hex string (VB) or a
 bit string (gamma; packed into bytes by the posting table). Decoders cut the encoded string into codes with one
 ``regexp_extract_all`` pass (each code is recognisable by its own prefix),
-so decoding is linear in the list length.
+so decoding is linear in the list length. The posting table's gamma streams are packed and unpacked by ``gamma_pack`` and
+``gamma_unpack``, array operations over many lists at once: a place in a column's string is found by counting
+characters from its begin, so cutting a long bit string piece by piece takes the square of its length.
 
 VB: 7 data bits per byte, most significant group first; the high bit marks
 the LAST byte of a number. Gamma: (length-1) ones, a zero, then the binary
@@ -12,6 +14,7 @@ offset without its leading 1; streams are padded to whole bytes with ones.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -103,3 +106,62 @@ def gamma_decode(bits: Column) -> Column:
 
     return F.transform(codes, value)
 
+
+def bit_lengths(x: np.ndarray) -> np.ndarray:
+    """Bits of each positive number."""
+    high = x >> 32
+    return np.where(high > 0, np.frexp(high.astype(np.float64))[1] + 32, np.frexp((x & 0xFFFFFFFF).astype(np.float64))[1]).astype(np.int64)
+
+
+def _within(lengths: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Sum of the values before each one in its list; lists of ``lengths`` lie one after the other."""
+    before = np.cumsum(values) - values
+    filled = lengths > 0
+    return before - np.repeat(before[(np.cumsum(lengths) - lengths)[filled]], lengths[filled])
+
+
+def gamma_pack(gaps: np.ndarray, lengths: np.ndarray, offset: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, bytes of each list): gamma codes of lists of gaps, list i from bit ``offset[i]`` of its first byte on; other bits are 0."""
+    size = bit_lengths(gaps)
+    code = 2 * size - 1
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    bits = np.bincount(row, weights=code, minlength=len(lengths)).astype(np.int64)
+    n_bytes = (offset + bits + 7) // 8
+    at = ((np.cumsum(n_bytes) - n_bytes) * 8 + offset)[row] + _within(lengths, code)
+    out = np.zeros(int(n_bytes.sum()) * 8, np.uint8)
+    for b in range(int(size.max(initial=1)) - 1):
+        longer = size - 1 > b
+        start, last, value = at[longer], (at + code)[longer] - 1, gaps[longer]
+        out[start + b] = 1
+        out[last - b] = (value >> b) & 1
+    return np.packbits(out), n_bytes
+
+
+def gamma_unpack(data: np.ndarray, n_bytes: np.ndarray, offset: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(gaps, gaps of each list): what ``gamma_pack`` packed, ``bits[i]`` bits of list i."""
+    flat = np.unpackbits(data)
+    place = np.arange(len(flat))
+    # The first zero from each bit on ends the ones of a code that begins there; as many bits follow it.
+    zero = np.minimum.accumulate(np.where(flat == 0, place, len(flat))[::-1])[::-1]
+    after = (2 * zero - place + 1).tolist()
+    first = (np.cumsum(n_bytes) - n_bytes) * 8 + offset
+    starts, lengths = [], np.zeros(len(n_bytes), np.int64)
+    for i, (at, end) in enumerate(zip(first.tolist(), (first + bits).tolist(), strict=True)):
+        known = len(starts)
+        while at < end:
+            starts.append(at)
+            at = after[at]
+        lengths[i] = len(starts) - known
+    start = np.array(starts, np.int64)
+    stop = zero[start]
+    rest = stop - start
+    gaps = np.ones(len(start), np.int64)
+    for b in range(int(rest.max(initial=0))):
+        more = rest > b
+        gaps[more] = gaps[more] << 1 | flat[stop[more] + b + 1]
+    return gaps, lengths
+
+
+def list_sums(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Running sums of the values of each list, its own included."""
+    return _within(lengths, values) + values

@@ -11,6 +11,9 @@ chunks' streams, so no task ever holds a stop word's full list.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +21,10 @@ from quarry.functions import codecs
 from quarry.operators.index import POSTING_CHUNK, posting_lists
 from quarry.session import checkpointed
 
+# Bits of gamma codes, or ids, that a task turns into arrays at a time; a longer list is taken alone.
+SLICE_BITS = 1 << 21
+SLICE_IDS = 1 << 18
+
 
 def _with_base(chunks: DataFrame, end: str, running: bool) -> DataFrame:
     """``chunks`` with ``base``: ``end`` of the term's chunk before (or the sum of all before), 0 for its first.
@@ -51,14 +58,36 @@ def gaps_long(post: DataFrame, chunk: int = POSTING_CHUNK) -> DataFrame:
     )
 
 
+def _slices(batch, sizes: np.ndarray, limit: int) -> Iterator:
+    """An Arrow batch in runs of rows of about ``limit``; ``sizes`` are those of its rows."""
+    till, begin = np.cumsum(sizes), 0
+    while begin < batch.num_rows:
+        end = max(begin + 1, int(np.searchsorted(till, (till[begin - 1] if begin else 0) + limit, side="right")))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
+def _lengths(lists) -> np.ndarray:
+    return np.asarray(lists.value_lengths()).astype(np.int64)
+
+
 def decode_gaps(chunks: DataFrame, gaps_col: str = "gaps") -> DataFrame:
     """(term, doc_id) from per-chunk gap arrays: a running sum inside each chunk
-    (window bounded by the chunk size) plus the sum of the earlier chunks (Q35)."""
+    plus the sum of the earlier chunks (Q35). Ids are made where their chunk is: none crosses a shuffle."""
+    import pyarrow as pa
+
     c = chunks.select("term", "chunk", gaps_col, F.aggregate(gaps_col, F.lit(0).cast("bigint"), lambda a, x: a + x).alias("chunk_sum"))
     c = _with_base(checkpointed(c), "chunk_sum", running=True)
-    e = c.select("term", "chunk", "base", F.posexplode(gaps_col).alias("i", "gap"))
-    run = Window.partitionBy("term", "chunk").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return e.select("term", (F.col("base") + F.sum("gap").over(run)).cast("bigint").alias("doc_id"))
+
+    def run(batches):
+        for batch in batches:
+            for rows in _slices(batch, _lengths(batch.column("gaps")), SLICE_IDS):
+                n = _lengths(rows.column("gaps"))
+                row = np.repeat(np.arange(len(n)), n)
+                ids = np.asarray(rows.column("base"))[row] + codecs.list_sums(np.asarray(rows.column("gaps").flatten()), n)
+                yield pa.RecordBatch.from_arrays([rows.column("term").take(pa.array(row)), pa.array(ids)], names=["term", "doc_id"])
+
+    return c.select("term", "base", F.col(gaps_col).alias("gaps")).mapInArrow(run, "term string, doc_id bigint")
 
 
 def vb_postings(post: DataFrame, chunk: int = POSTING_CHUNK) -> DataFrame:
@@ -77,32 +106,42 @@ def gamma_postings(post: DataFrame, chunk: int = POSTING_CHUNK) -> DataFrame:
     A chunk's codes begin at a bit offset of the list's stream, rarely at a whole byte. The byte belongs to the chunk that has
     its first bit; a chunk passes the bits before its own first byte on, as (term, byte, value), and
     the owner's last byte takes them in. The list's last byte is filled with ones. Chunks of a term, in order,
-    join to the list's stream, and none is ever held with another.
+    join to the list's stream, and none is ever held with another. Lists are packed by array operations, many at a time.
     """
-    g = gap_lists(post, chunk)
+    import pyarrow as pa
+
     code_len = F.aggregate("gaps", F.lit(0).cast("bigint"), lambda a, x: a + codecs.gamma_bits(x))
-    g = checkpointed(_with_base(checkpointed(g.select("term", "chunk", "n", codecs.gamma_encode(F.col("gaps")).alias("bits"), code_len.alias("code_len"))), "code_len", running=True))
+    g = _with_base(checkpointed(gap_lists(post, chunk).select("term", "chunk", "n", "gaps", code_len.alias("code_len"))), "code_len", running=True)
+
+    def run(batches):
+        for batch in batches:
+            for rows in _slices(batch, np.asarray(batch.column("code_len")), SLICE_BITS):
+                offset = np.asarray(rows.column("base")) % 8
+                packed, n_bytes = codecs.gamma_pack(np.asarray(rows.column("gaps").flatten()), _lengths(rows.column("gaps")), offset)
+                first, shared = np.cumsum(n_bytes) - n_bytes, offset > 0  # the first byte is an earlier chunk's
+                own = np.ones(len(packed), bool)
+                own[first[shared]] = False
+                ends = np.concatenate([[0], np.cumsum(n_bytes - shared)]).astype(np.int32)
+                stream = pa.BinaryArray.from_buffers(pa.binary(), rows.num_rows, [None, pa.py_buffer(ends), pa.py_buffer(packed[own].tobytes())])
+                passed = pa.array(packed[first].astype(np.int32), mask=~shared)
+                yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in ("term", "chunk", "n", "code_len", "base")), passed, stream],
+                                                 names=["term", "chunk", "n", "code_len", "base", "passed", "gamma"])
+
+    columns = "term string, chunk bigint, n bigint, code_len bigint, base bigint, passed int, gamma binary"
+    g = checkpointed(g.select("term", "chunk", "n", "code_len", "base", "gaps").mapInArrow(run, columns))
     end = F.col("base") + F.col("code_len")
-    head = F.least(F.pmod(-F.col("base"), F.lit(8)), F.col("code_len"))  # bits of a byte that an earlier chunk owns
-    byte = F.floor(F.col("base") / 8).cast("bigint")
-    placed = F.rpad(F.concat(F.repeat(F.lit("0"), (F.col("base") % 8).cast("int")), F.substring("bits", F.lit(1), head.cast("int"))), 8, "0")
-    passed = g.filter(head > 0).select("term", byte.alias("byte"), F.conv(placed, 2, 10).cast("int").alias("value"))
+    passed = g.filter("passed is not null").select("term", F.floor(F.col("base") / 8).cast("bigint").alias("byte"), F.col("passed").alias("value"))
     # The list's last byte is filled with ones.
     lasts = g.groupBy("term").agg(F.max(end).alias("total")).filter(F.col("total") % 8 > 0)
     ones = lasts.select("term", F.floor(F.col("total") / 8).cast("bigint").alias("byte"), (F.pow(F.lit(2), F.pmod(-F.col("total"), F.lit(8))) - 1).cast("int").alias("value"))
     passed = passed.unionByName(ones).groupBy("term", "byte").agg(F.bit_or("value").alias("value"))
-    own = g.withColumn("own", F.substring("bits", (head + 1).cast("int"), F.col("code_len").cast("int")))
-    own = own.withColumn("byte", F.floor((end - 1) / 8).cast("bigint")).filter(F.col("code_len") > head)
-    own = own.join(passed, ["term", "byte"], "left")
-    # The last byte: own bits, and what later chunks passed.
-    full = (F.floor(F.length("own") / 8) * 8).cast("int")
-    tail = F.rpad(F.substring("own", full + 1, F.lit(8)), 8, "0")
-    last = F.conv(tail, 2, 10).cast("int").bitwiseOR(F.coalesce("value", F.lit(0)))
-    rest = F.when(F.length("own") > full, F.lpad(F.hex(last), 2, "0")).otherwise("")
-    stream = F.unhex(F.concat(codecs.bits_to_hex(F.substring("own", F.lit(1), full)), rest))
+    # The last byte of a chunk: own bits, and what later chunks passed.
+    own = g.filter(F.length("gamma") > 0).withColumn("byte", F.floor((end - 1) / 8).cast("bigint")).join(passed, ["term", "byte"], "left")
+    size = F.length("gamma")
+    last = F.conv(F.hex(F.substring("gamma", size, F.lit(1))), 16, 10).cast("int").bitwiseOR(F.coalesce("value", F.lit(0)))
+    stream = F.concat(F.substring("gamma", F.lit(1), size - 1), F.unhex(F.lpad(F.hex(last), 2, "0")))
     out = own.select("term", "chunk", "n", "code_len", stream.alias("gamma"))
-    none = g.filter(F.col("code_len") <= head).select("term", "chunk", "n", "code_len", F.unhex(F.lit("")).alias("gamma"))
-    return out.unionByName(none)
+    return out.unionByName(g.filter(F.length("gamma") == 0).select("term", "chunk", "n", "code_len", "gamma"))
 
 
 def gamma_roundtrip(gam: DataFrame) -> DataFrame:
@@ -111,14 +150,29 @@ def gamma_roundtrip(gam: DataFrame) -> DataFrame:
     A chunk takes back the bits at its end that the next chunks' bytes or its own last byte hold: its codes are the
     bits from its offset on, over its own bytes and the last byte of the chunk before.
     """
-    g = _with_base(checkpointed(gam), "code_len", running=True)
-    g = checkpointed(g.withColumn("first", F.ceil(F.col("base") / 8).cast("bigint")).withColumn("hex", F.hex("gamma")))
-    # The byte in which a chunk begins, if another owns it: the owner's last one.
-    lasts = g.filter(F.length("hex") > 0).select("term", (F.col("first") + F.length("hex") / 2 - 1).cast("bigint").alias("at"), F.substring("hex", -2, 2).alias("shared"))
-    g = g.withColumn("at", F.floor(F.col("base") / 8).cast("bigint")).join(lasts, ["term", "at"], "left")
-    head = F.when(F.col("base") % 8 == 0, "").otherwise(F.col("shared"))
-    bits = F.substring(codecs.hex_to_bits(F.concat(head, "hex")), (F.col("base") % 8 + 1).cast("int"), F.col("code_len").cast("int"))
-    return decode_gaps(g.select("term", "chunk", codecs.gamma_decode(bits).alias("gaps")))
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    g = checkpointed(_with_base(checkpointed(gam), "code_len", running=True))
+    # The byte in which a chunk begins, if another owns it: the owner's last one. Only lists of several chunks have such.
+    inside = g.filter(F.col("base") % 8 > 0)
+    lists = inside.select("term").distinct()
+    lasts = g.filter(F.length("gamma") > 0).join(lists, "term", "left_semi").select(
+        "term", (F.ceil(F.col("base") / 8).cast("bigint") + F.length("gamma") - 1).alias("at"), F.substring("gamma", F.length("gamma"), F.lit(1)).alias("head"))
+    inside = inside.withColumn("at", F.floor(F.col("base") / 8).cast("bigint")).join(lasts, ["term", "at"]).withColumn("gamma", F.concat("head", "gamma"))
+    g = g.filter(F.col("base") % 8 == 0).unionByName(inside.select(*g.columns))
+
+    def run(batches):
+        for batch in batches:
+            for rows in _slices(batch, np.asarray(batch.column("code_len")), SLICE_BITS):
+                streams = rows.column("gamma")
+                n_bytes = np.asarray(pc.binary_length(streams)).astype(np.int64)
+                data = np.frombuffer(b"".join(streams.to_pylist()), np.uint8)
+                gaps, n = codecs.gamma_unpack(data, n_bytes, np.asarray(rows.column("base")) % 8, np.asarray(rows.column("code_len")))
+                ends = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([rows.column("term"), rows.column("chunk"), pa.ListArray.from_arrays(ends, pa.array(gaps))], names=["term", "chunk", "gaps"])
+
+    return decode_gaps(g.select("term", "chunk", "code_len", "base", "gamma").mapInArrow(run, "term string, chunk bigint, gaps array<bigint>"))
 
 
 def index_size(post: DataFrame, chunk: int = POSTING_CHUNK) -> DataFrame:
