@@ -88,9 +88,15 @@ def boolean_search(queries: DataFrame, postings: DataFrame, doc_freq: DataFrame,
         empty.select("query_id", "query", F.lit(NO_RESULTS).alias("doc_name")))
 
 
-def sorted_results(results: DataFrame) -> DataFrame:
-    """``results`` with ``pos``, the 1-based place of a name in its query's sorted list (Q42)."""
-    return number_rows(results, ["doc_name"], "pos", group_by=["query_id"])
+def sorted_results(results: DataFrame, queries: DataFrame) -> DataFrame:
+    """``results`` with ``pos``, the 1-based place of a name in its query's sorted list (Q42).
+
+    Names are numbered without the query's text, which would be moved and written once for every hit; it
+    is joined back from ``queries``, which has each query_id once.
+    """
+    texts = checked_broadcast(query_lines(queries).select("query_id", "query"))
+    placed = number_rows(results.select("query_id", "doc_name"), ["doc_name"], "pos", group_by=["query_id"])
+    return placed.join(texts, "query_id").select("query_id", "query", "doc_name", "pos")
 
 
 def restrict_terms(postings: DataFrame, vocab: DataFrame) -> DataFrame:

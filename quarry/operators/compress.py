@@ -11,13 +11,12 @@ chunks' streams, so no task ever holds a stop word's full list.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import codecs
+from quarry.functions.batches import slices
 from quarry.operators.index import POSTING_CHUNK, posting_lists
 from quarry.session import checkpointed
 
@@ -58,15 +57,6 @@ def gaps_long(post: DataFrame, chunk: int = POSTING_CHUNK) -> DataFrame:
     )
 
 
-def _slices(batch, sizes: np.ndarray, limit: int) -> Iterator:
-    """An Arrow batch in runs of rows of about ``limit``; ``sizes`` are those of its rows."""
-    till, begin = np.cumsum(sizes), 0
-    while begin < batch.num_rows:
-        end = max(begin + 1, int(np.searchsorted(till, (till[begin - 1] if begin else 0) + limit, side="right")))
-        yield batch.slice(begin, end - begin)
-        begin = end
-
-
 def _lengths(lists) -> np.ndarray:
     return np.asarray(lists.value_lengths()).astype(np.int64)
 
@@ -81,7 +71,7 @@ def decode_gaps(chunks: DataFrame, gaps_col: str = "gaps") -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for rows in _slices(batch, _lengths(batch.column("gaps")), SLICE_IDS):
+            for rows in slices(batch, _lengths(batch.column("gaps")), SLICE_IDS):
                 n = _lengths(rows.column("gaps"))
                 row = np.repeat(np.arange(len(n)), n)
                 ids = np.asarray(rows.column("base"))[row] + codecs.list_sums(np.asarray(rows.column("gaps").flatten()), n)
@@ -115,7 +105,7 @@ def gamma_postings(post: DataFrame, chunk: int = POSTING_CHUNK) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for rows in _slices(batch, np.asarray(batch.column("code_len")), SLICE_BITS):
+            for rows in slices(batch, np.asarray(batch.column("code_len")), SLICE_BITS):
                 offset = np.asarray(rows.column("base")) % 8
                 packed, n_bytes = codecs.gamma_pack(np.asarray(rows.column("gaps").flatten()), _lengths(rows.column("gaps")), offset)
                 first, shared = np.cumsum(n_bytes) - n_bytes, offset > 0  # the first byte is an earlier chunk's
@@ -164,7 +154,7 @@ def gamma_roundtrip(gam: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for rows in _slices(batch, np.asarray(batch.column("code_len")), SLICE_BITS):
+            for rows in slices(batch, np.asarray(batch.column("code_len")), SLICE_BITS):
                 streams = rows.column("gamma")
                 n_bytes = np.asarray(pc.binary_length(streams)).astype(np.int64)
                 data = np.frombuffer(b"".join(streams.to_pylist()), np.uint8)

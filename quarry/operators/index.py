@@ -13,16 +13,20 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions.batches import slices
 from quarry.functions.text import ws_terms
 from quarry.operators.numbering import number_rows
+from quarry.session import checked_broadcast, checkpointed
 
 # Doc ids per posting-list chunk: bounds the array view of a stop-word list.
 POSTING_CHUNK = 1 << 16
 # Folders of a stored index's postings, by a hash of the term.
 BUCKETS = 16
-# Files, or characters of text, that a scan of a file corpus hands on at a time.
+# Files that a scan of a file corpus hands on at a time, and characters of text that a task takes.
 FILES_A_BATCH = 256
 TEXT_A_BATCH = 1 << 20
+# Bits of a position in a text: a document id and a position make one number, so that a minimum of both is aggregated by hash.
+POSITION_BITS = 31
 
 
 def corpus_from_documents(documents: DataFrame) -> DataFrame:
@@ -52,8 +56,6 @@ def corpus_from_files(spark: SparkSession, root: str, folders_per_task: int = 16
     """
     from pyarrow import fs as afs
 
-    from quarry.session import checkpointed
-
     store, at = _file_system(root.rstrip("/"))
     blocks = sorted(f.base_name for f in store.get_file_info(afs.FileSelector(at)) if f.type == afs.FileType.Directory)
     folders = spark.createDataFrame([(b,) for b in blocks], "block string").repartition(max(1, -(-len(blocks) // folders_per_task)))
@@ -127,21 +129,61 @@ def doc_catalog(corpus: DataFrame) -> DataFrame:
     return number_rows(keys, ["block", "file"], "doc_id", start=1).select("doc_id", "doc_name", "doc_key")
 
 
+def _row_terms(texts: DataFrame) -> DataFrame:
+    """(doc_id, term, first_pos, tf): the distinct terms of each row's text, counted in the row itself.
+
+    ``bytes.split`` parts at the same ASCII whitespace as ``ws_terms``.
+    """
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def run(batches):
+        for batch in batches:
+            size = np.asarray(pc.fill_null(pc.binary_length(batch.column("text")), 0))
+            for rows in slices(batch, size, TEXT_A_BATCH):
+                terms, places, counts, n = [], [], [], []
+                for text in rows.column("text").cast(pa.binary()).to_pylist():
+                    first, count = {}, {}
+                    for i, term in enumerate((text or b"").split()):
+                        if term in count:
+                            count[term] += 1
+                        else:
+                            first[term], count[term] = i, 1
+                    terms += first
+                    places += first.values()
+                    counts += count.values()
+                    n.append(len(first))
+                ids = rows.column("doc_id").take(pa.array(np.repeat(np.arange(len(n)), n)))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(terms, pa.binary()).cast(pa.string(), safe=False), pa.array(places, pa.int64()), pa.array(counts, pa.int64())],
+                                                 names=["doc_id", "term", "first_pos", "tf"])
+
+    return texts.select("doc_id", "text").mapInArrow(run, "doc_id bigint, term string, first_pos bigint, tf bigint")
+
+
 def occurrences(tokens: DataFrame, catalog: DataFrame) -> DataFrame:
-    """(term, doc_id, first_pos, tf): one row per distinct (term, document).
+    """(term, doc_id, first_pos, tf): one row per distinct (term, document) of ``tokens``, or of a corpus with whole texts.
 
-    The per-document aggregation runs before the catalog join, so only
-    distinct pairs -- not every token -- cross the shuffle (Q20, Q31).
+    A text lies in one row, so its terms are counted there: its row meets its document id, and neither tokens nor
+    pairs cross a shuffle (Q20, Q31). Only texts whose key comes several times are one document together, and aggregated.
     """
-    occ = tokens.groupBy("term", "doc_key").agg(F.min("pos").alias("first_pos"), F.count(F.lit(1)).alias("tf"))
-    return occ.join(catalog.select("doc_key", "doc_id"), "doc_key").drop("doc_key")
+    ids = catalog.select("doc_key", "doc_id")
+    if "text" not in tokens.columns:
+        occ = tokens.groupBy("term", "doc_key").agg(F.min("pos").alias("first_pos"), F.count(F.lit(1)).alias("tf"))
+        return occ.join(checked_broadcast(ids), "doc_key").drop("doc_key")
+    corpus, ids = tokens.select("doc_key", "text"), checked_broadcast(ids)
+    several = corpus.groupBy("doc_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_key")
+    several = checked_broadcast(several)
+    once = _row_terms(corpus.join(several, "doc_key", "left_anti").join(ids, "doc_key"))
+    again = _row_terms(corpus.join(several, "doc_key", "left_semi").join(ids, "doc_key"))
+    again = again.groupBy("doc_id", "term").agg(F.min("first_pos").alias("first_pos"), F.sum("tf").alias("tf"))
+    return once.unionByName(again).select("term", "first_pos", "tf", "doc_id")
 
 
 def term_catalog(occ: DataFrame) -> DataFrame:
     """(term_id, term): 0-based ids in first-occurrence order (Q29)."""
-    first = occ.groupBy("term").agg(F.min(F.struct("doc_id", "first_pos")).alias("f"))
-    first = first.select("term", F.col("f.doc_id").alias("first_doc"), F.col("f.first_pos").alias("first_pos"))
-    return number_rows(first, ["first_doc", "first_pos"], "term_id", start=0).select("term_id", "term")
+    first = occ.groupBy("term").agg(F.min(F.shiftleft("doc_id", POSITION_BITS) + F.col("first_pos")).alias("first"))
+    return number_rows(first, ["first"], "term_id", start=0).select("term_id", "term")
 
 
 def postings(occ: DataFrame) -> DataFrame:
@@ -192,8 +234,8 @@ class InvertedIndex:
          .write.mode(mode).partitionBy("bucket").parquet(f"{path}/postings"))
         self.catalog.select("doc_id", "doc_name").write.mode(mode).parquet(f"{path}/doc_catalog")
         self.term_catalog().write.mode(mode).parquet(f"{path}/term_catalog")
-        (self.doc_freq.repartitionByRange(n, "term").sortWithinPartitions("term")
-         .write.mode(mode).parquet(f"{path}/doc_freq"))
+        doc_freq = checkpointed(self.doc_freq)  # range partitioning samples its input before it reads it
+        doc_freq.repartitionByRange(n, "term").sortWithinPartitions("term").write.mode(mode).parquet(f"{path}/doc_freq")
 
 
 def term_bucket(term, buckets: int = BUCKETS):
@@ -202,12 +244,10 @@ def term_bucket(term, buckets: int = BUCKETS):
 
 def build_index(corpus: DataFrame) -> InvertedIndex:
     """Corpus -> catalog, occurrences, postings and document frequencies (E1)."""
-    from quarry.session import checkpointed
-
     catalog = doc_catalog(corpus)
     # The (term, doc) table is the index itself: materialise it once, every
     # other table (postings, df, term ids, codecs) derives from it.
-    occ = checkpointed(occurrences(tokenize(corpus), catalog))
+    occ = checkpointed(occurrences(corpus, catalog))
     post = postings(occ)
     return InvertedIndex(catalog=catalog, occ=occ, postings=post, doc_freq=doc_freq(post))
 

@@ -134,6 +134,26 @@ def test_file_corpus_is_read_once_and_not_taken_for_small(spark, tmp_path):
     assert sorted((r["block"], r["file"], r["text"]) for r in corpus.collect()) == sorted(docs)
 
 
+def test_terms_are_counted_in_the_row_as_from_tokens(spark, capsys):
+    """Whole texts and token rows give the same table, keys that repeat (one document together) and null texts too; no pair is shuffled."""
+    docs = [("k1", "b", "1", "x y x \x0b\x0cy\u00a0y z"), ("k1", "b", "1", "y w"), ("k2", "b", "2", None), ("k3", "b", "3", "  z\tz\r\n x "), ("k4", "b", "4", ""), (None, "b", "5", "n")]
+    corpus = spark.createDataFrame(docs, "doc_key string, block string, file string, text string")
+    catalog = spark.createDataFrame([("k1", 1), ("k1", 2), ("k2", 3), ("k3", 4), ("k4", 5), (None, 6)], "doc_key string, doc_id long")
+    rows = lambda df: sorted(map(tuple, df.select("term", "doc_id", "first_pos", "tf").collect()))
+    got = rows(ix.occurrences(corpus, catalog))
+    assert got == rows(ix.occurrences(ix.tokenize(corpus), catalog))
+    assert ("x", 1, 0, 2) in got and ("y", 2, 0, 2) in got and ("z", 4, 0, 2) in got
+    capsys.readouterr()
+    ix.occurrences(corpus, catalog).explain()
+    once = capsys.readouterr().out.split("HashAggregate")[0]
+    assert "Exchange hashpartitioning" not in once
+
+
+def test_first_occurrence_is_aggregated_by_hash(spark):
+    occ = spark.createDataFrame([("b", 2, 0), ("a", 1, 7), ("b", 1, 9), ("c", 1, 2)], "term string, doc_id long, first_pos long")
+    assert [r["term"] for r in ix.term_catalog(occ).orderBy("term_id").collect()] == ["c", "a", "b"]
+
+
 def test_scorer_selection():
     from quarry.operators.scoring import select_scorer
 
