@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.batches import slices
@@ -180,10 +180,18 @@ def occurrences(tokens: DataFrame, catalog: DataFrame) -> DataFrame:
     return once.unionByName(again).select("term", "first_pos", "tf", "doc_id")
 
 
+def _first() -> Column:
+    """Document id and position of a term's first occurrence as one number."""
+    return F.min(F.shiftleft("doc_id", POSITION_BITS) + F.col("first_pos"))
+
+
+def _numbered_terms(first: DataFrame) -> DataFrame:
+    return number_rows(first.select("term", "first"), ["first"], "term_id", start=0).select("term_id", "term")
+
+
 def term_catalog(occ: DataFrame) -> DataFrame:
     """(term_id, term): 0-based ids in first-occurrence order (Q29)."""
-    first = occ.groupBy("term").agg(F.min(F.shiftleft("doc_id", POSITION_BITS) + F.col("first_pos")).alias("first"))
-    return number_rows(first, ["first"], "term_id", start=0).select("term_id", "term")
+    return _numbered_terms(occ.groupBy("term").agg(_first().alias("first")))
 
 
 def postings(occ: DataFrame) -> DataFrame:
@@ -233,8 +241,10 @@ class InvertedIndex:
         (post.repartitionByRange(n, "bucket", "term", "doc_id").sortWithinPartitions("bucket", "term", "doc_id")
          .write.mode(mode).partitionBy("bucket").parquet(f"{path}/postings"))
         self.catalog.select("doc_id", "doc_name").write.mode(mode).parquet(f"{path}/doc_catalog")
-        self.term_catalog().write.mode(mode).parquet(f"{path}/term_catalog")
-        doc_freq = checkpointed(self.doc_freq)  # range partitioning samples its input before it reads it
+        # The pairs are aggregated by term once, for both tables; range partitioning samples its input before it reads it.
+        terms = checkpointed(self.occ.groupBy("term").agg(F.count(F.lit(1)).alias("df"), _first().alias("first")))
+        _numbered_terms(terms).write.mode(mode).parquet(f"{path}/term_catalog")
+        doc_freq = terms.select("term", "df")
         doc_freq.repartitionByRange(n, "term").sortWithinPartitions("term").write.mode(mode).parquet(f"{path}/doc_freq")
 
 

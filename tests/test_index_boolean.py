@@ -162,3 +162,13 @@ def test_scorer_selection():
 
     with pytest.raises(ValueError):
         select_scorer("pagerank")
+
+
+def test_stored_terms_come_from_one_aggregation_of_the_pairs(spark, tmp_path):
+    rows = [("a/1", "a", "1", "x y x z"), ("a/2", "a", "2", "z x"), ("b/1", "b", "1", "q y")]
+    idx = ix.build_index(spark.createDataFrame(rows, "doc_key string, block string, file string, text string"))
+    ix.InvertedIndex(idx.catalog, idx.occ, idx.postings, None).write(str(tmp_path / "index"))  # no table of frequencies is computed beside it
+    stored = ix.load_index(spark, str(tmp_path / "index"))
+    assert sorted(map(tuple, stored["doc_freq"].select("term", "df").collect())) == [("q", 1), ("x", 2), ("y", 2), ("z", 2)]
+    assert sorted(map(tuple, stored["term_catalog"].select("term_id", "term").collect())) == [(0, "x"), (1, "y"), (2, "z"), (3, "q")]
+    assert sorted(map(tuple, stored["doc_freq"].collect())) == sorted(map(tuple, idx.doc_freq.collect()))
