@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import list_array, shared_table, text_slices
-from quarry.llm.tokens import END_ID, Encoder
+from quarry.llm.tokens import END_ID, worker_encoder
 
 CAPACITY = 2048
 PIECES = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, ids_crc32 bigint, part int, local_rank bigint, ids array<int>"
@@ -39,7 +39,7 @@ def cut_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_i
     """Pieces of every document with their ids, written once into the shared folder."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = Encoder(vocabulary, end_id), TaskContext.get().partitionId()
+        encoder, part = worker_encoder(vocabulary, end_id), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             for rows in text_slices(batch):

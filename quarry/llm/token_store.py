@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import content_key, list_array, text_slices
-from quarry.llm.tokens import END_ID, Encoder
+from quarry.llm.tokens import END_ID, worker_encoder
 
 ROW_GROUP_BYTES = 16 << 20
 PAGE_ROWS = 2_000
@@ -45,7 +45,7 @@ def ordered_ids(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataF
     """(doc_id, n_tokens, part, local_start, ids) in ascending id order over the partitions."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, before = Encoder(vocabulary, end_id), TaskContext.get().partitionId(), 0
+        encoder, part, before = worker_encoder(vocabulary, end_id), TaskContext.get().partitionId(), 0
         for batch in batches:
             for rows in text_slices(batch):
                 ids, sizes = encoder(rows.column("text"))

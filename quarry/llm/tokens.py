@@ -4,7 +4,7 @@ The vocabulary folds case and drops white space, and no merge, normalisation
 or special token of it spans white space, so a text's ids are the ids of its
 white-space-separated words in order. Each distinct word of a slice is
 encoded once by the library and kept in a bounded per-worker cache; the ids
-of the texts are then gathered with numpy.
+of the texts are then gathered with numpy. A reused worker keeps its encoder for its next tasks.
 """
 
 from __future__ import annotations
@@ -128,3 +128,16 @@ class Encoder:
         for i, text in zip(odd, whole, strict=True):
             parts[i] = np.array([*self.tok.encode(text, add_special_tokens=False).ids, self.end], np.int32)
         return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, n)
+
+
+def worker_encoder(vocabulary: str, end_id: int = END_ID) -> Encoder:
+    """This worker's encoder, with the words it has met: a Python worker runs one task after the other.
+
+    It is kept in the library's module, as this one comes anew with every task (pickled by value).
+    """
+    import tokenizers
+
+    kept = vars(tokenizers).setdefault("_quarry_encoders", {})
+    if (vocabulary, end_id) not in kept:
+        kept[vocabulary, end_id] = Encoder(vocabulary, end_id)
+    return kept[vocabulary, end_id]

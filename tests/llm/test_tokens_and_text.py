@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 from quarry.llm import chat, decontam, packing, token_store
 from quarry.llm.queries import ORACLE, QUERIES
-from quarry.llm.tokens import Encoder, default_vocabulary
+from quarry.llm.tokens import Encoder, default_vocabulary, worker_encoder
 
 from .conftest import SF001
 
@@ -45,6 +45,14 @@ def test_ids_of_special_names_and_white_space():
     assert [x.tolist() for x in np.split(flat, np.cumsum(sizes)[:-1])] == [ids_of(t) for t in texts]
 
 
+def test_a_worker_keeps_its_encoder():
+    first, again = worker_encoder(VOCABULARY, 1), worker_encoder(VOCABULARY, 1)
+    assert first is again and worker_encoder(VOCABULARY, 2) is not first
+    for texts in (["one two"], ["two three", None], ["<|endoftext|> one"]):  # words of earlier tasks give the same ids
+        flat, sizes = again(pa.array(texts))
+        assert [x.tolist() for x in np.split(flat, np.cumsum(sizes)[:-1])] == [ids_of(t) for t in texts]
+
+
 # ---------------------------------------------------------------- store
 def test_store_round_trip(spark, edge_docs, no_docs, tmp_path):
     path = str(tmp_path / "store")
