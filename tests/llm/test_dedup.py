@@ -489,3 +489,27 @@ def test_registered_rows_cover_the_table(spark):
     n = spark.read.parquet(f"{SF001}/documents.parquet").count()
     for name in ("op3_exact_dedup", "op5_suffix_dedup", "op8_simhash", "op9_passages"):
         assert QUERIES[name](spark, SF001).count() == n
+
+
+def test_shingle_hashes_by_definition():
+    """Each shingle's hash from its words alone, whatever lies beside it; words longer than the table of powers too."""
+    from quarry.llm.common import byte_rows
+    from quarry.llm.toxicity import _POWERS, word_hashes, words
+
+    mask = 2**64 - 1
+    texts = ["a b c d e f g", None, "", "One two", " x " * 9, "w" * 5000 + " tail of some more words", "ß 日本 é ü wörter im text"]
+    raw, off = byte_rows(pa.array(texts))
+    low, start, end, doc = words(raw, off)
+    assert doc.tolist() == [i for i, t in enumerate(texts) for _ in range(len((t or "").split()))]
+    hashes = [sum((((int(b) + 1) * int(_POWERS[k % len(_POWERS)]) & mask) ^ ((int(b) + 1) << 17)) for k, b in enumerate(low[s:e])) & mask
+              for s, e in zip(start, end, strict=True)]
+    assert word_hashes(low, start, end).tolist() == hashes
+    h, first, n = passages.shingles(raw, off, 3)
+    assert n.tolist() == [len((t or "").split()) for t in texts]
+    assert np.diff(first).tolist() == [max(len((t or "").split()) - 2, 0) for t in texts]
+    at = 0
+    for i in range(len(texts)):
+        alone = passages.shingles(*byte_rows(pa.array(texts[i : i + 1], pa.string())), 3)[0]
+        assert h[at : at + len(alone)].tolist() == alone.tolist()
+        at += len(alone)
+    assert at == len(h)
