@@ -41,6 +41,7 @@ PER_LANGUAGE = 300
 MAX_LANGUAGES = 256  # learned, those with most labelled texts
 MAX_CHARS = 8_000
 UNKNOWN = "und"
+SLICE_BYTES = 1 << 20  # scored at a time: each takes some 40 bytes meanwhile
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -264,7 +265,7 @@ def identify(docs: DataFrame, model: PPM) -> DataFrame:
         scorer = Scorer(PPM.restored(*shared.value))
         for batch in batches:
             named = batch.rename_columns([f"c{i}" for i in range(batch.num_columns)])
-            for part in text_slices(named, f"c{place}"):
+            for part in text_slices(named, f"c{place}", SLICE_BYTES):
                 langs, share = scorer(part.column(place))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(share)], names=[*keep, "lang_pred", "score"])
 

@@ -210,3 +210,22 @@ def test_a_window_is_scored_at_every_word():
         word = text.split()
         runs = [" ".join(word[k : k + 32]) for k in range(len(word) - 31)]
         assert abs(net.scores(*byte_rows(pa.array([text])))[0] - net.scores(*byte_rows(pa.array(runs))).max()) < 1e-5
+
+
+def test_language_scores_in_small_slices():
+    """A slice takes a bounded number of bytes for each of its own, and texts score alike in any slice."""
+    import tracemalloc
+
+    from quarry.llm.common import text_slices
+
+    scorer = langid.Scorer(langid.PPM({"en": [b"the cat sat on the mat"], "de": [b"die katze sitzt auf der matte"]}))
+    texts = [f"the mat {i} katze auf dem {'cat ' * (i % 50)}" for i in range(20000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    whole = scorer(batch.column(0))
+    tracemalloc.start()
+    parts = [scorer(part.column(0)) for part in text_slices(batch, "text", langid.SLICE_BYTES)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(parts) > 1 and peak < 160 << 20
+    assert [x for langs, _ in parts for x in langs] == whole[0]
+    assert np.array_equal(np.concatenate([share for _, share in parts]), whole[1])
